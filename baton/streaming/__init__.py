@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The handover this library rebuilds is batch only (materialise, then re-open);
+it has no watermark, window, state or late-data semantics to carry over, so
+no streaming operator is defined here.  A streaming query can still hand each
+micro-batch over with ``foreachBatch(lambda df, _: baton.snapshot(df))``.
+"""
