@@ -1,51 +1,78 @@
-"""Files as a table: listing, sizes and contents of what a glob matches."""
+"""Files as a table: listing, sizes and contents of what a glob matches.
+
+The glob is expanded with the session's Hadoop file system, the same call
+Spark makes on the driver before any file scan; matched entries (files and
+folders, empty files included) become rows.  Contents are read by a
+distributed ``binaryFile`` scan, one task per file split.
+"""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_EMPTY = T.StructType([
-    T.StructField("path", T.StringType(), True),
-    T.StructField("modificationTime", T.TimestampType(), True),
-    T.StructField("length", T.LongType(), True),
-    T.StructField("content", T.BinaryType(), True),
+from baton.session import _hadoop_path
+
+_LISTING = T.StructType([
+    T.StructField("path", T.StringType(), False),
+    T.StructField("modified_ms", T.LongType(), False),
+    T.StructField("size_bytes", T.LongType(), False),
+    T.StructField("is_dir", T.BooleanType(), False),
 ])
 
 
-def _scan(spark: SparkSession, glob: str, strict: bool) -> DataFrame:
-    """The ``binaryFile`` scan of ``glob``; a glob matching nothing is an
-    empty frame unless ``strict``.  Listing runs in parallel for large
-    folders (``spark.sql.sources.parallelPartitionDiscovery.threshold``)."""
-    try:
-        return spark.read.format("binaryFile").load(glob)
-    except AnalysisException as e:
-        if strict or e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], _EMPTY)
+def _glob(spark: SparkSession, glob: str) -> list[tuple]:
+    p, fs = _hadoop_path(spark, glob)
+    statuses = fs.globStatus(p)
+    if statuses is None:  # nothing matched a non-glob path
+        return []
+    return [(s.getPath().toString(), s.getModificationTime(), s.getLen(), s.isDirectory())
+            for s in statuses]
+
+
+def _listing(spark: SparkSession, glob: str, strict: bool) -> DataFrame:
+    rows = _glob(spark, glob)
+    if strict and not rows:
+        raise FileNotFoundError(f"nothing matches {glob}")
+    return spark.createDataFrame(rows, _LISTING)
 
 
 def list_files(spark: SparkSession, glob: str, strict: bool = False) -> DataFrame:
-    """``(path, modified)``: fully qualified path of every matched file.
+    """``(path, modified, size_bytes, is_dir)`` for every entry ``glob`` matches.
 
-    Only file metadata is read; contents are pruned from the scan.  A matched
-    folder contributes the files in it; names starting with ``_`` or ``.``
-    are hidden, as for every Spark file source.
+    Paths are fully qualified (``scheme:/...``).  No match gives an empty
+    frame, or ``FileNotFoundError`` when ``strict``.
     """
-    return _scan(spark, glob, strict).select("path", F.col("modificationTime").alias("modified"))
+    return _listing(spark, glob, strict).select(
+        "path", F.timestamp_millis("modified_ms").alias("modified"), "size_bytes", "is_dir")
 
 
 def file_sizes(spark: SparkSession, glob: str, strict: bool = False) -> DataFrame:
-    """``(path, size_bytes)``; filters on ``size_bytes`` are pushed to the listing."""
-    return _scan(spark, glob, strict).select("path", F.col("length").alias("size_bytes"))
+    """``(path, size_bytes)`` of the matched files (folders are left out)."""
+    return _listing(spark, glob, strict).where(~F.col("is_dir")).select("path", "size_bytes")
+
+
+def _hidden(path: str) -> bool:
+    name = path.rstrip("/").rsplit("/", 1)[-1]
+    return name.startswith(("_", "."))
 
 
 def read_files(spark: SparkSession, glob: str, strict: bool = False) -> DataFrame:
-    """``(path, content)``: each file's bytes, one row per file.
+    """``(path, content)``: the bytes of each matched file, one row per file.
 
-    One file is one row, so a file must fit one task
-    (``spark.sql.sources.binaryFile.maxLength``, 2 GiB at most).
+    Non-empty files are read by a ``binaryFile`` scan spread over tasks; a
+    file must fit one task (``spark.sql.sources.binaryFile.maxLength``, 2 GiB
+    at most).  Empty files give empty content.  Hidden names (``_x``, ``.x``)
+    are skipped, as by every Spark file source.
     """
-    return _scan(spark, glob, strict).select("path", "content")
+    rows = [r for r in _glob(spark, glob) if not r[3] and not _hidden(r[0])]
+    if strict and not rows:
+        raise FileNotFoundError(f"no readable file matches {glob}")
+    schema = "path string, content binary"
+    empty = spark.createDataFrame([(r[0], bytearray()) for r in rows if r[2] == 0], schema)
+    full = [r[0] for r in rows if r[2] > 0]
+    if not full:
+        return empty
+    scan = spark.read.format("binaryFile").load(full).select("path", "content")
+    return scan.unionByName(empty) if len(full) < len(rows) else scan
