@@ -27,9 +27,10 @@ _pool_lock = threading.Lock()
 
 
 def snapshot(df: DataFrame, temp_dir: str | None = None, codec: str = PARQUET,
-             partitions: int | None = None, max_records_per_file: int | None = None) -> DataFrame:
+             partitions: int | None = None, max_records_per_file: int | None = None,
+             compression: str | None = None) -> DataFrame:
     """Write ``df`` as a snapshot and return a frame over the stored rows."""
-    path = write_snapshot(df, temp_dir, codec, partitions, max_records_per_file)
+    path = write_snapshot(df, temp_dir, codec, partitions, max_records_per_file, compression)
     return read_snapshot(df.sparkSession, path, df.schema, codec)
 
 

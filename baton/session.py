@@ -51,6 +51,29 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def write_small_file(spark: SparkSession, path: str, text: str) -> None:
+    """Create ``path`` holding ``text`` (UTF-8); fails if it exists.  For
+    metadata only: no Spark job, one file-system call from the driver."""
+    p, fs = _hadoop_path(spark, path)
+    out = fs.create(p, False)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_small_file(spark: SparkSession, path: str) -> str | None:
+    """The UTF-8 text of a small metadata file, or ``None`` if absent."""
+    p, fs = _hadoop_path(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode("utf-8")
+    finally:
+        stream.close()
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Recursively delete ``path``; used only to release a snapshot on request."""
     p, fs = _hadoop_path(spark, path)

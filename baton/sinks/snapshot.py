@@ -7,16 +7,17 @@ import json
 from pyspark.sql import DataFrame
 
 from baton.operators.rowcodec import check_codec, encode_rows
-from baton.session import new_snapshot_path
+from baton.session import new_snapshot_path, write_small_file
 
 PARQUET = "parquet"
-MANIFEST = "_manifest"  # hidden from readers of the snapshot folder
+MANIFEST = "_manifest.json"  # hidden from readers of the snapshot folder
 MANIFEST_VERSION = 1
 
 
 def write_snapshot(df: DataFrame, temp_dir: str | None = None, codec: str = PARQUET,
                    partitions: int | None = None,
-                   max_records_per_file: int | None = None) -> str:
+                   max_records_per_file: int | None = None,
+                   compression: str | None = None) -> str:
     """Materialise ``df`` under ``temp_dir`` (default: the session's
     ``spark.checkpoint.dir``) and return the new path.
 
@@ -24,8 +25,11 @@ def write_snapshot(df: DataFrame, temp_dir: str | None = None, codec: str = PARQ
     projections reach the scan.  ``json`` / ``utf8`` write one base64 line per
     row (portable text).  The write keeps the input partitioning: no shuffle
     unless ``partitions`` asks for one; ``max_records_per_file`` bounds file
-    size without a shuffle.  Output goes through Spark's commit protocol, so a
-    lost executor only re-runs its tasks and a failed job leaves no ``_SUCCESS``.
+    size without a shuffle.  ``compression`` is passed to the writer (for
+    text, an unsplittable codec such as ``gzip`` means one reader task per
+    file, so bound the files too).  Output goes through Spark's commit
+    protocol, so a lost executor only re-runs its tasks and a failed job
+    leaves no ``_SUCCESS`` and no manifest.
     """
     spark = df.sparkSession
     if codec != PARQUET:
@@ -36,6 +40,8 @@ def write_snapshot(df: DataFrame, temp_dir: str | None = None, codec: str = PARQ
     writer = out.write.mode("errorifexists")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", int(max_records_per_file))
+    if compression:
+        writer = writer.option("compression", compression)
     if codec == PARQUET:
         writer.parquet(path)
     else:
@@ -47,5 +53,4 @@ def write_snapshot(df: DataFrame, temp_dir: str | None = None, codec: str = PARQ
 def write_manifest(spark, path: str, codec: str, schema_json: str) -> None:
     """Record codec and schema next to the data, after the data committed."""
     doc = json.dumps({"version": MANIFEST_VERSION, "codec": codec, "schema": json.loads(schema_json)})
-    (spark.createDataFrame([(doc,)], "value string").coalesce(1)
-     .write.mode("errorifexists").text(path.rstrip("/") + "/" + MANIFEST))
+    write_small_file(spark, path.rstrip("/") + "/" + MANIFEST, doc)

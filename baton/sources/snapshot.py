@@ -9,17 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from baton.operators.rowcodec import _as_struct, decode_rows
-from baton.session import path_exists
+from baton.session import path_exists, read_small_file
 from baton.sinks.snapshot import MANIFEST, PARQUET
 
 
 def read_manifest(spark: SparkSession, path: str) -> dict | None:
     """The snapshot's codec and schema, or ``None`` for a foreign folder."""
-    mpath = path.rstrip("/") + "/" + MANIFEST
-    if not path_exists(spark, mpath):
-        return None
-    line = spark.read.text(mpath).first()  # one short line
-    return json.loads(line[0]) if line else None
+    text = read_small_file(spark, path.rstrip("/") + "/" + MANIFEST)
+    return json.loads(text) if text else None
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: T.StructType | str | None,

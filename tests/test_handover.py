@@ -182,3 +182,10 @@ def test_duplicates_kept(spark, tmp_dir):
     df = spark.createDataFrame([(1,), (1,), (2,)], "a int")
     for codec in ("parquet", "json"):
         assert values(snapshot(df, tmp_dir, codec)) == [1, 1, 2]
+
+
+def test_text_snapshot_with_compression(spark, tmp_dir):
+    docs = spark.read.parquet(f"{SF0001}/documents.parquet")
+    path = write_snapshot(docs, tmp_dir, codec="json", compression="gzip", max_records_per_file=50)
+    assert any(f.endswith(".gz") for f in os.listdir(local(path)))
+    assert same_rows(open_snapshot(spark, path), docs)
