@@ -17,7 +17,7 @@ JSON_OPTIONS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
-DECODE_OPTIONS = dict(JSON_OPTIONS, mode="FAILFAST")
+DECODE_OPTIONS = {"mode": "FAILFAST"}
 
 CODECS = ("json", "utf8")
 

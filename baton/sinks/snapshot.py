@@ -11,7 +11,7 @@ from baton.session import new_snapshot_path, write_small_file
 
 PARQUET = "parquet"
 MANIFEST = "_manifest.json"  # hidden from readers of the snapshot folder
-MANIFEST_VERSION = 1
+MANIFEST_VERSION = 2  # 2: json lines keyed by column position
 
 
 def write_snapshot(df: DataFrame, temp_dir: str | None = None, codec: str = PARQUET,
@@ -52,5 +52,6 @@ def write_snapshot(df: DataFrame, temp_dir: str | None = None, codec: str = PARQ
 
 def write_manifest(spark, path: str, codec: str, schema_json: str) -> None:
     """Record codec and schema next to the data, after the data committed."""
-    doc = json.dumps({"version": MANIFEST_VERSION, "codec": codec, "schema": json.loads(schema_json)})
+    doc = json.dumps({"version": MANIFEST_VERSION, "codec": codec, "keys": "position",
+                      "schema": json.loads(schema_json)})
     write_small_file(spark, path.rstrip("/") + "/" + MANIFEST, doc)

@@ -20,21 +20,21 @@ def read_manifest(spark: SparkSession, path: str) -> dict | None:
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: T.StructType | str | None,
-                  codec: str = PARQUET) -> DataFrame:
+                  codec: str = PARQUET, keys: str = "position") -> DataFrame:
     """The lazy scan of ``path`` decoded with ``codec``; no checks."""
     if codec == PARQUET:
         reader = spark.read
         if schema is not None:
             reader = reader.schema(_as_struct(schema))  # skips footer inference
         return reader.parquet(path)
-    return decode_rows(spark.read.text(path), schema, codec)
+    return decode_rows(spark.read.text(path), schema, codec, keys=keys)
 
 
 def open_snapshot(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-                  codec: str | None = None) -> DataFrame:
+                  codec: str | None = None, keys: str = "position") -> DataFrame:
     """A lazy frame over the stored rows of ``path``.
 
-    Codec and schema default to the snapshot's manifest.  A folder with
+    Codec, schema and the JSON key style default to the snapshot's manifest.  A folder with
     neither manifest nor ``_SUCCESS`` is refused: a half-written snapshot is
     never opened.  The plan's only leaf is the scan of ``path``, so the frame
     does not recompute or follow its source.
@@ -44,6 +44,7 @@ def open_snapshot(spark: SparkSession, path: str, schema: T.StructType | str | N
         codec = codec or manifest["codec"]
         if schema is None:
             schema = T.StructType.fromJson(manifest["schema"])
+        keys = manifest.get("keys", "name")
     elif not path_exists(spark, path.rstrip("/") + "/_SUCCESS"):
         raise FileNotFoundError(f"no committed snapshot at {path} (no manifest, no _SUCCESS)")
-    return read_snapshot(spark, path, schema, codec or PARQUET)
+    return read_snapshot(spark, path, schema, codec or PARQUET, keys)

@@ -162,3 +162,17 @@ def test_decode_needs_schema_for_json(spark):
 def test_unknown_codec(spark, tmp_dir):
     with pytest.raises(ValueError):
         write_snapshot(spark.range(1), tmp_dir, codec="avro")
+
+
+def test_json_keys_by_position_or_name(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "a int, `b.c` string")
+    line = encode_rows(df, "json").first()[0]
+    assert base64.b64decode(line).decode() == '{"0":1,"1":"a"}'
+    named = encode_rows(df, "json", keys="name")
+    assert base64.b64decode(named.first()[0]).decode() == '{"a":1,"b.c":"a"}'
+    for keys, lines in (("position", encode_rows(df, "json")), ("name", named)):
+        back = decode_rows(lines, df.schema, "json", keys=keys)
+        assert back.columns == ["a", "b.c"]
+        assert frame_diff(df, back).count() == 0
+    with pytest.raises(ValueError):
+        encode_rows(df, "json", keys="other")
