@@ -82,13 +82,14 @@ def decode_rows(df: DataFrame, schema: T.StructType | str | None = None,
     _check_keys(keys)
     st = _as_struct(schema)
     check_json_schema(st)
-    if keys == "name":
-        return df.select(decode_json(line, st).alias("__row")).select("__row.*")
-    positional = T.StructType([T.StructField(str(i), f.dataType, True, f.metadata)
-                               for i, f in enumerate(st.fields)])
-    row = F.col("__row")
-    return (df.select(decode_json(line, positional).alias("__row"))
-            .select(*[row.getField(str(i)).alias(f.name) for i, f in enumerate(st.fields)]))
+    wire = st if keys == "name" else T.StructType(
+        [T.StructField(str(i), f.dataType, True, f.metadata) for i, f in enumerate(st.fields)])
+    # The struct is unpacked by a one-element ``inline`` (a Generate), not by
+    # field access on a projected column: a filter on a decoded field cannot
+    # be pushed below a Generate, so each line is parsed once, not once for
+    # the filter and again for the projection.
+    rows = df.select(F.inline(F.array(decode_json(line, wire))))
+    return rows.select(*[quote(w.name).alias(f.name) for w, f in zip(wire.fields, st.fields)])
 
 
 def _as_struct(schema) -> T.StructType:

@@ -176,3 +176,12 @@ def test_json_keys_by_position_or_name(spark):
         assert frame_diff(df, back).count() == 0
     with pytest.raises(ValueError):
         encode_rows(df, "json", keys="other")
+
+
+def test_filtered_text_snapshot_decodes_each_line_once(spark, tmp_dir):
+    from baton.plans import plan_text
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    back = snapshot(orders, tmp_dir, "json")
+    q = back.where(F.col("o_totalprice") > 1000).select("o_orderkey")
+    assert plan_text(q, "simple").count("from_json(") == 1
+    assert q.count() == orders.where(F.col("o_totalprice") > 1000).count()
