@@ -1,0 +1,41 @@
+"""Run in its own process: a snapshot whose tasks fail once and are retried."""
+
+import os
+import sys
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
+from pyspark import TaskContext  # noqa: E402
+from pyspark.sql import SparkSession  # noqa: E402
+
+from baton import open_snapshot, same_rows, write_snapshot  # noqa: E402
+
+
+def flaky(batches):
+    ctx = TaskContext.get()
+    first = True
+    for pdf in batches:
+        yield pdf
+        # fail the first attempt of every task after it produced output
+        if first and ctx.attemptNumber() == 0:
+            raise RuntimeError("simulated executor loss")
+        first = False
+
+
+def main(tmp_dir):
+    spark = (SparkSession.builder.master("local[4,3]").config("spark.ui.enabled", "false")
+             .config("spark.sql.shuffle.partitions", "4").getOrCreate())
+    spark.sparkContext.setLogLevel("OFF")
+    src = spark.range(0, 20000, numPartitions=4).selectExpr("id", "id * 2 AS v")
+    shaky = src.mapInPandas(flaky, src.schema)
+    for codec in ("parquet", "json"):
+        path = write_snapshot(shaky, tmp_dir, codec=codec)
+        back = open_snapshot(spark, path)
+        assert back.count() == 20000, back.count()
+        assert same_rows(back, src)
+    print("RETRY-OK")
+    spark.stop()
+
+
+if __name__ == "__main__":
+    main(sys.argv[1])

@@ -189,3 +189,11 @@ def test_text_snapshot_with_compression(spark, tmp_dir):
     path = write_snapshot(docs, tmp_dir, codec="json", compression="gzip", max_records_per_file=50)
     assert any(f.endswith(".gz") for f in os.listdir(local(path)))
     assert same_rows(open_snapshot(spark, path), docs)
+
+
+def test_snapshot_survives_task_retries(tmp_dir):
+    import subprocess
+    import sys
+    script = os.path.join(os.path.dirname(__file__), "scripts", "retry_snapshot.py")
+    out = subprocess.run([sys.executable, script, tmp_dir], capture_output=True, text=True, timeout=600)
+    assert "RETRY-OK" in out.stdout, out.stderr[-3000:]
