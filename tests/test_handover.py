@@ -197,3 +197,20 @@ def test_snapshot_survives_task_retries(tmp_dir):
     script = os.path.join(os.path.dirname(__file__), "scripts", "retry_snapshot.py")
     out = subprocess.run([sys.executable, script, tmp_dir], capture_output=True, text=True, timeout=600)
     assert "RETRY-OK" in out.stdout, out.stderr[-3000:]
+
+
+def _slow(batches):
+    import time as _t
+    _t.sleep(3)
+    yield from batches
+
+
+def test_async_snapshots_overlap(spark, tmp_dir):
+    import time
+    frames = [spark.range(0, 10, numPartitions=1).mapInPandas(_slow, "id long") for _ in range(2)]
+    snapshot(frames[0], tmp_dir)  # warm the path once
+    t0 = time.time()
+    a, b = snapshot_all(frames, tmp_dir)
+    elapsed = time.time() - t0
+    assert a.count() == 10 and b.count() == 10
+    assert elapsed < 5.5, f"writes did not overlap: {elapsed:.1f}s for two 3s jobs"
