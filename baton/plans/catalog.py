@@ -127,6 +127,23 @@ def snapshot_reopen_manifest(spark, sf_dir):
     return open_snapshot(spark, path)
 
 
+@register("snapshot_bounded_files", "SELECT * FROM events")
+def snapshot_bounded_files(spark, sf_dir):
+    # files bounded by rows and gzip-compressed: each file is one reader task
+    return snapshot(table(spark, sf_dir, "events"), codec="json",
+                    max_records_per_file=25_000, compression="gzip")
+
+
+@register("text_lines_decode", "SELECT * FROM orders")
+def text_lines_decode(spark, sf_dir):
+    # how another session reads a text snapshot: open the lines, decode them
+    # with the schema it was handed
+    orders = table(spark, sf_dir, "orders")
+    from baton.sinks import write_snapshot
+    path = write_snapshot(orders, codec="json")
+    return decode_rows(open_text(spark, path), orders.schema, "json")
+
+
 # --- T2: concurrent handovers --------------------------------------------------
 
 @register("snapshot_async_pair", """

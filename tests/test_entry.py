@@ -35,3 +35,14 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(cols) == sorted(dcols)
     assert len(rows) == len(drows)
     assert canon(cols, rows) == canon(dcols, drows)
+
+
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BroadcastExchange",
+             "GlobalLimit", "CollectLimit", "Sample")
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_query_plans_have_no_cross_join_broadcast_or_cap(spark, name):
+    from baton.plans import plan_text
+    text = plan_text(E.queries()[name](spark, "/root/testdata/sf0.001"), "simple")
+    assert not [w for w in FORBIDDEN if w in text], text
