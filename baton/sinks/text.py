@@ -21,6 +21,6 @@ def save_text(df: DataFrame, path: str, column: str | None = None, mode: str = "
         column = df.columns[0]
     v = quote(column).cast("string")
     guarded = (F.when(v.isNull(), F.raise_error(F.lit("save_text: NULL value")).cast("string"))
-               .when(v.rlike("[\r\n]"), F.raise_error(F.lit("save_text: line break in value")).cast("string"))
+               .when(v.contains("\n") | v.contains("\r"), F.raise_error(F.lit("save_text: line break in value")).cast("string"))
                .otherwise(v))
     df.select(guarded.alias("value")).write.mode(mode).text(path)
