@@ -5,6 +5,14 @@ rows; re-open saved text and catalog tables; conform rows to a declared
 schema; query files as a table; check that two tables hold the same rows.
 """
 
+import sys as _sys
+
+from pyspark import cloudpickle as _cloudpickle
+
+# The few per-row helpers (the RDD pickle codec) are shipped with the task
+# by value, so executors need no installed copy of this package.
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+
 from baton.functions import resolve_path
 from baton.operators import (
     conform,
