@@ -46,3 +46,14 @@ def test_query_plans_have_no_cross_join_broadcast_or_cap(spark, name):
     from baton.plans import plan_text
     text = plan_text(E.queries()[name](spark, "/root/testdata/sf0.001"), "simple")
     assert not [w for w in FORBIDDEN if w in text], text
+
+
+def test_entry_works_from_another_folder(tmp_path):
+    import os
+    import subprocess
+    import sys
+    script = os.path.join(os.path.dirname(__file__), "scripts", "foreign_cwd.py")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, script, "/root/testdata/sf0.001"], cwd=str(tmp_path),
+                         env=env, capture_output=True, text=True, timeout=600)
+    assert "FOREIGN-OK" in out.stdout, out.stderr[-3000:]
