@@ -16,7 +16,6 @@ from baton.functions.codec import (
 )
 
 VALUE = "value"
-UTF8_SCHEMA = T.StructType([T.StructField(VALUE, T.StringType(), True)])
 KEYS = ("position", "name")
 
 

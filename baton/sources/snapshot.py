@@ -41,7 +41,9 @@ def open_snapshot(spark: SparkSession, path: str, schema: T.StructType | str | N
     """
     manifest = read_manifest(spark, path)
     if manifest is not None:
-        codec = codec or manifest["codec"]
+        if codec is not None and codec != manifest["codec"]:
+            raise ValueError(f"{path} was written with codec {manifest['codec']!r}, not {codec!r}")
+        codec = manifest["codec"]
         if schema is None:
             schema = T.StructType.fromJson(manifest["schema"])
         keys = manifest.get("keys", "name")

@@ -214,3 +214,10 @@ def test_async_snapshots_overlap(spark, tmp_dir):
     elapsed = time.time() - t0
     assert a.count() == 10 and b.count() == 10
     assert elapsed < 5.5, f"writes did not overlap: {elapsed:.1f}s for two 3s jobs"
+
+
+def test_open_refuses_a_contradicting_codec(spark, tmp_dir):
+    path = write_snapshot(ints(spark), tmp_dir, codec="json")
+    with pytest.raises(ValueError):
+        open_snapshot(spark, path, codec="parquet")
+    assert values(open_snapshot(spark, path, codec="json")) == list(range(1, 11))
