@@ -5,7 +5,6 @@ from __future__ import annotations
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from baton import conform, file_sizes, list_files, open_table, open_typed, read_files, resolve_path
 from tests.conftest import SF0001
