@@ -65,3 +65,21 @@ def test_utf8_codec_round_trips_random_text(spark, batch):
     df = spark.createDataFrame([(t,) for t in batch], "value string")
     back = decode_rows(encode_rows(df, "utf8"), codec="utf8")
     assert sorted(r[0] for r in back.collect()) == sorted(batch)
+
+
+small_rows = st.tuples(st.none() | st.integers(0, 3), st.sampled_from(["a", "b", None]))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(small_rows, max_size=60), st.lists(small_rows, max_size=60))
+def test_frame_diff_matches_counter_subtraction(spark, left, right):
+    from collections import Counter
+    schema = "k int, v string"
+    lf, rf = spark.createDataFrame(left, schema), spark.createDataFrame(right, schema)
+    got = {(r.k, r.v, r.side): r.n for r in frame_diff(lf, rf).collect()}
+    lc, rc = Counter(left), Counter(right)
+    want = {**{(*row, "left_only"): n for row, n in (lc - rc).items()},
+            **{(*row, "right_only"): n for row, n in (rc - lc).items()}}
+    assert got == want
+    expanded = Counter((r.k, r.v, r.side) for r in frame_diff(lf, rf, expand=True, chunk_rows=3).collect())
+    assert dict(expanded) == want
