@@ -54,3 +54,22 @@ def test_one_shuffle_with_partial_counts(spark):
     plan = plan_text(frame_diff(a, a))
     assert plan.count("+- Exchange") == 1 and "hashpartitioning" in plan
     assert "partial_sum" in plan
+
+
+def test_hot_row_is_combined_before_the_shuffle(tmp_path):
+    import json
+    import os
+    import subprocess
+    import sys
+    script = os.path.join(os.path.dirname(__file__), "scripts", "hot_row_shuffle.py")
+    out = subprocess.run([sys.executable, script, "/root/testdata/sf0.001", str(tmp_path)],
+                         capture_output=True, text=True, timeout=600)
+    line = [x for x in out.stdout.splitlines() if x.startswith("{")]
+    assert line, out.stderr[-3000:]
+    stats = json.loads(line[-1])
+    hot = stats["hot_copies"]
+    assert stats["diff"][0][2:] == ["left_only", hot] and len(stats["diff"]) == 1
+    # the copies collapse map-side: at most one record per map task survives
+    assert stats["shuffle_records_written"] <= stats["input_rows"] - hot + 16
+    # and no reduce task receives the hot group's copies
+    assert stats["max_records_read_by_one_task"] < hot
