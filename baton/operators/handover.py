@@ -44,21 +44,29 @@ def _default_pool() -> ThreadPoolExecutor:
 
 
 def snapshot_async(df: DataFrame, temp_dir: str | None = None, codec: str = PARQUET,
-                   executor: ThreadPoolExecutor | None = None, **kwargs) -> Future:
+                   executor: ThreadPoolExecutor | None = None, pool: str | None = None,
+                   **kwargs) -> Future:
     """:func:`snapshot` from a driver thread; returns a ``Future[DataFrame]``.
 
     Several calls run their write jobs concurrently on the same cluster;
-    the thread inherits the caller's job group and scheduler pool.  A failed
-    write surfaces as the future's exception.
+    the thread inherits the caller's job group and scheduler pool, or runs
+    in the scheduler ``pool`` given (with ``spark.scheduler.mode=FAIR``,
+    concurrent writes then share executors evenly).  A failed write
+    surfaces as the future's exception.
     """
-    run = inheritable_thread_target(df.sparkSession)(lambda: snapshot(df, temp_dir, codec, **kwargs))
-    return (executor or _default_pool()).submit(run)
+    def run():
+        if pool is not None:
+            df.sparkSession.sparkContext.setLocalProperty("spark.scheduler.pool", pool)
+        return snapshot(df, temp_dir, codec, **kwargs)
+
+    return (executor or _default_pool()).submit(inheritable_thread_target(df.sparkSession)(run))
 
 
 def snapshot_all(frames, temp_dir: str | None = None, codec: str = PARQUET,
-                 executor: ThreadPoolExecutor | None = None, **kwargs) -> list[DataFrame]:
+                 executor: ThreadPoolExecutor | None = None, pool: str | None = None,
+                 **kwargs) -> list[DataFrame]:
     """Snapshot several frames at once; waits for all, raises the first failure."""
-    futures = [snapshot_async(df, temp_dir, codec, executor, **kwargs) for df in frames]
+    futures = [snapshot_async(df, temp_dir, codec, executor, pool, **kwargs) for df in frames]
     errors = [f.exception() for f in futures]
     for err in errors:
         if err is not None:

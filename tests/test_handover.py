@@ -221,3 +221,17 @@ def test_open_refuses_a_contradicting_codec(spark, tmp_dir):
     with pytest.raises(ValueError):
         open_snapshot(spark, path, codec="parquet")
     assert values(open_snapshot(spark, path, codec="json")) == list(range(1, 11))
+
+
+def test_async_in_a_scheduler_pool(spark, tmp_dir):
+    a, b = snapshot_all([ints(spark), ints(spark)], tmp_dir, pool="handover")
+    assert values(a) == values(b) == list(range(1, 11))
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
+
+
+def test_special_column_names(spark, tmp_dir):
+    df = spark.createDataFrame([(1, "a", 2.0)], "`a b` int, `x,y;z` string, `k=v` double")
+    for codec in ("parquet", "json"):
+        out = snapshot(df, tmp_dir, codec)
+        assert out.columns == ["a b", "x,y;z", "k=v"]
+        assert same_rows(df, out)
