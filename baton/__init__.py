@@ -26,7 +26,7 @@ from baton.operators import (
     snapshot_async,
     snapshot_rdd,
 )
-from baton.sinks import save_text, write_snapshot
+from baton.sinks import release_snapshot, save_text, write_snapshot
 from baton.sources import (
     file_sizes,
     list_files,
@@ -50,6 +50,7 @@ __all__ = [
     "open_typed",
     "rdd_to_frame",
     "read_files",
+    "release_snapshot",
     "resolve_path",
     "same_rows",
     "save_text",

@@ -1,6 +1,6 @@
 """Sinks: durable snapshots and plain text."""
 
-from baton.sinks.snapshot import write_snapshot
+from baton.sinks.snapshot import release_snapshot, write_snapshot
 from baton.sinks.text import save_text
 
-__all__ = ["save_text", "write_snapshot"]
+__all__ = ["release_snapshot", "save_text", "write_snapshot"]

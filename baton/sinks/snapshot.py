@@ -55,3 +55,14 @@ def write_manifest(spark, path: str, codec: str, schema_json: str) -> None:
     doc = json.dumps({"version": MANIFEST_VERSION, "codec": codec, "keys": "position",
                       "schema": json.loads(schema_json)})
     write_small_file(spark, path.rstrip("/") + "/" + MANIFEST, doc)
+
+
+def release_snapshot(spark, path: str) -> None:
+    """Delete a snapshot written by :func:`write_snapshot` once no frame
+    needs it any more.  Only folders carrying the snapshot manifest are
+    deleted, so a mistyped path cannot remove other data."""
+    from baton.session import delete_path, path_exists
+
+    if not path_exists(spark, path.rstrip("/") + "/" + MANIFEST):
+        raise ValueError(f"{path} is not a snapshot written by write_snapshot")
+    delete_path(spark, path)

@@ -240,3 +240,15 @@ def test_special_column_names(spark, tmp_dir):
         out = snapshot(df, tmp_dir, codec)
         assert out.columns == ["a b", "x,y;z", "k=v"]
         assert same_rows(df, out)
+
+
+def test_release_snapshot_only_deletes_snapshots(spark, tmp_dir):
+    from baton import release_snapshot
+    path = write_snapshot(ints(spark), tmp_dir)
+    release_snapshot(spark, path)
+    assert not os.path.exists(local(path))
+    other = os.path.join(tmp_dir, "keep")
+    ints(spark).write.parquet(other)
+    with pytest.raises(ValueError):
+        release_snapshot(spark, other)
+    assert os.path.exists(other)
