@@ -185,3 +185,11 @@ def test_filtered_text_snapshot_decodes_each_line_once(spark, tmp_dir):
     q = back.where(F.col("o_totalprice") > 1000).select("o_orderkey")
     assert plan_text(q, "simple").count("from_json(") == 1
     assert q.count() == orders.where(F.col("o_totalprice") > 1000).count()
+
+
+@pytest.mark.parametrize("codec", ["json", "parquet"])
+def test_user_defined_types_round_trip(spark, tmp_dir, codec):
+    from pyspark.ml.linalg import Vectors
+    df = spark.createDataFrame([(1, Vectors.dense([1.0, 2.0])), (2, Vectors.sparse(3, [0], [5.0]))], ["id", "v"])
+    back = snapshot(df, tmp_dir, codec)
+    assert sorted((r.id, r.v) for r in back.collect()) == sorted((r.id, r.v) for r in df.collect())
