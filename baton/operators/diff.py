@@ -15,7 +15,8 @@ _N = "__baton_n"
 
 
 def _has_map(dt: T.DataType) -> bool:
-    if isinstance(dt, T.MapType):
+    """Whether ``dt`` holds a type Spark cannot group on (map, variant)."""
+    if isinstance(dt, (T.MapType, T.VariantType)):
         return True
     if isinstance(dt, T.ArrayType):
         return _has_map(dt.elementType)
@@ -25,10 +26,14 @@ def _has_map(dt: T.DataType) -> bool:
 
 
 def _comparable(c: Column, dt: T.DataType) -> Column:
-    """Maps are not comparable in Spark; turn each into its entries sorted
-    by key, at any depth, so equal maps group together."""
+    """Maps and variants cannot be grouped on.  Each map becomes its entries
+    sorted by key, at any depth, so equal maps group together; a variant
+    becomes its JSON text (object keys are stored sorted, so the text is
+    canonical)."""
     if not _has_map(dt):
         return c
+    if isinstance(dt, T.VariantType):
+        return F.to_json(c)
     if isinstance(dt, T.MapType):
         entries = F.map_entries(c)
         if _has_map(dt.valueType):
@@ -51,7 +56,9 @@ def frame_diff(left: DataFrame, right: DataFrame, expand: bool = False,
                chunk_rows: int = 1 << 16) -> DataFrame:
     """Rows whose count differs between ``left`` and ``right``.
 
-    Columns are matched by name.  The result has the columns plus ``side``
+    Columns are matched by name (map and variant columns are compared by
+    content and come back as sorted entries / JSON text).  The result has
+    the columns plus ``side``
     (``left_only`` / ``right_only``) and ``n``, how many more copies that
     side holds; it is empty exactly when the two are equal as multisets.
 

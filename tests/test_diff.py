@@ -73,3 +73,11 @@ def test_hot_row_is_combined_before_the_shuffle(tmp_path):
     assert stats["shuffle_records_written"] <= stats["input_rows"] - hot + 16
     # and no reduce task receives the hot group's copies
     assert stats["max_records_read_by_one_task"] < hot
+
+
+def test_variant_columns_compare_by_content(spark):
+    a = spark.range(2).selectExpr("id", "parse_json('{\"b\": 1, \"a\": [true, null]}') AS v")
+    b = spark.range(2).selectExpr("id", "parse_json('{\"a\": [true, null], \"b\": 1}') AS v")
+    c = spark.range(2).selectExpr("id", "parse_json('{\"a\": [true, null], \"b\": 2}') AS v")
+    assert same_rows(a, b)
+    assert frame_diff(a, c).count() == 4
