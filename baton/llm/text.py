@@ -8,6 +8,8 @@ range of any length costs the same.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -91,6 +93,16 @@ def flat(column) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0]:at[-1]], at - at[0]
 
 
+def slices(batch: pa.RecordBatch, text: str, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of a few MB of text, so that memory stays bounded."""
+    _, offsets = flat(batch.column(batch.schema.get_field_index(text)))
+    a = 0
+    while a < batch.num_rows:
+        b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + size, side="right")) - 1)
+        yield batch.slice(a, b - a)
+        a = b
+
+
 def lower(data: np.ndarray) -> np.ndarray:
     """A-Z to a-z; every other byte stays."""
     return _LOWER[data]
