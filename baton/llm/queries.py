@@ -7,8 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from baton.llm import toxicity
+from baton.llm.decontaminate import decontaminate
+from baton.llm.html_text import extract_text
+from baton.llm.jaccard_join import jaccard_components
+from baton.llm.lm import score_documents
+from baton.llm.mixing import mix_sources
 from baton.llm.substring_dedup import dedup_words
 from baton.llm.suffix_array_dedup import dedup_bytes
+from baton.llm.token_counts import token_counts
+from baton.llm.topk import top_k
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -74,6 +82,79 @@ def op4_suffix_array_dedup(spark, sf_dir):
     return dedup_bytes(documents(spark, sf_dir))
 
 
+@register("op2_exact_topk", """
+    WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+               WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+          FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+    SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 20""")
+def op2_exact_topk(spark, sf_dir):
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@register("op3_token_counts")
+def op3_token_counts(spark, sf_dir):
+    return token_counts(spark, table(spark, sf_dir, "documents").select("text"))
+
+
+@register("op5_lm_scoring")
+def op5_lm_scoring(spark, sf_dir):
+    return score_documents(documents(spark, sf_dir))
+
+
+@register("op6_html_extraction")
+def op6_html_extraction(spark, sf_dir):
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
+@register("op7_toxicity")
+def op7_toxicity(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), toxicity.severity_grade())
+    return toxicity.severity(docs, model)
+
+
+@register("op8_mixing")
+def op8_mixing(spark, sf_dir):
+    return mix_sources(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+
+
+@register("op9_decontamination", r"""
+    WITH low AS (SELECT translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t, doc_id FROM documents),
+    d AS (SELECT doc_id, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM low),
+    b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+    bw AS (SELECT DISTINCT item_id, z, array_to_string(w[p:p + z - 1], ' ') AS k
+           FROM (SELECT item_id, w, least(len(w), 10) AS z, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS p FROM b WHERE len(w) > 0)),
+    dw AS (SELECT doc_id, z, p, array_to_string(w[p:p + z - 1], ' ') AS k
+           FROM (SELECT doc_id, w, z, unnest(range(1, greatest(len(w) - z + 2, 1))) AS p FROM d, (SELECT DISTINCT z FROM bw))),
+    m AS (SELECT doc_id, p, z, item_id FROM dw JOIN bw USING (z, k)),
+    hit AS (SELECT doc_id, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest(range(p, p + z)) AS i FROM m) GROUP BY doc_id),
+    held AS (SELECT doc_id, count(*) AS n, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+             FROM (SELECT DISTINCT doc_id, item_id FROM m) GROUP BY doc_id)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(hit.n, 0) AS BIGINT) AS n_hit,
+           CAST(coalesce(held.n, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, hit.n IS NOT NULL AS contaminated
+    FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN held USING (doc_id)""")
+def op9_decontamination(spark, sf_dir):
+    return decontaminate(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+@register("op10_jaccard_join", r"""
+    WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                  'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    s AS (SELECT DISTINCT doc_id, array_to_string(w[p:p + 2], ' ') AS k
+          FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS p FROM d WHERE len(w) > 0)),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.k = y.k AND x.doc_id <> y.doc_id GROUP BY ALL),
+    link AS (SELECT a, b FROM c JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 90 * (na.n + nb.n - c)),
+    reach AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
+    SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(min(reach.b), d.doc_id)) AS component_id
+    FROM d LEFT JOIN n USING (doc_id) LEFT JOIN reach ON reach.a = d.doc_id GROUP BY d.doc_id, n.n""")
+def op10_jaccard_join(spark, sf_dir):
+    return jaccard_components(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 
