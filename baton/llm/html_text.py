@@ -15,7 +15,7 @@ the empty text; any string is accepted, well formed or not.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from html import unescape
 
 import pyarrow as pa
@@ -49,6 +49,8 @@ IMPLIED = {
 }
 #: End tags do not reach out of these.
 SCOPE = frozenset("table td th caption html template".split())
+CELLS = frozenset("td th caption".split())
+TABLE_PARTS = frozenset("tr thead tbody tfoot table".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 BODY_STARTS = BLOCK - {"html", "body"}
 
@@ -75,19 +77,26 @@ def _conceals(tag: str, attrs: dict[str, str]) -> bool:
 def events(html: str) -> Iterator[tuple[str, str, dict[str, str]]]:
     """("open", tag, attributes), ("text", characters, {}) and ("close", tag, {}), balanced."""
     stack: list[str] = []
+    where: dict[str, list[int]] = {}  # the places of each open element, so that no search walks the stack
     at, n = 0, len(html)
 
+    def last(names: Iterable[str]) -> int:
+        return max((where[x][-1] for x in names if where.get(x)), default=-1)
+
+    def push(tag: str) -> None:
+        where.setdefault(tag, []).append(len(stack))
+        stack.append(tag)
+
     def close_to(depth: int):
         while len(stack) > depth:
-            yield "close", stack.pop(), {}
+            tag = stack.pop()
+            where[tag].pop()
+            yield "close", tag, {}
 
     def imply(names: frozenset[str], bounds: frozenset[str]):
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i] in bounds:
-                return
-            if stack[i] in names:
-                yield from close_to(i)
-                return
+        i = last(names)
+        if i > last(bounds):
+            yield from close_to(i)
 
     while at < n:
         m = _TAG.search(html, at)
@@ -106,28 +115,20 @@ def events(html: str) -> Iterator[tuple[str, str, dict[str, str]]]:
             if tag == "br":
                 yield "open", "br", {}
                 yield "close", "br", {}
-            elif tag in HEADINGS:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i] in HEADINGS:
-                        yield from close_to(i)
-                        break
-                    if stack[i] in SCOPE:
-                        break
             else:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i] == tag:
-                        yield from close_to(i)
-                        break
-                    if stack[i] in SCOPE and not (tag in ("tr", "thead", "tbody", "tfoot", "table") and stack[i] in ("td", "th", "caption")) and tag not in ("html", "body"):
-                        break
+                names = HEADINGS if tag in HEADINGS else (tag,)
+                bounds = () if tag in ("html", "body") else SCOPE - CELLS - {tag} if tag in TABLE_PARTS else SCOPE - {tag}
+                i = last(names)
+                if i > last(bounds):
+                    yield from close_to(i)
             continue
         attrs = _attributes(m["attrs"]) if m["attrs"] and not m["attrs"].isspace() else {}
-        if tag in BODY_STARTS and "head" in stack:
+        if tag in BODY_STARTS:
             yield from imply(frozenset({"head"}), frozenset())
         if tag in CLOSES_P:
             yield from imply(frozenset({"p"}), SCOPE | {"button"})
         if tag in HEADINGS and stack and stack[-1] in HEADINGS:
-            yield "close", stack.pop(), {}
+            yield from close_to(len(stack) - 1)
         if tag in IMPLIED:
             yield from imply(*IMPLIED[tag])
         yield "open", tag, attrs
@@ -141,7 +142,7 @@ def events(html: str) -> Iterator[tuple[str, str, dict[str, str]]]:
             at = end.end() if end else n
             yield "close", tag, {}
         else:
-            stack.append(tag)
+            push(tag)
     yield from close_to(0)
 
 
