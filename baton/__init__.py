@@ -19,11 +19,13 @@ from baton.operators import (
     decode_rows,
     encode_rows,
     frame_diff,
+    open_rdd_snapshot,
     rdd_to_frame,
     same_rows,
     snapshot,
     snapshot_all,
     snapshot_async,
+    snapshot_path,
     snapshot_rdd,
 )
 from baton.sinks import release_snapshot, save_text, write_snapshot
@@ -48,6 +50,7 @@ __all__ = [
     "open_table",
     "open_text",
     "open_typed",
+    "open_rdd_snapshot",
     "rdd_to_frame",
     "read_files",
     "release_snapshot",
@@ -57,6 +60,7 @@ __all__ = [
     "snapshot",
     "snapshot_all",
     "snapshot_async",
+    "snapshot_path",
     "snapshot_rdd",
     "write_snapshot",
 ]

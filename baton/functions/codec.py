@@ -17,7 +17,16 @@ JSON_OPTIONS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
-DECODE_OPTIONS = {"mode": "FAILFAST"}
+# Every key of a row is written, so a missing one shows damage.  The parser's
+# own limits are lifted to what a row can hold: a string that was written can
+# be read back.
+ENCODE_OPTIONS = JSON_OPTIONS | {"ignoreNullFields": "false"}
+DECODE_OPTIONS = {
+    "mode": "FAILFAST",
+    "maxStringLen": "2147483647",
+    "maxNumLen": "1000000",
+    "maxNestingDepth": "1000000",
+}
 
 CODECS = ("json", "utf8")
 
@@ -34,39 +43,107 @@ def base64_line(binary: Column) -> Column:
 
 
 def encode_utf8(col: Column) -> Column:
-    """Base64 of the UTF-8 bytes of a string column; NULL fails the task."""
+    """Base64 of the bytes of a string column, exactly; NULL fails the task."""
     guarded = F.when(col.isNull(), F.raise_error(
         F.lit("utf8 codec cannot encode NULL")).cast("string")).otherwise(col)
-    return base64_line(F.encode(guarded, "UTF-8"))
-
-
-def encode_json(struct: Column) -> Column:
-    """Base64 of the JSON text of a struct (a whole row)."""
-    return base64_line(F.encode(F.to_json(struct, JSON_OPTIONS), "UTF-8"))
+    return base64_line(guarded.cast("binary"))
+
+
+def _valid_strings(c: Column, dt: T.DataType) -> Column | None:
+    """Whether every string in ``c`` is valid UTF-8 (NULL counts as valid);
+    None if the type holds no strings."""
+    if isinstance(dt, (T.StringType, T.CharType, T.VarcharType)):
+        return F.coalesce(F.is_valid_utf8(c), F.lit(True))
+    if isinstance(dt, T.ArrayType):
+        if _valid_strings(c, dt.elementType) is None:
+            return None
+        return F.coalesce(F.forall(c, lambda x: _valid_strings(x, dt.elementType)), F.lit(True))
+    if isinstance(dt, T.MapType):
+        return _valid_strings(F.map_entries(c), T.ArrayType(T.StructType(
+            [T.StructField("key", dt.keyType), T.StructField("value", dt.valueType)])))
+    if isinstance(dt, T.StructType):
+        checks = [v for v in (_valid_strings(c.getField(f.name), f.dataType) for f in dt.fields) if v is not None]
+        out = None
+        for v in checks:
+            out = v if out is None else out & v
+        return out
+    return None
+
+
+def encode_json(struct: Column, schema: T.StructType | None = None) -> Column:
+    """Base64 of the JSON text of a struct (a whole row).
+
+    JSON is text: bytes that are not UTF-8 would be rewritten.  With the
+    struct's ``schema`` such a string fails the task instead.
+    """
+    text = F.to_json(struct, ENCODE_OPTIONS)
+    valid = None if schema is None else _valid_strings(struct, schema)
+    if valid is not None:
+        text = F.when(valid, text).otherwise(F.raise_error(
+            F.lit("json codec: a string is not valid UTF-8; use the parquet codec")).cast("string"))
+    return base64_line(F.encode(text, "UTF-8"))
 
 
-def _unbase64_strict(line: Column) -> Column:
+def _unbase64_strict(line: Column, alphabet: str = "standard") -> Column:
     # to_binary raises on anything that is not base64 (unbase64 silently
     # returns empty bytes for URL-safe text); missing padding is accepted.
+    if alphabet == "url":
+        line = F.translate(line, "-_", "+/")
+    elif alphabet != "standard":
+        raise ValueError(f"alphabet must be 'standard' or 'url', got {alphabet!r}")
     return F.to_binary(line, F.lit("base64"))
 
 
-def decode_utf8(line: Column) -> Column:
-    """Inverse of :func:`encode_utf8`; invalid base64 fails the task."""
-    return F.decode(_unbase64_strict(line), "UTF-8")
+def decode_utf8(line: Column, alphabet: str = "standard") -> Column:
+    """Inverse of :func:`encode_utf8`, byte for byte; invalid base64 fails the task."""
+    return _unbase64_strict(line, alphabet).cast("string")
+
+
+def json_text(line: Column, alphabet: str = "standard") -> Column:
+    """The JSON text of a line; a blank line or bad base64 fails the task."""
+    guarded = F.when(line.isNull() | (line == ""), F.raise_error(
+        F.lit("json codec: blank line in snapshot")).cast("string")).otherwise(line)
+    return F.decode(_unbase64_strict(guarded, alphabet), "UTF-8")
+
+
+def json_rows(text: Column, schema: T.StructType, keys: list[str] | None = None,
+              allow_missing: bool = False) -> Column:
+    """An array of the one struct that a JSON text holds; see :func:`decode_json`."""
+    written = keys if keys is not None else schema.names
+    in_order = F.lit(list(written)).cast("array<string>")
+    names = F.lit(sorted(written)).cast("array<string>")
+
+    def fail(what: str) -> Column:
+        return F.raise_error(F.concat(F.lit(f"json codec: {what}: "), F.substring(text, 1, 200)))
+
+    def right(found: Column) -> Column:
+        if allow_missing:
+            return (F.size(F.array_except(found, names)) == 0) & (F.size(F.array_distinct(found)) == F.size(found))
+        return (found == in_order) | (F.sort_array(found) == names)
+
+    checked = F.element_at(F.transform(F.array(F.json_object_keys(text)), lambda found: (
+        F.when(found.isNull(), fail("not a JSON object").cast("string"))
+        .when(~right(found), fail("unexpected keys").cast("string")).otherwise(text))), 1)
+    # A parser stops at the end of the first value.  Inside a wrapper that ends
+    # in the text's own length, anything after the object breaks the wrapper.
+    wire = T.StructType([T.StructField("row", schema), T.StructField("end", T.LongType())])
+    wrapped = F.concat(F.lit('{"row":'), checked, F.lit(',"end":'), F.octet_length(text).cast("string"), F.lit("}"))
+    return F.transform(F.array(F.from_json(wrapped, wire, DECODE_OPTIONS)), lambda r: F.when(
+        r["end"] == F.octet_length(text), r["row"]).otherwise(fail("text after the object").cast(schema)))
 
 
-def decode_json(line: Column, schema: T.StructType) -> Column:
+def decode_json(line: Column, schema: T.StructType, keys: list[str] | None = None,
+                allow_missing: bool = False, alphabet: str = "standard") -> Column:
     """Inverse of :func:`encode_json`, giving a struct of ``schema``.
 
-    A blank line would decode to a NULL row even in FAILFAST mode, so it is
-    turned into an error first; bad base64 and bad JSON raise on their own.
+    A line is one JSON object whose top-level keys are exactly ``keys``
+    (default: the schema's; ``schema`` may hold only some of them, the rest is
+    skipped).  Anything else fails the task: a blank line, bad base64, bad
+    JSON, further text after the object, an unknown, repeated or missing key.
+    ``allow_missing`` reads a missing key as NULL, for files of writers that
+    leave NULL fields out.
     """
-    guarded = F.when(
-        line.isNull() | (line == ""),
-        F.raise_error(F.lit("json codec: blank line in snapshot")).cast("string"),
-    ).otherwise(line)
-    return F.from_json(F.decode(_unbase64_strict(guarded), "UTF-8"), schema, DECODE_OPTIONS)
+    return F.element_at(json_rows(json_text(line, alphabet), schema, keys, allow_missing), 1)
 
 
 def check_json_schema(schema: T.DataType, where: str = "row") -> None:
@@ -92,3 +169,5 @@ def check_json_schema(schema: T.DataType, where: str = "row") -> None:
         check_json_schema(schema.valueType, f"{where}{{}}")
     elif isinstance(schema, T.CalendarIntervalType):
         raise ValueError(f"json codec: calendar interval at {where} cannot be decoded")
+    elif isinstance(schema, T.TimeType):
+        raise ValueError(f"json codec: time at {where} cannot be decoded")

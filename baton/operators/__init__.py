@@ -3,10 +3,12 @@
 from baton.operators.conform import conform
 from baton.operators.diff import LEFT_ONLY, RIGHT_ONLY, frame_diff, same_rows
 from baton.operators.handover import (
+    open_rdd_snapshot,
     rdd_to_frame,
     snapshot,
     snapshot_all,
     snapshot_async,
+    snapshot_path,
     snapshot_rdd,
 )
 from baton.operators.rowcodec import decode_rows, encode_rows
@@ -18,10 +20,12 @@ __all__ = [
     "decode_rows",
     "encode_rows",
     "frame_diff",
+    "open_rdd_snapshot",
     "rdd_to_frame",
     "same_rows",
     "snapshot",
     "snapshot_all",
     "snapshot_async",
+    "snapshot_path",
     "snapshot_rdd",
 ]

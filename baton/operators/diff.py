@@ -7,91 +7,151 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from baton.operators.rowcodec import quote
+from baton.sinks.snapshot import PARQUET, write_snapshot
+from baton.sources.snapshot import read_snapshot
 
 LEFT_ONLY = "left_only"
 RIGHT_ONLY = "right_only"
 _SIGN = "__baton_sign"
 _N = "__baton_n"
+_DIGEST = "__baton_digest"
+#: Unequal digests (32 bytes each) that are broadcast; more are joined by a shuffle.
+BROADCAST_DIGESTS = 200_000
 
 
-def _has_map(dt: T.DataType) -> bool:
-    """Whether ``dt`` holds a type Spark cannot group on (map, variant)."""
-    if isinstance(dt, (T.MapType, T.VariantType)):
+def _needs_form(dt: T.DataType) -> bool:
+    """Whether ``dt`` holds a type Spark cannot group on as it is (map, variant), or whose
+    grouping calls different values equal (float: 0.0 and -0.0)."""
+    if isinstance(dt, (T.MapType, T.VariantType, T.FloatType, T.DoubleType)):
         return True
     if isinstance(dt, T.ArrayType):
-        return _has_map(dt.elementType)
+        return _needs_form(dt.elementType)
     if isinstance(dt, T.StructType):
-        return any(_has_map(f.dataType) for f in dt.fields)
+        return any(_needs_form(f.dataType) for f in dt.fields)
     return False
 
 
-def _comparable(c: Column, dt: T.DataType) -> Column:
-    """Maps and variants cannot be grouped on.  Each map becomes its entries
-    sorted by key, at any depth, so equal maps group together; a variant
-    becomes its JSON text (object keys are stored sorted, so the text is
-    canonical)."""
-    if not _has_map(dt):
+def _form(c: Column, dt: T.DataType) -> Column:
+    """A value that is equal exactly for equal ``c``: floats tell zeros apart, maps are entries
+    sorted by key, variants are their JSON text with the type of every leaf."""
+    if not _needs_form(dt):
         return c
+    if isinstance(dt, (T.FloatType, T.DoubleType)):
+        return F.struct(c.alias("value"), F.coalesce((c == 0) & (c.cast("string") == "-0.0"), F.lit(False)).alias("minus_zero"))
     if isinstance(dt, T.VariantType):
-        return F.to_json(c)
+        return F.struct(F.to_json(c).alias("json"), F.schema_of_variant(c).alias("type"))
     if isinstance(dt, T.MapType):
-        entries = F.map_entries(c)
-        if _has_map(dt.valueType):
-            entries = F.transform(entries, lambda e: F.struct(
-                e["key"].alias("key"), _comparable(e["value"], dt.valueType).alias("value")))
+        entries = F.transform(F.map_entries(c), lambda e: F.struct(
+            _form(e["key"], dt.keyType).alias("key"), _form(e["value"], dt.valueType).alias("value")))
         return F.array_sort(entries)
     if isinstance(dt, T.ArrayType):
-        return F.transform(c, lambda x: _comparable(x, dt.elementType))
-    fields = [_comparable(c[f.name], f.dataType).alias(f.name) for f in dt.fields]
+        return F.transform(c, lambda x: _form(x, dt.elementType))
+    fields = [_form(c[f.name], f.dataType).alias(f"f{i}") for i, f in enumerate(dt.fields)]
     return F.when(c.isNull(), F.lit(None)).otherwise(F.struct(*fields))
 
 
-def _prepared(df: DataFrame, columns: list[str], sign: int) -> DataFrame:
-    types = {f.name: f.dataType for f in df.schema.fields}
-    cols = [_comparable(quote(c), types[c]).alias(c) for c in columns]
-    return df.select(*cols, F.lit(sign).alias(_SIGN))
+def _shown(c: Column, dt: T.DataType) -> Column:
+    """The value of a form: maps stay sorted entries, variants their JSON text."""
+    if not _needs_form(dt):
+        return c
+    if isinstance(dt, (T.FloatType, T.DoubleType)):
+        return F.when(c["minus_zero"], F.lit("-0.0").cast(dt)).otherwise(c["value"])
+    if isinstance(dt, T.VariantType):
+        return c["json"]
+    if isinstance(dt, T.MapType):
+        return F.transform(c, lambda e: F.struct(_shown(e["key"], dt.keyType).alias("key"), _shown(e["value"], dt.valueType).alias("value")))
+    if isinstance(dt, T.ArrayType):
+        return F.transform(c, lambda x: _shown(x, dt.elementType))
+    fields = [_shown(c[f"f{i}"], f.dataType).alias(f.name) for i, f in enumerate(dt.fields)]
+    return F.when(c.isNull(), F.lit(None)).otherwise(F.struct(*fields))
+
+
+def _plain(dt: T.DataType) -> str:
+    """The type's name without nullability."""
+    return dt.simpleString()
+
+
+def _digest(names: list[str]) -> Column:
+    """Four independent 64-bit hashes of the whole row."""
+    return F.struct(*[F.xxhash64(F.lit(i), *[quote(n) for n in names], F.lit(i)).alias(f"h{i}") for i in range(4)])
 
 
-def frame_diff(left: DataFrame, right: DataFrame, expand: bool = False,
-               chunk_rows: int = 1 << 16) -> DataFrame:
+def frame_diff(left: DataFrame, right: DataFrame, expand: bool = False, chunk_rows: int = 1 << 16,
+               exact: bool = False, widen: bool = False) -> DataFrame:
     """Rows whose count differs between ``left`` and ``right``.
 
-    Columns are matched by name (map and variant columns are compared by
-    content and come back as sorted entries / JSON text).  The result has
-    the columns plus ``side``
-    (``left_only`` / ``right_only``) and ``n``, how many more copies that
-    side holds; it is empty exactly when the two are equal as multisets.
-
-    Both sides are counted in one aggregation: map-side partial counts
-    collapse duplicate rows before the shuffle, so a hot row costs one
-    record per task, not one per copy.  ``expand=True`` instead emits one
-    row per surplus copy; large surpluses are cut into ``chunk_rows`` pieces
-    spread over tasks before they are exploded.
+    Columns are matched by name and must have the same types, nested ones too:
+    a value never equals one of another type.  ``widen=True`` compares columns
+    of different types after Spark's own widening, where there is one.  Floats
+    compare as values, with NaN equal to NaN and 0.0 different from -0.0; map
+    columns come back as sorted entries and variant columns as JSON text.  The
+    result has the columns plus ``side`` (``left_only`` / ``right_only``) and
+    ``n``, how many more copies that side holds; it is empty exactly when the
+    two are equal as multisets.  A column that is called ``side`` or ``n``
+    itself comes back as ``left_side`` or ``left_n``, with more ``left_`` if
+    that is taken too.
+
+    Rows are counted by a 256-bit digest first (four 64-bit hashes), so only
+    digests are shuffled, copies combined before; this runs at once.  Then the
+    rows whose digests are out of balance, and only those, are compared in
+    full.  Two sides that differ by rows whose digests collide would be called
+    equal: not to be expected by chance, but the hashes are no protection
+    against someone who wants it.  ``exact=True`` compares all rows in full.
+    ``expand=True`` emits one row per surplus copy; large surpluses are cut
+    into ``chunk_rows`` pieces spread over tasks before they are exploded.
     """
     names = left.columns
     if len(set(names)) != len(names):
         raise ValueError("frame_diff: duplicate column names")
     if sorted(names) != sorted(right.columns):
         raise ValueError(f"frame_diff: columns differ: {names} vs {right.columns}")
-    both = _prepared(left, names, 1).unionByName(_prepared(right, names, -1))
-    net = (both.groupBy(*[quote(c) for c in names])
-           .agg(F.sum(_SIGN).alias(_N))
-           .where(F.col(_N) != 0))
-    out = net.select(
-        *[quote(c) for c in names],
-        F.when(F.col(_N) > 0, F.lit(LEFT_ONLY)).otherwise(F.lit(RIGHT_ONLY)).alias("side"),
-        F.abs(F.col(_N)).alias("n"))
-    if not expand:
-        return out
-    pieces = (out
-              .withColumn("__piece", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / chunk_rows))))
-              .withColumn("__take", F.least(F.lit(chunk_rows), F.col("n") - F.col("__piece") * chunk_rows))
-              .repartition(F.xxhash64(*[quote(c) for c in names], F.col("__piece"))))
-    return (pieces
-            .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__take"))))
-            .select(*[quote(c) for c in names], "side"))
-
-
-def same_rows(left: DataFrame, right: DataFrame) -> bool:
+    different = [f"{n}: {_plain(left.schema[n].dataType)} vs {_plain(right.schema[n].dataType)}" for n in names
+                 if _plain(left.schema[n].dataType) != _plain(right.schema[n].dataType)]
+    if different and not widen:
+        raise TypeError(f"frame_diff: types differ ({'; '.join(different)}); conform one side or pass widen=True")
+    if different:
+        common = left.select(*[quote(n) for n in names]).limit(0).unionByName(right.limit(0)).schema
+        left, right = (df.select(*[quote(n).cast(common[n].dataType).alias(n) for n in names]) for df in (left, right))
+    types = {n: left.schema[n].dataType for n in names}
+    inner = [f"c{i}" for i in range(len(names))]
+
+    def side(df: DataFrame, sign: int) -> DataFrame:
+        return df.select(*[_form(quote(n), types[n]).alias(c) for n, c in zip(names, inner)], F.lit(sign).alias(_SIGN))
+
+    both = side(left, 1).unionByName(side(right, -1))
+    if not exact:
+        unequal = (both.select(_digest(inner).alias(_DIGEST), _SIGN).groupBy(_DIGEST).agg(F.sum(_SIGN).alias(_N))
+                   .where(F.col(_N) != 0).select(_DIGEST))
+        path = write_snapshot(unequal, codec=PARQUET)
+        unequal = read_snapshot(left.sparkSession, path, unequal.schema)
+        count = unequal.count()
+        if not count:
+            both = both.where(F.lit(False))
+        else:
+            some = F.broadcast(unequal) if count <= BROADCAST_DIGESTS else unequal.hint("merge")
+            both = both.withColumn(_DIGEST, _digest(inner)).join(some, _DIGEST, "left_semi").drop(_DIGEST)
+    net = both.groupBy(*inner).agg(F.sum(_SIGN).alias(_N)).where(F.col(_N) != 0)
+    if expand:
+        piece, take = F.col("__piece"), F.col("__take")
+        net = (net.withColumn("__piece", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.abs(F.col(_N)) - 1) / chunk_rows))))
+               .withColumn("__take", F.least(F.lit(chunk_rows), F.abs(F.col(_N)) - piece * chunk_rows))
+               .repartition(F.xxhash64(*inner, piece))
+               .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), take))))
+    added = ["side"] if expand else ["side", "n"]
+    taken = set(names) | set(added)
+    shown = []
+    for n in names:
+        label = n
+        if n in added:
+            while label in taken:
+                label = "left_" + label
+            taken.add(label)
+        shown.append(label)
+    out = [_shown(F.col(c), types[n]).alias(label) for c, n, label in zip(inner, names, shown)]
+    out.append(F.when(F.col(_N) > 0, F.lit(LEFT_ONLY)).otherwise(F.lit(RIGHT_ONLY)).alias("side"))
+    return net.select(*out, *([] if expand else [F.abs(F.col(_N)).alias("n")]))
+
+
+def same_rows(left: DataFrame, right: DataFrame, exact: bool = False) -> bool:
     """Whether the two frames hold the same rows the same number of times."""
-    return frame_diff(left, right).isEmpty()
+    return frame_diff(left, right, exact=exact).isEmpty()

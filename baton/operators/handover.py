@@ -16,10 +16,11 @@ from pyspark import RDD, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from baton.functions.objects import pickle_line, unpickle_line
-from baton.session import new_snapshot_path
-from baton.sinks.snapshot import PARQUET, write_snapshot
-from baton.sources.snapshot import read_snapshot
+from baton.functions.objects import infer_schema, pickle_line, same_fields, unpickle_line
+from baton.operators.rowcodec import _as_struct
+from baton.session import delete_path, new_snapshot_path
+from baton.sinks.snapshot import PARQUET, PICKLE, write_manifest, write_snapshot
+from baton.sources.snapshot import read_manifest, read_snapshot
 
 DEFAULT_ASYNC_WORKERS = 4
 _pool: ThreadPoolExecutor | None = None
@@ -31,7 +32,18 @@ def snapshot(df: DataFrame, temp_dir: str | None = None, codec: str = PARQUET,
              compression: str | None = None) -> DataFrame:
     """Write ``df`` as a snapshot and return a frame over the stored rows."""
     path = write_snapshot(df, temp_dir, codec, partitions, max_records_per_file, compression)
-    return read_snapshot(df.sparkSession, path, df.schema, codec)
+    out = read_snapshot(df.sparkSession, path, df.schema, codec)
+    out._baton_path = path
+    return out
+
+
+def snapshot_path(handed: DataFrame | RDD) -> str:
+    """Where the rows of a frame or RDD that a handover returned are stored, for
+    :func:`baton.open_snapshot` elsewhere or :func:`baton.release_snapshot`."""
+    path = getattr(handed, "_baton_path", None)
+    if path is None:
+        raise ValueError("not the result of a handover (a frame derived from one has no folder of its own)")
+    return path
 
 
 def _default_pool() -> ThreadPoolExecutor:
@@ -80,20 +92,47 @@ def _session(spark: SparkSession | None) -> SparkSession:
 
 def rdd_to_frame(rdd: RDD, schema: T.StructType | str | None = None, temp_dir: str | None = None,
                  codec: str = PARQUET, spark: SparkSession | None = None) -> DataFrame:
-    """Hand an RDD of rows/tuples over as a snapshotted frame of ``schema``.
+    """Hand an RDD of rows, tuples or dicts over as a snapshotted frame of ``schema``.
 
-    The write blocks; the read back is lazy.  Without ``schema`` Spark infers
-    one from the data.
+    The write blocks; the read back is lazy.  Without ``schema`` it is inferred
+    from *all* rows, in one pass over the RDD: every key of any dict is a
+    column (NULL where a row has none), and values of different types in one
+    column are an error.  With ``schema``, a row with a field that the schema
+    lacks is an error.
     """
-    df = _session(spark).createDataFrame(rdd, schema)
-    return snapshot(df, temp_dir, codec)
+    session = _session(spark)
+    if schema is None:
+        schema = infer_schema(rdd)
+    st = _as_struct(schema)
+    checked = rdd.map(same_fields(st.names))
+    return snapshot(session.createDataFrame(checked, st), temp_dir, codec)
 
 
 def snapshot_rdd(rdd: RDD, temp_dir: str | None = None, spark: SparkSession | None = None) -> RDD:
     """Hand over an RDD of arbitrary Python objects with the ``pickle`` codec.
 
-    One base64 line per element; the returned RDD reads those lines back.
+    One base64 line per element; the returned RDD reads those lines back, as
+    :func:`open_rdd_snapshot` does in any other session.
+    """
+    session = _session(spark)
+    path = new_snapshot_path(session, temp_dir)
+    try:
+        rdd.map(pickle_line).saveAsTextFile(path)
+        write_manifest(session, path, PICKLE, None)
+    except BaseException:
+        delete_path(session, path)
+        raise
+    return open_rdd_snapshot(session, path)
+
+
+def open_rdd_snapshot(spark: SparkSession, path: str) -> RDD:
+    """The objects that :func:`snapshot_rdd` stored under ``path``.
+
+    Only folders with such a manifest are opened: loading a pickle runs code.
     """
-    path = new_snapshot_path(_session(spark), temp_dir)
-    rdd.map(pickle_line).saveAsTextFile(path)
-    return rdd.context.textFile(path).map(unpickle_line)
+    manifest = read_manifest(spark, path)
+    if manifest is None or manifest["codec"] != PICKLE:
+        raise ValueError(f"{path} is not a snapshot of objects")
+    out = spark.sparkContext.textFile(path).map(unpickle_line)
+    out._baton_path = path
+    return out

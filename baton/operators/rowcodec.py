@@ -9,13 +9,15 @@ from pyspark.sql import types as T
 from baton.functions.codec import (
     CODECS,
     check_json_schema,
-    decode_json,
     decode_utf8,
     encode_json,
     encode_utf8,
+    json_rows,
+    json_text,
 )
 
 VALUE = "value"
+_TEXT = "__baton_json"
 KEYS = ("position", "name")
 
 
@@ -50,7 +52,9 @@ def encode_rows(df: DataFrame, codec: str = "json", keys: str = "position") -> D
         check_json_schema(df.schema)
         row = F.struct(*[quote(f.name).alias(str(i) if keys == "position" else f.name)
                          for i, f in enumerate(df.schema.fields)])
-        return df.select(encode_json(row).alias(VALUE))
+        named = T.StructType([T.StructField(str(i) if keys == "position" else f.name, f.dataType, True)
+                              for i, f in enumerate(df.schema.fields)])
+        return df.select(encode_json(row, named).alias(VALUE))
     fields = df.schema.fields
     if len(fields) != 1 or not isinstance(fields[0].dataType, T.StringType):
         raise ValueError("utf8 codec needs a frame with exactly one string column, got "
@@ -59,12 +63,18 @@ def encode_rows(df: DataFrame, codec: str = "json", keys: str = "position") -> D
 
 
 def decode_rows(df: DataFrame, schema: T.StructType | str | None = None,
-                codec: str = "json", column: str = VALUE, keys: str = "position") -> DataFrame:
+                codec: str = "json", column: str = VALUE, keys: str = "position",
+                columns: list[str] | None = None, allow_missing: bool = False,
+                alphabet: str = "standard") -> DataFrame:
     """Inverse of :func:`encode_rows`: lines of ``column`` back to typed rows.
 
-    Any line that does not decode (bad base64, cut-off or bad JSON, a blank
-    line under ``json``) fails the task, so a damaged snapshot never yields
-    partial results.
+    ``schema`` is that of the encoded rows.  ``columns`` decodes only some of
+    them, in the order given: the parser skips the others.  Any line that does
+    not hold exactly one such row (bad base64, cut-off or bad JSON, a blank
+    line, text after the row, unknown, repeated or missing keys) fails the
+    task, so a damaged snapshot never yields partial results;
+    ``allow_missing`` reads missing keys as NULL instead.  ``alphabet="url"``
+    also accepts the URL-safe base64 characters ``-`` and ``_``.
     """
     check_codec(codec)
     line = quote(column)
@@ -75,20 +85,29 @@ def decode_rows(df: DataFrame, schema: T.StructType | str | None = None,
             if len(st.fields) != 1 or not isinstance(st.fields[0].dataType, T.StringType):
                 raise ValueError("utf8 codec decodes to exactly one string column")
             name = st.fields[0].name
-        return df.select(decode_utf8(line).alias(name))
+        return df.select(decode_utf8(line, alphabet).alias(name))
     if schema is None:
         raise ValueError("json codec needs the schema of the encoded rows")
     _check_keys(keys)
     st = _as_struct(schema)
     check_json_schema(st)
-    wire = st if keys == "name" else T.StructType(
-        [T.StructField(str(i), f.dataType, True, f.metadata) for i, f in enumerate(st.fields)])
+    place = {f.name: i for i, f in enumerate(st.fields)}
+    wanted = st.names if columns is None else list(columns)
+    unknown = [c for c in wanted if c not in place]
+    if unknown:
+        raise ValueError(f"no such columns in the encoded rows: {unknown}; there are {st.names}")
+
+    def key(name: str) -> str:
+        return name if keys == "name" else str(place[name])
+
+    wire = T.StructType([T.StructField(key(c), st[c].dataType, True, st[c].metadata) for c in wanted])
     # The struct is unpacked by a one-element ``inline`` (a Generate), not by
     # field access on a projected column: a filter on a decoded field cannot
     # be pushed below a Generate, so each line is parsed once, not once for
     # the filter and again for the projection.
-    rows = df.select(F.inline(F.array(decode_json(line, wire))))
-    return rows.select(*[quote(w.name).alias(f.name) for w, f in zip(wire.fields, st.fields)])
+    texts = df.select(json_text(line, alphabet).alias(_TEXT))
+    rows = texts.select(F.inline(json_rows(F.col(_TEXT), wire, [key(c) for c in st.names], allow_missing)))
+    return rows.select(*[quote(key(c)).alias(c) for c in wanted])
 
 
 def _as_struct(schema) -> T.StructType:

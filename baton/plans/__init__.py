@@ -1,6 +1,6 @@
 """Registered queries (with their DuckDB oracles) and plan inspection."""
 
-from baton.plans.catalog import ORACLE_SF_DIR, oracle_sql, queries, table
+from baton.plans.catalog import oracle_sql, queries, table
 from baton.plans.inspect import input_paths, plan_text, reads_only
 
-__all__ = ["ORACLE_SF_DIR", "input_paths", "oracle_sql", "plan_text", "queries", "reads_only", "table"]
+__all__ = ["input_paths", "oracle_sql", "plan_text", "queries", "reads_only", "table"]

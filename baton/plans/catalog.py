@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from baton.functions import decode_utf8, encode_utf8, resolve_path
 from baton.operators import (
@@ -19,9 +20,11 @@ from baton.operators import (
     decode_rows,
     encode_rows,
     frame_diff,
+    open_rdd_snapshot,
     rdd_to_frame,
     snapshot,
     snapshot_all,
+    snapshot_path,
     snapshot_rdd,
 )
 from baton.session import new_snapshot_path
@@ -32,11 +35,6 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
-# The DuckDB side registers the tables as views only, so the file queries'
-# oracle lists the correctness-check folder itself.
-ORACLE_SF_DIR = "/root/testdata/sf0.01"
-
-
 def register(name: str, oracle: str | None = None):
     def wrap(fn: QueryFn) -> QueryFn:
         QUERIES[name] = fn
@@ -57,8 +55,11 @@ def _view(spark: SparkSession, sf_dir: str, name: str) -> str:
     return ref
 
 
-def _file_name(col: str = "path"):
-    return F.regexp_extract(F.col(col), r"[^/]+$", 0).alias("name")
+FILES = ("lineitem", "orders", "documents", "pages")
+
+
+def _file_name(col) -> Column:
+    return F.regexp_extract(col, r"([^/]+)[.]parquet(?:/[^/]+)?$", 1)
 
 
 # --- T1 + P5: the README example, hand over then map --------------------------
@@ -132,6 +133,23 @@ def snapshot_bounded_files(spark, sf_dir):
                     max_records_per_file=25_000, compression="gzip")
 
 
+@register("snapshot_json_subset", "SELECT l_quantity, l_orderkey, l_shipdate FROM lineitem")
+def snapshot_json_subset(spark, sf_dir):
+    # three of eleven columns, in another order: only those are decoded
+    li = table(spark, sf_dir, "lineitem")
+    path = write_snapshot(li, codec="json")
+    return open_snapshot(spark, path, T.StructType([li.schema[c] for c in ("l_quantity", "l_orderkey", "l_shipdate")]))
+
+
+@register("text_foreign_names", "SELECT * FROM orders")
+def text_foreign_names(spark, sf_dir):
+    # a folder of another writer: no manifest, lines keyed by column name
+    orders = table(spark, sf_dir, "orders")
+    path = new_snapshot_path(spark)
+    encode_rows(orders, keys="name").write.text(path)
+    return open_snapshot(spark, path, orders.schema, "json", keys="name")
+
+
 @register("text_lines_decode", "SELECT * FROM orders")
 def text_lines_decode(spark, sf_dir):
     # how another session reads a text snapshot: open the lines, decode them
@@ -173,6 +191,23 @@ def rdd_pickle_handover(spark, sf_dir):
                                  "p_partkey bigint, p_name string")
 
 
+@register("rdd_dict_handover", "SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber > 1 THEN l_quantity END AS quantity FROM lineitem")
+def rdd_dict_handover(spark, sf_dir):
+    # dicts of which some lack a key; the schema is inferred from all of them
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    dicts = li.rdd.map(lambda r: {"l_orderkey": r[0], "l_linenumber": r[1]} | ({"quantity": r[2]} if r[1] > 1 else {}))
+    out = rdd_to_frame(dicts, spark=spark)
+    return out.select("l_orderkey", F.col("l_linenumber").cast(li.schema["l_linenumber"].dataType).alias("l_linenumber"), "quantity")
+
+
+@register("rdd_pickle_reopen", "SELECT p_partkey, p_name FROM part")
+def rdd_pickle_reopen(spark, sf_dir):
+    objs = table(spark, sf_dir, "part").select("p_partkey", "p_name").rdd.map(lambda r: {"key": r[0], "name": r[1]})
+    path = snapshot_path(snapshot_rdd(objs, spark=spark))
+    again = open_rdd_snapshot(spark, path)  # by its path alone, as another session would
+    return spark.createDataFrame(again.map(lambda d: (d["key"], d["name"])), "p_partkey bigint, p_name string")
+
+
 @register("handover_there_and_back", "SELECT * FROM customer")
 def handover_there_and_back(spark, sf_dir):
     first = snapshot(table(spark, sf_dir, "customer"), codec="json")
@@ -253,25 +288,41 @@ def conform_nested(spark, sf_dir):
 
 # --- S5 / S6 / S7: files as a table ----------------------------------------------
 
-@register("file_listing", f"""
-    SELECT regexp_extract(filename, '[^/]+$') AS name FROM read_blob('{ORACLE_SF_DIR}/*.parquet')""")
-def file_listing(spark, sf_dir):
-    return list_files(spark, f"{sf_dir.rstrip('/')}/*.parquet").select(_file_name())
-
-
-@register("file_sizes", f"""
-    SELECT regexp_extract(filename, '[^/]+$') AS name, size AS size_bytes
-    FROM read_blob('{ORACLE_SF_DIR}/*.parquet')""")
-def file_sizes_query(spark, sf_dir):
-    return file_sizes(spark, f"{sf_dir.rstrip('/')}/*.parquet").select(_file_name(), "size_bytes")
-
-
-@register("file_contents", f"""
-    SELECT regexp_extract(filename, '[^/]+$') AS name, md5(content) AS digest
-    FROM read_blob('{ORACLE_SF_DIR}/*.parquet')""")
+@register("rows_per_file", " UNION ALL ".join(
+    f"SELECT '{t}' AS name, count(*) AS n_rows FROM {t}" for t in FILES))
+def rows_per_file(spark, sf_dir):
+    # which rows came from which listed file: the listing joined to the tables' own scans
+    listed = list_files(spark, f"{sf_dir.rstrip('/')}/*.parquet").select(_file_name("path").alias("name")).distinct()
+    counts = None
+    for t in FILES:
+        one = table(spark, sf_dir, t).groupBy(_file_name(F.col("_metadata.file_path")).alias("name")).agg(F.count("*").alias("n_rows"))
+        counts = one if counts is None else counts.unionByName(one)
+    return listed.hint("merge").join(counts.hint("merge"), "name")
+
+
+@register("file_sizes_agree", " UNION ALL ".join(
+    f"SELECT '{t}' AS name, true AS sizes_agree, count(*) AS n_rows FROM {t}" for t in FILES))
+def file_sizes_agree(spark, sf_dir):
+    # the listed size of each file is the size its scan sees
+    sizes = file_sizes(spark, f"{sf_dir.rstrip('/')}/*.parquet").groupBy(_file_name("path").alias("name")).agg(F.sum("size_bytes").alias("listed"))
+    seen = None
+    for t in FILES:
+        files = table(spark, sf_dir, t).groupBy(_file_name(F.col("_metadata.file_path")).alias("name"), F.col("_metadata.file_path").alias("p")).agg(
+            F.max("_metadata.file_size").alias("size"), F.count("*").alias("n"))
+        one = files.groupBy("name").agg(F.sum("size").alias("scanned"), F.sum("n").alias("n_rows"))
+        seen = one if seen is None else seen.unionByName(one)
+    return sizes.hint("merge").join(seen.hint("merge"), "name").select("name", (F.col("listed") == F.col("scanned")).alias("sizes_agree"), "n_rows")
+
+
+@register("file_contents", "SELECT p_partkey, p_name AS content FROM part")
 def file_contents(spark, sf_dir):
-    return read_files(spark, f"{sf_dir.rstrip('/')}/*.parquet").select(
-        _file_name(), F.md5("content").alias("digest"))
+    # a table saved as one file per row group, read back as bytes and split into its lines again
+    path = new_snapshot_path(spark)
+    part = table(spark, sf_dir, "part")
+    save_text(part.select(F.concat_ws("\t", "p_partkey", "p_name").alias("line")), path)
+    lines = read_files(spark, f"{path}/part-*").select(F.explode(F.split(F.rtrim(F.col("content").cast("string"), F.lit("\n")), "\n")).alias("line"))
+    pair = F.split("line", "\t")
+    return lines.where("line <> ''").select(pair[0].cast("bigint").alias("p_partkey"), pair[1].alias("content"))
 
 
 # --- P4: path resolution -----------------------------------------------------------
@@ -290,6 +341,22 @@ def path_resolve(spark, sf_dir):
     return part.select("p_partkey", resolve_path(F.lit("/data/"), other).alias("resolved"))
 
 
+@register("path_resolve_dots", """
+    SELECT p_partkey,
+           CASE p_size % 4 WHEN 0 THEN '/data/' || p_brand
+                           WHEN 1 THEN '/' || p_brand
+                           WHEN 2 THEN 's3://' || replace(p_brand, '#', '')
+                           ELSE '/data/set/' || p_brand END AS resolved
+    FROM part""")
+def path_resolve_dots(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    other = (F.when(F.col("p_size") % 4 == 0, F.concat(F.lit("../"), F.col("p_brand")))
+             .when(F.col("p_size") % 4 == 1, F.concat(F.lit("../../"), F.col("p_brand")))
+             .when(F.col("p_size") % 4 == 2, F.concat(F.lit("s3://"), F.replace(F.col("p_brand"), F.lit("#"), F.lit(""))))
+             .otherwise(F.concat(F.lit("./x/../"), F.col("p_brand"))))
+    return part.select("p_partkey", resolve_path(F.lit("/data/set"), other).alias("resolved"))
+
+
 # --- V1: multiset diff ---------------------------------------------------------------
 
 @register("handover_diff", """
@@ -321,6 +388,40 @@ def handover_verify(spark, sf_dir):
     return frame_diff(li, snapshot(li, codec="json"))
 
 
+@register("handover_verify_counts", """
+    SELECT l_orderkey, l_linenumber, CASE l_linenumber WHEN 1 THEN 'right_only' ELSE 'left_only' END AS side,
+           CAST(count(*) * (3 - l_linenumber) AS BIGINT) AS n
+    FROM lineitem WHERE l_linenumber <= 2 GROUP BY l_orderkey, l_linenumber""")
+def handover_verify_counts(spark, sf_dir):
+    # a handover that went wrong in a known way: one kind of row three times, another missing
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    wrong = li.where(F.col("l_linenumber") != 2)
+    for _ in range(2):
+        wrong = wrong.unionByName(li.where(F.col("l_linenumber") == 1))
+    return frame_diff(li, snapshot(wrong))
+
+
+@register("handover_diff_expand", """
+    SELECT l_returnflag, l_linestatus, 'right_only' AS side FROM lineitem WHERE l_discount >= 0.05""")
+def handover_diff_expand(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    left = snapshot(li.where(F.col("l_discount") < 0.05).select("l_returnflag", "l_linestatus"))
+    return frame_diff(left, li.select("l_returnflag", "l_linestatus"), expand=True, chunk_rows=1000)
+
+
+@register("handover_diff_map", """
+    SELECT o_orderkey, o_orderpriority AS priority, 'left_only' AS side, CAST(1 AS BIGINT) AS n
+    FROM orders WHERE o_orderstatus = 'P'""")
+def handover_diff_map(spark, sf_dir):
+    # rows with a map column, whose entries are in another order on the other side
+    orders = table(spark, sf_dir, "orders")
+    left = orders.select("o_orderkey", F.create_map(F.lit("p"), "o_orderpriority", F.lit("c"), "o_orderstatus").alias("m"))
+    right = orders.where(F.col("o_orderstatus") != "P").select(
+        "o_orderkey", F.create_map(F.lit("c"), "o_orderstatus", F.lit("p"), "o_orderpriority").alias("m"))
+    out = frame_diff(left, snapshot(right))
+    return out.select("o_orderkey", F.element_at(F.filter("m", lambda e: e["key"] == "p"), 1)["value"].alias("priority"), "side", "n")
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 

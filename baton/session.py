@@ -2,13 +2,11 @@
 
 Snapshots must sit on storage that every executor and every later session can
 read, so the default root is the shared folder the cluster names in
-``spark.checkpoint.dir``.  A machine-local temporary folder is only used when
-the session runs in local mode and names no folder at all (tests).
+``spark.checkpoint.dir``.  Where none is named, the caller must name one.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -17,20 +15,13 @@ SNAPSHOT_PREFIX = "snapshot-"
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by the session, set up for local runs only."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder named by the session."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if root:
-        return root
-    master = spark.sparkContext.master or ""
-    if not master.startswith("local"):
         raise ValueError(
-            "spark.checkpoint.dir is not set: pass temp_dir= pointing at storage "
+            "spark.checkpoint.dir is not set: set it, or pass temp_dir=, to storage "
             "all executors share (HDFS, object store)")
-    root = tempfile.mkdtemp(prefix="baton-checkpoints-")
-    spark.sparkContext.setCheckpointDir(root)
-    return spark.sparkContext.getCheckpointDir() or root
+    return root
 
 
 def new_snapshot_path(spark: SparkSession, temp_dir: str | None = None) -> str:
@@ -42,7 +33,8 @@ def new_snapshot_path(spark: SparkSession, temp_dir: str | None = None) -> str:
 def _hadoop_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    # the session's configuration: the context's, and what was set on the session
+    return p, p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -7,11 +7,12 @@ import json
 from pyspark.sql import DataFrame
 
 from baton.operators.rowcodec import check_codec, encode_rows
-from baton.session import new_snapshot_path, write_small_file
+from baton.session import delete_path, new_snapshot_path, path_exists, write_small_file
 
 PARQUET = "parquet"
+PICKLE = "pickle"  # RDDs of objects only
 MANIFEST = "_manifest.json"  # hidden from readers of the snapshot folder
-MANIFEST_VERSION = 2  # 2: json lines keyed by column position
+MANIFEST_VERSION = 3  # 2: json lines keyed by column position; 3: NULL fields are written too
 
 
 def write_snapshot(df: DataFrame, temp_dir: str | None = None, codec: str = PARQUET,
@@ -42,18 +43,22 @@ def write_snapshot(df: DataFrame, temp_dir: str | None = None, codec: str = PARQ
         writer = writer.option("maxRecordsPerFile", int(max_records_per_file))
     if compression:
         writer = writer.option("compression", compression)
-    if codec == PARQUET:
-        writer.parquet(path)
-    else:
-        writer.text(path)
-    write_manifest(spark, path, codec, df.schema.json())
+    try:
+        if codec == PARQUET:
+            writer.parquet(path)
+        else:
+            writer.text(path)
+        write_manifest(spark, path, codec, df.schema.json())
+    except BaseException:
+        delete_path(spark, path)  # this call's own new folder
+        raise
     return path
 
 
-def write_manifest(spark, path: str, codec: str, schema_json: str) -> None:
-    """Record codec and schema next to the data, after the data committed."""
+def write_manifest(spark, path: str, codec: str, schema_json: str | None) -> None:
+    """Record codec and schema (None for objects) next to the data, after the data committed."""
     doc = json.dumps({"version": MANIFEST_VERSION, "codec": codec, "keys": "position",
-                      "schema": json.loads(schema_json)})
+                      "schema": schema_json and json.loads(schema_json)})
     write_small_file(spark, path.rstrip("/") + "/" + MANIFEST, doc)
 
 

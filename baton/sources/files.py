@@ -1,120 +1,99 @@
 """Files as a table: listing, sizes and contents of what a glob matches.
 
-The glob is expanded with the session's Hadoop file system, the same call
-Spark makes on the driver before any file scan; matched entries (files and
-folders, empty files included) become rows.  Contents are read by a
-distributed ``binaryFile`` scan, one task per file split.
+Files with content come from a ``binaryFile`` scan, whose tasks are spread over
+the cluster; listing and sizes prune the content, so no byte is read.  Such a
+scan never shows empty files, folders or hidden names (``_x``, ``.x``): the
+session's file system is asked for those, one status at a time, which is what
+the driver does before any file scan, too.
 """
 
 from __future__ import annotations
 
 import re
-
-import pyarrow as pa
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from baton.session import _hadoop_path
 
-_LISTING = T.StructType([
-    T.StructField("path", T.StringType(), False),
-    T.StructField("modified_ms", T.LongType(), False),
-    T.StructField("size_bytes", T.LongType(), False),
-    T.StructField("is_dir", T.BooleanType(), False),
-])
+_LISTING = "path string, modified timestamp, size_bytes bigint, is_dir boolean"
+# The characters that Hadoop globs give a meaning.
+_GLOB_CHARACTERS = re.compile(r"([\\{}\[\]*?^])")
 
 
-_ARROW_TYPES = [pa.string(), pa.int64(), pa.int64(), pa.bool_()]
-_SEP = "\u0000"  # cannot occur in a path
-_STATUS = re.compile(r"^; isDirectory=(true|false)(?:; length=(\d+))?.*?; modification_time=(\d+)")
+def _matches(spark: SparkSession, glob: str) -> Iterator:
+    """The statuses of the entries a glob matches."""
+    p, fs = _hadoop_path(spark, glob)
+    statuses = fs.globStatus(p)
+    for i in range(len(statuses) if statuses is not None else 0):
+        yield statuses[i]
 
 
-def _glob(spark: SparkSession, glob: str) -> list[tuple]:
-    """``(path, modified_ms, size, is_dir)`` per match, in two JVM calls.
+def _hidden(path: str) -> bool:
+    name = path.rstrip("/").rsplit("/", 1)[-1]
+    return name.startswith(("_", "."))
 
-    Calling the JVM per file costs ~1 ms a file; instead the paths and the
-    statuses are joined into one string each on the JVM side.  A status
-    whose text does not parse falls back to per-entry calls.
-    """
-    p, fs = _hadoop_path(spark, glob)
-    statuses = fs.globStatus(p)
-    if statuses is None or len(statuses) == 0:  # nothing matched
-        return []
-    jvm = spark.sparkContext._jvm
-    def join(arr):  # the elements' toString()s as one string
-        n = len(arr)
-        objs = spark.sparkContext._gateway.new_array(jvm.java.lang.Object, n)
-        jvm.java.lang.System.arraycopy(arr, 0, objs, 0, n)
-        return jvm.org.apache.commons.lang3.StringUtils.join(objs, _SEP)
-
-    paths = join(jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(statuses)).split(_SEP)
-    texts = join(statuses).split(_SEP)
-    rows = []
-    for i, path in enumerate(paths):
-        text = texts[i] if len(texts) == len(paths) else ""
-        at = text.find("path=" + path)
-        m = _STATUS.match(text[at + 5 + len(path):]) if at >= 0 else None
-        if m:
-            is_dir = m.group(1) == "true"
-            rows.append((path, int(m.group(3)), int(m.group(2) or 0), is_dir))
+
+def _special(spark: SparkSession, glob: str) -> tuple[list[tuple], list[str]]:
+    """Of a glob's matches: those no scan shows (path, modified ms, size, folder), and the
+    paths of the files that one reads."""
+    odd, full = [], []
+    for s in _matches(spark, glob):
+        path, size, folder = s.getPath().toString(), s.getLen(), bool(s.isDirectory())
+        if folder or size == 0 or _hidden(path):
+            odd.append((path, s.getModificationTime(), 0 if folder else size, folder))
         else:
-            st = statuses[i]
-            is_dir = bool(st.isDirectory())
-            rows.append((path, st.getModificationTime(), 0 if is_dir else st.getLen(), is_dir))
-    return rows
+            full.append(path)
+    return odd, full
 
 
-def _listing(spark: SparkSession, glob: str, strict: bool) -> DataFrame:
-    rows = _glob(spark, glob)
-    if strict and not rows:
-        raise FileNotFoundError(f"nothing matches {glob}")
-    # Arrow batches, not one pickled Python row at a time
-    cols = list(zip(*rows)) if rows else [[], [], [], []]
-    table = pa.table([pa.array(c, type=t) for c, t in zip(cols, _ARROW_TYPES)], names=_LISTING.names)
-    return spark.createDataFrame(table, _LISTING)
+def _scan(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """A scan of exactly these files: their names are not globs again."""
+    return spark.read.format("binaryFile").load([_GLOB_CHARACTERS.sub(r"\\\1", p) for p in paths])
 
 
 def list_files(spark: SparkSession, glob: str, strict: bool = False) -> DataFrame:
     """``(path, modified, size_bytes, is_dir)`` for every entry ``glob`` matches.
 
-    Paths are fully qualified (``scheme:/...``); folders have size 0.  No match gives an empty
-    frame, or ``FileNotFoundError`` when ``strict``.
+    Paths are fully qualified (``scheme:/...``); folders have size 0.  No match
+    gives an empty frame, or ``FileNotFoundError`` when ``strict``.
     """
-    return _listing(spark, glob, strict).select(
+    odd, full = _special(spark, glob)
+    if strict and not odd and not full:
+        raise FileNotFoundError(f"nothing matches {glob}")
+    rest = spark.createDataFrame(odd, "path string, modified_ms bigint, size_bytes bigint, is_dir boolean").select(
         "path", F.timestamp_millis("modified_ms").alias("modified"), "size_bytes", "is_dir")
+    if not full:
+        return rest
+    scan = _scan(spark, full).select("path", F.col("modificationTime").alias("modified"), F.col("length").alias("size_bytes"), F.lit(False).alias("is_dir"))
+    return scan.unionByName(rest) if odd else scan
 
 
 def file_sizes(spark: SparkSession, glob: str, strict: bool = False) -> DataFrame:
     """``(path, size_bytes)`` of the matched files (folders are left out)."""
-    return _listing(spark, glob, strict).where(~F.col("is_dir")).select("path", "size_bytes")
-
-
-def _hidden(path: str) -> bool:
-    name = path.rstrip("/").rsplit("/", 1)[-1]
-    return name.startswith(("_", "."))
+    return list_files(spark, glob, strict).where(~F.col("is_dir")).select("path", "size_bytes")
 
 
 def read_files(spark: SparkSession, glob: str, strict: bool = False) -> DataFrame:
     """``(path, content)``: the bytes of each matched file, one row per file.
 
-    Non-empty files are read by a ``binaryFile`` scan spread over tasks; a
-    file must fit one task (``spark.sql.sources.binaryFile.maxLength``, 2 GiB
-    at most).  Empty files give empty content.  Hidden names (``_x``, ``.x``)
-    are skipped, as by every Spark file source.
+    The files that are read are exactly those the glob matched: their names are
+    taken literally.  A file must fit one task
+    (``spark.sql.sources.binaryFile.maxLength``, 2 GiB at most); empty files
+    give empty content; folders are left out.  No file source reads a hidden
+    name with content (``_x``, ``.x``), so matching one is an error rather than a
+    row less.
     """
-    matched = _glob(spark, glob)
-    rows = [r for r in matched if not r[3] and not _hidden(r[0])]
-    if strict and not rows:
-        raise FileNotFoundError(f"no readable file matches {glob}")
-    schema = "path string, content binary"
-    empty = spark.createDataFrame([(r[0], bytearray()) for r in rows if r[2] == 0], schema)
-    full = [r[0] for r in rows if r[2] > 0]
+    odd, full = _special(spark, glob)
+    files = [r for r in odd if not r[3]]
+    hidden = [r[0] for r in files if r[2]]
+    if hidden:
+        raise ValueError(f"{glob} matches hidden files, which Spark does not read: {hidden[:5]}")
+    if strict and not files and not full:
+        raise FileNotFoundError(f"no file matches {glob}")
+    empty = spark.createDataFrame([(r[0], bytearray()) for r in files], "path string, content binary")
     if not full:
         return empty
-    # when the glob matches plain files only, hand Spark the glob itself
-    # rather than a long list of paths
-    source = glob if len(full) == len(matched) else full
-    scan = spark.read.format("binaryFile").load(source).select("path", "content")
-    return scan.unionByName(empty) if len(full) < len(rows) else scan
+    scan = _scan(spark, full).select("path", "content")
+    return scan.unionByName(empty) if files else scan

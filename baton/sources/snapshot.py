@@ -8,7 +8,8 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from baton.operators.rowcodec import _as_struct, decode_rows
+from baton.operators.conform import conform
+from baton.operators.rowcodec import _as_struct, decode_rows, quote
 from baton.session import path_exists, read_small_file
 from baton.sinks.snapshot import MANIFEST, PARQUET
 
@@ -20,33 +21,49 @@ def read_manifest(spark: SparkSession, path: str) -> dict | None:
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: T.StructType | str | None,
-                  codec: str = PARQUET, keys: str = "position") -> DataFrame:
+                  codec: str = PARQUET, keys: str = "position", columns: list[str] | None = None,
+                  allow_missing: bool = False) -> DataFrame:
     """The lazy scan of ``path`` decoded with ``codec``; no checks."""
     if codec == PARQUET:
         reader = spark.read
         if schema is not None:
             reader = reader.schema(_as_struct(schema))  # skips footer inference
-        return reader.parquet(path)
-    return decode_rows(spark.read.text(path), schema, codec, keys=keys)
+        df = reader.parquet(path)
+        return df if columns is None else df.select(*[quote(c) for c in columns])
+    return decode_rows(spark.read.text(path), schema, codec, keys=keys, columns=columns, allow_missing=allow_missing)
 
 
 def open_snapshot(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-                  codec: str | None = None, keys: str = "position") -> DataFrame:
+                  codec: str | None = None, keys: str = "position", allow_missing: bool = False) -> DataFrame:
     """A lazy frame over the stored rows of ``path``.
 
-    Codec, schema and the JSON key style default to the snapshot's manifest.  A folder with
-    neither manifest nor ``_SUCCESS`` is refused: a half-written snapshot is
-    never opened.  The plan's only leaf is the scan of ``path``, so the frame
-    does not recompute or follow its source.
+    The rows are always decoded with the schema they were written with, from
+    the snapshot's manifest.  ``schema`` then picks columns by name, in its
+    order, and conforms them to its types (see :func:`baton.conform`); a column
+    that was not written is an error.  Only the picked columns are decoded.
+
+    A folder without a manifest (a foreign writer's) is opened only on its
+    ``_SUCCESS``, as ``codec``, with ``schema`` as that of its rows; JSON lines
+    there are keyed as ``keys`` says.  A half-written snapshot is refused.
+    The plan's only leaf is the scan of ``path``, so the frame does not
+    recompute or follow its source.
     """
     manifest = read_manifest(spark, path)
-    if manifest is not None:
-        if codec is not None and codec != manifest["codec"]:
-            raise ValueError(f"{path} was written with codec {manifest['codec']!r}, not {codec!r}")
-        codec = manifest["codec"]
-        if schema is None:
-            schema = T.StructType.fromJson(manifest["schema"])
-        keys = manifest.get("keys", "name")
-    elif not path_exists(spark, path.rstrip("/") + "/_SUCCESS"):
-        raise FileNotFoundError(f"no committed snapshot at {path} (no manifest, no _SUCCESS)")
-    return read_snapshot(spark, path, schema, codec or PARQUET, keys)
+    if manifest is None:
+        if not path_exists(spark, path.rstrip("/") + "/_SUCCESS"):
+            raise FileNotFoundError(f"no committed snapshot at {path} (no manifest, no _SUCCESS)")
+        return read_snapshot(spark, path, schema, codec or PARQUET, keys, allow_missing=allow_missing)
+    if codec is not None and codec != manifest["codec"]:
+        raise ValueError(f"{path} was written with codec {manifest['codec']!r}, not {codec!r}")
+    if manifest["schema"] is None:
+        raise ValueError(f"{path} holds objects without a schema; use open_rdd_snapshot")
+    written = T.StructType.fromJson(manifest["schema"])
+    old = int(manifest.get("version", 1)) < 3  # NULL fields were left out
+    asked = None if schema is None else _as_struct(schema)
+    if asked is not None:
+        absent = [n for n in asked.names if n not in written.names]
+        if absent:
+            raise ValueError(f"{path} has no columns {absent}; it has {written.names}")
+    df = read_snapshot(spark, path, written, manifest["codec"], manifest.get("keys", "name"),
+                       None if asked is None else asked.names, allow_missing or old)
+    return df if asked is None else conform(df, asked)

@@ -1,0 +1,38 @@
+"""Run in its own process: bytes that a diff of documents with their own snapshot
+shuffles, by digest and in full, measured from the event log."""
+
+import glob
+import json
+import os
+import sys
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
+from pyspark.sql import SparkSession  # noqa: E402
+
+from baton import frame_diff, write_snapshot  # noqa: E402
+
+
+def shuffled(sf_dir, work, exact):
+    events = f"{work}/events-{exact}"
+    os.makedirs(events)
+    spark = (SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "8")
+             .config("spark.eventLog.enabled", "true").config("spark.eventLog.compress", "false").config("spark.eventLog.dir", events).getOrCreate())
+    spark.sparkContext.setLogLevel("OFF")
+    spark.sparkContext.setCheckpointDir(f"{work}/ckpt")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    copy = spark.read.parquet(write_snapshot(docs))
+    assert frame_diff(docs, copy, exact=exact).count() == 0
+    spark.stop()
+    total = 0
+    for path in glob.glob(f"{events}/**/events_*", recursive=True):
+        with open(path) as fh:
+            for line in fh:
+                e = json.loads(line)
+                if e.get("Event") == "SparkListenerTaskEnd":
+                    total += ((e.get("Task Metrics") or {}).get("Shuffle Write Metrics") or {}).get("Shuffle Bytes Written", 0)
+    return total
+
+
+if __name__ == "__main__":
+    print(json.dumps({k: shuffled(sys.argv[1], sys.argv[2], k == "exact") for k in ("digest", "exact")}))

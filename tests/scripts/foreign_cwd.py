@@ -17,7 +17,7 @@ def main():
     spark = SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false").getOrCreate()
     spark.sparkContext.setLogLevel("OFF")
     assert mod.entry(spark).count() == 6000
-    for name in ("rdd_pickle_handover", "rdd_handover", "snapshot_json_events", "file_listing"):
+    for name in ("rdd_pickle_handover", "rdd_handover", "snapshot_json_events", "rows_per_file"):
         assert mod.queries()[name](spark, sys.argv[1]).count() > 0, name
     print("FOREIGN-OK")
     spark.stop()

@@ -42,6 +42,7 @@ def main(sf_dir, work):
     events = f"{work}/events"
     os.makedirs(events)
     spark = session(**{"spark.eventLog.enabled": "true", "spark.eventLog.dir": events})
+    spark.sparkContext.setCheckpointDir(f"{work}/ckpt")
     left, right = spark.read.parquet(f"{work}/left"), spark.read.parquet(f"{work}/right")
     rows = left.count() + right.count()
     out = frame_diff(left, right).collect()

@@ -205,3 +205,59 @@ def test_variant_and_year_month_interval_round_trip(spark, tmp_dir, codec):
     # variant is not comparable, so compare it through its JSON text
     as_text = [F.col("id"), F.col("ym"), F.to_json("v").alias("v")]
     assert frame_diff(df.select(*as_text), back.select(*as_text)).count() == 0
+
+
+def _line(text):
+    return base64.b64encode(text if isinstance(text, bytes) else text.encode()).decode()
+
+
+@pytest.mark.parametrize("text", [
+    "{}", " ", '{"0":1}', '{"7":1}', '{"0":1,"0":2,"1":"x"}', '{"a":1,"b":"x"}', '{"0":1,"1":"a"}{"0":2,"1":"b"}',
+    '{"0":1,"1":"a"} garbage', '{"0":1,"1":"a"},{"0":2,"1":"b"}', '{"0":1,"1":"a"}} x', "[1]", "null", '{"0":"zz","1":"a"}',
+])
+def test_lines_that_do_not_hold_exactly_one_row_raise(spark, text):
+    df = spark.createDataFrame([(_line(text),)], "value string")
+    with pytest.raises(Exception):
+        decode_rows(df, "a int, b string", "json").collect()
+
+
+def test_keys_in_another_order_and_missing_keys(spark):
+    df = spark.createDataFrame([(_line('{"b":"x","a":1}'),)], "value string")
+    assert decode_rows(df, "a int, b string", keys="name").first() == (1, "x")
+    part = spark.createDataFrame([(_line('{"b":"x"}'),)], "value string")
+    with pytest.raises(Exception):
+        decode_rows(part, "a int, b string", keys="name").collect()
+    assert decode_rows(part, "a int, b string", keys="name", allow_missing=True).first() == (None, "x")
+    with pytest.raises(Exception):
+        decode_rows(part, "a int", keys="name", allow_missing=True).collect()
+
+
+def test_very_long_strings_come_back(spark, tmp_dir):
+    df = spark.range(1).selectExpr("repeat('x', 25 * 1024 * 1024) AS t")
+    assert snapshot(df, tmp_dir, "json").select(F.length("t")).first()[0] == 25 * 1024 * 1024
+
+
+def test_strings_that_are_not_utf8(spark, tmp_dir):
+    flat = spark.range(1).selectExpr("CAST(X'61FF62' AS STRING) AS t")
+    for codec in ("utf8", "parquet"):
+        assert snapshot(flat, tmp_dir, codec).select(F.hex("t")).first()[0] == "61FF62"
+    for df in (flat, spark.range(1).selectExpr("array(named_struct('z', CAST(X'61FF62' AS STRING))) AS n"),
+               spark.range(1).selectExpr("map(CAST(X'FF' AS STRING), 'v') AS m")):
+        with pytest.raises(Exception, match="not valid UTF-8"):
+            snapshot(df, tmp_dir, "json")
+
+
+def test_url_safe_lines(spark):
+    raw = bytes(range(200, 256)).hex() + "??>>~~"
+    line = base64.urlsafe_b64encode(("ÿþ" + raw + "\u07ff\u0fff").encode()).decode()
+    df = spark.createDataFrame([(line,)], "value string")
+    assert decode_rows(df, codec="utf8", alphabet="url").first()[0] == "ÿþ" + raw + "\u07ff\u0fff"
+    with pytest.raises(ValueError):
+        decode_rows(df, codec="utf8", alphabet="other")
+
+
+def test_time_columns_are_rejected_early(spark):
+    from pyspark.sql import types as T
+    from baton.functions import check_json_schema
+    with pytest.raises(ValueError, match="time"):
+        check_json_schema(T.StructType([T.StructField("t", T.TimeType())]))

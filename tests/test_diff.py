@@ -51,7 +51,7 @@ def test_column_mismatch_raises(spark):
 
 def test_one_shuffle_with_partial_counts(spark):
     a = spark.range(1000).select((F.col("id") % 3).alias("k"))
-    plan = plan_text(frame_diff(a, a))
+    plan = plan_text(frame_diff(a, a, exact=True))
     assert plan.count("+- Exchange") == 1 and "hashpartitioning" in plan
     assert "partial_sum" in plan
 
@@ -81,3 +81,57 @@ def test_variant_columns_compare_by_content(spark):
     c = spark.range(2).selectExpr("id", "parse_json('{\"a\": [true, null], \"b\": 2}') AS v")
     assert same_rows(a, b)
     assert frame_diff(a, c).count() == 4
+
+
+@pytest.mark.parametrize("left,right", [
+    ("1", "'1'"),
+    ("9007199254740993", "CAST(9007199254740992 AS DOUBLE)"),
+    ("CAST('0.1000000000000000001' AS DECIMAL(38,19))", "CAST(0.1 AS DOUBLE)"),
+    ("DATE'2020-01-01'", "TIMESTAMP'2020-01-01 00:00:00'"),
+    ("1", "'abc'"),
+    ("named_struct('x', 1)", "named_struct('x', 1L)"),
+])
+def test_other_types_are_not_equal(spark, left, right):
+    a, b = spark.range(1).selectExpr(f"{left} AS v"), spark.range(1).selectExpr(f"{right} AS v")
+    with pytest.raises(TypeError):
+        same_rows(a, b)
+
+
+def test_widen_compares_different_types(spark):
+    a, b = spark.range(3).selectExpr("CAST(id AS INT) AS v"), spark.range(3)
+    assert frame_diff(a, b.withColumnRenamed("id", "v"), widen=True).count() == 0
+
+
+@pytest.mark.parametrize("exact", [False, True])
+def test_values_that_grouping_calls_equal(spark, exact):
+    zero, minus = spark.range(1).selectExpr("CAST(0.0 AS DOUBLE) AS v"), spark.range(1).selectExpr("CAST('-0.0' AS DOUBLE) AS v")
+    got = frame_diff(zero, minus, exact=exact).collect()
+    assert sorted((str(r.v), r.side) for r in got) == [("-0.0", "right_only"), ("0.0", "left_only")]
+    date = spark.range(1).selectExpr("to_variant_object(named_struct('d', DATE'2020-01-01')) AS v")
+    text = spark.range(1).selectExpr("to_variant_object(named_struct('d', '2020-01-01')) AS v")
+    assert not same_rows(date, text, exact=exact)
+    assert same_rows(date, date, exact=exact)
+
+
+def test_columns_called_n_and_side(spark):
+    a = spark.createDataFrame([(1, "x"), (1, "x")], "n int, side string")
+    b = spark.createDataFrame([(2, "y")], "n int, side string")
+    out = frame_diff(a, b)
+    assert out.columns == ["left_n", "left_side", "side", "n"]
+    assert sorted(tuple(r) for r in out.collect()) == [(1, "x", "left_only", 2), (2, "y", "right_only", 1)]
+    assert frame_diff(a, b, expand=True).columns == ["n", "left_side", "side"]
+    assert frame_diff(a, b, expand=True).count() == 3
+    assert frame_diff(out, out).count() == 0  # the diff of a diff
+
+
+def test_digests_shuffle_a_tenth_of_the_bytes(tmp_path):
+    import json
+    import os
+    import subprocess
+    import sys
+    script = os.path.join(os.path.dirname(__file__), "scripts", "diff_shuffle.py")
+    out = subprocess.run([sys.executable, script, "/root/testdata/sf0.01", str(tmp_path)], capture_output=True, text=True, timeout=600)
+    line = [x for x in out.stdout.splitlines() if x.startswith("{")]
+    assert line, out.stderr[-3000:]
+    got = json.loads(line[-1])
+    assert got["digest"] * 10 < got["exact"]

@@ -252,3 +252,92 @@ def test_release_snapshot_only_deletes_snapshots(spark, tmp_dir):
     with pytest.raises(ValueError):
         release_snapshot(spark, other)
     assert os.path.exists(other)
+
+
+def test_rdd_schema_comes_from_all_rows(spark, tmp_dir):
+    sc = spark.sparkContext
+    got = rdd_to_frame(sc.parallelize([{"a": 1}, {"a": 2, "b": 3}], 2), temp_dir=tmp_dir)
+    assert sorted((r.a, r.b) for r in got.collect()) == [(1, None), (2, 3)] or {r.b for r in got.collect()} == {None, 3}
+    assert got.columns == ["a", "b"]
+    from pyspark.sql import Row
+    for rows in ([(1,), (2.5,)], [Row(v=1), Row(v=2.5), Row(v="x")], [([1],), (["x"],)], [({"k": 1},), ({"k": "v"},)]):
+        with pytest.raises(Exception, match="different types"):
+            rdd_to_frame(sc.parallelize(rows, len(rows)), temp_dir=tmp_dir)
+    with pytest.raises(ValueError, match="empty"):
+        rdd_to_frame(sc.parallelize([], 2), temp_dir=tmp_dir)
+    with pytest.raises(TypeError, match="no value"):
+        rdd_to_frame(sc.parallelize([(1, None)]), temp_dir=tmp_dir)
+    nested = rdd_to_frame(sc.parallelize([Row(x=Row(y=1, z=[1.5]), m={"a": 1}), Row(x=Row(y=2, z=[]), m={})], 2), temp_dir=tmp_dir)
+    assert nested.schema.simpleString() == "struct<x:struct<y:bigint,z:array<double>>,m:map<string,bigint>>"
+
+
+def test_rdd_rows_may_not_have_fields_the_schema_lacks(spark, tmp_dir):
+    sc = spark.sparkContext
+    got = rdd_to_frame(sc.parallelize([{"a": 1}, {"b": "x"}]), "a int, b string", tmp_dir)
+    assert sorted(tuple(r) for r in got.collect() if r.a) == [(1, None)]
+    with pytest.raises(Exception, match="not in the schema"):
+        rdd_to_frame(sc.parallelize([{"a": 1, "z": 2}]), "a int", tmp_dir)
+    with pytest.raises(Exception, match="2 fields"):
+        rdd_to_frame(sc.parallelize([(1, 2)]), "a int", tmp_dir)
+
+
+def test_rdd_snapshot_reopens_by_path_and_can_be_released(spark, tmp_dir):
+    from baton import open_rdd_snapshot, open_snapshot, release_snapshot, snapshot_path
+    objs = [{"k": 1}, ("a", None), 3.5]
+    path = snapshot_path(snapshot_rdd(spark.sparkContext.parallelize(objs, 2), tmp_dir, spark))
+    assert sorted(map(repr, open_rdd_snapshot(spark.newSession(), path).collect())) == sorted(map(repr, objs))
+    with pytest.raises(ValueError):
+        open_snapshot(spark, path)
+    release_snapshot(spark, path)
+    assert not os.path.exists(local(path))
+    with pytest.raises(ValueError):
+        open_rdd_snapshot(spark, path)
+
+
+def test_snapshot_path_and_failed_writes(spark, tmp_dir):
+    from baton import release_snapshot, snapshot_path
+    out = snapshot(ints(spark), tmp_dir)
+    assert open_snapshot(spark, snapshot_path(out)).count() == 10
+    with pytest.raises(ValueError):
+        snapshot_path(out.where("true"))
+    release_snapshot(spark, snapshot_path(out))
+    assert os.listdir(tmp_dir) == []
+    with pytest.raises(Exception):
+        snapshot(spark.range(2).selectExpr("raise_error('no') AS v"), tmp_dir)
+    with pytest.raises(Exception):
+        snapshot_rdd(spark.sparkContext.parallelize([1]).map(lambda x: x / 0), tmp_dir, spark)
+    assert os.listdir(tmp_dir) == []  # nothing is left of them
+
+
+def test_requested_schema_picks_by_name(spark, tmp_dir):
+    df = spark.createDataFrame([(1, 10), (2, None)], "a int, b int")
+    for codec in ("json", "parquet"):
+        path = write_snapshot(df, tmp_dir, codec=codec)
+        assert sorted(tuple(r) for r in open_snapshot(spark, path, "b int, a int").collect() if r.b) == [(10, 1)]
+        assert {r.b for r in open_snapshot(spark, path, "b bigint").collect()} == {10, None}
+        with pytest.raises(ValueError, match="zz"):
+            open_snapshot(spark, path, "zz int, a int")
+
+
+def test_one_column_of_a_text_snapshot_is_decoded_alone(spark, tmp_dir):
+    from baton.plans import plan_text
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    path = write_snapshot(li, tmp_dir, codec="json")
+    one = open_snapshot(spark, path, "l_orderkey bigint")
+    text = plan_text(one, "simple")
+    assert text.count("from_json(") == 1 and "StructType(StructField(0,LongType,true))" in text
+    assert one.groupBy().sum().first() == li.select("l_orderkey").groupBy().sum().first()
+
+
+def test_snapshots_of_the_last_format_still_open(spark, tmp_dir):
+    import json
+
+    from baton.functions import JSON_OPTIONS
+    from baton.functions.codec import base64_line
+    path = os.path.join(tmp_dir, "old")
+    row = F.to_json(F.struct(F.lit(None).cast("int").alias("0"), F.lit("x").alias("1")), JSON_OPTIONS)  # without the NULL field
+    spark.range(1).select(base64_line(F.encode(row, "UTF-8")).alias("value")).write.text(path)
+    schema = spark.createDataFrame([], "a int, b string").schema
+    with open(f"{path}/_manifest.json", "w") as fh:
+        json.dump({"version": 2, "codec": "json", "keys": "position", "schema": json.loads(schema.json())}, fh)
+    assert open_snapshot(spark, path).collect() == [(None, "x")]

@@ -106,13 +106,72 @@ def test_conform_rules(spark):
     ("bar", "", "bar"),
     ("/bar", "test/foo", "/bar/test/foo"),
     ("bar", "test/foo", "bar/test/foo"),
-    ("/bar/", "x//y/", "/bar/x/y"),
-    ("file:///a//b", "c", "file:///a/b/c"),
-    ("/", "x", "/x"),
-    ("hdfs://h/a/", "b", "hdfs://h/a/b"),
-    ("/a", "gs://bucket/k", "gs://bucket/k"),
     ("", "x", "x"),
 ])
 def test_resolve_path(spark, base, other, expected):
     df = spark.createDataFrame([(base, other)], "base string, other string")
     assert df.select(resolve_path("base", "other")).first()[0] == expected
+
+
+def test_resolve_path_is_the_hadoop_join(spark):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    bases = ["/bar", "bar", "/bar/", "/", "/a/b", "file:///a//b", "hdfs://h/a/", "hdfs://h", "s3://b/x/../y", "/a/./b//c/..", "a/b/..", "file:/a"]
+    others = ["/test/foo", "test/foo", "x//y/", "c", "../x", "./x", "x/../y", "..", "../..", "../../..", "s3://bucket", "s3://bucket/",
+              "gs://bucket/k/../z", "file:/q", "file:///q/r", "/", "/..", "/a/../b", "x/.", "//host/p", "a b", "...", ".x", "x..", "%20"]
+    pairs = [(b, o, path(path(b), path(o)).toString()) for b in bases for o in others]
+    df = spark.createDataFrame(pairs, "b string, o string, want string").withColumn("got", resolve_path("b", "o"))
+    assert [tuple(r) for r in df.where("got <> want OR got IS NULL").collect()] == []
+
+
+@pytest.mark.parametrize("other", ["file:x", "x:y"])
+def test_resolve_path_rejects_a_relative_path_with_a_scheme(spark, other):
+    with pytest.raises(Exception, match="relative path with a scheme"):
+        spark.createDataFrame([("/a", other)], "b string, o string").select(resolve_path("b", "o")).collect()
+
+
+def test_read_files_takes_names_literally(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/sub")
+    for name in ("x[1].bin", "x1.bin", "a{b,c}.bin", "q?.bin", "plain.bin"):
+        touch(f"{tmp_dir}/{name}", name.encode())
+    got = {bytes(r.content).decode(): os.path.basename(r.path) for r in read_files(spark, f"{tmp_dir}/*").collect()}
+    assert sorted(got) == ["a{b,c}.bin", "plain.bin", "q?.bin", "x1.bin", "x[1].bin"]
+    assert read_files(spark, f"{tmp_dir}/*").count() == 5
+    assert {r.size_bytes for r in file_sizes(spark, f"{tmp_dir}/x*").collect()} == {8, 6}
+
+
+def test_read_files_does_not_skip_hidden_matches(spark, tmp_dir):
+    touch(f"{tmp_dir}/_hid.bin", b"x")
+    assert list_files(spark, f"{tmp_dir}/_hid.bin").first().size_bytes == 1
+    with pytest.raises(ValueError, match="hidden"):
+        read_files(spark, f"{tmp_dir}/_hid.bin")
+
+
+def test_listing_reads_no_content(spark):
+    from baton.plans import plan_text
+    text = plan_text(file_sizes(spark, f"{SF0001}/*.parquet"))
+    assert "ReadSchema: struct<path:string,length:bigint>" in text
+
+
+def test_open_table_through_a_connector(spark):
+    from pyspark.sql.datasource import DataSource, DataSourceReader
+
+    class Numbers(DataSource):
+        @classmethod
+        def name(cls):
+            return "numbers_for_test"
+
+        def schema(self):
+            return "i int, t string"
+
+        def reader(self, schema):
+            table, n = self.options["table"], int(self.options["n"])
+
+            class Reader(DataSourceReader):
+                def read(self, partition):
+                    return iter([(i, table) for i in range(n)])
+
+            return Reader()
+
+    spark.dataSource.register(Numbers)
+    assert [tuple(r) for r in open_table(spark, "tab", format="numbers_for_test", n="2").collect()] == [(0, "tab"), (1, "tab")]
+    assert open_typed(spark, "tab", "i bigint", format="numbers_for_test", n="3").count() == 3
