@@ -273,7 +273,7 @@ def render(html: str) -> str:
             flow.end()
             for line in _table([r for r in rows if r]):
                 flow.now.append(line)
-                flow.end()
+                flow.end(keep=True)
             flow.apart(1)
         elif what in ("td", "th") and outer:
             flow.end()

@@ -15,9 +15,9 @@ size), on which alone a rate depends, so no step reads the documents again.
 Copies: rates are summed over the sizes of a source in ascending order and rounded
 systematically, so that at every size the whole number of copies so far is within one half of
 the sum of the rates; within a (source, size) cell the documents' copies differ by at most
-one, and a hash of the id says who gets one more.  What remains to the target (less than one
-largest document) is taken from or added to one of the source's largest documents, as part
-of a copy.
+one, and a hash of the id says who gets one more.  What remains to the target (about one of the
+largest documents at most) is taken from or added to the source's largest documents that can
+give or take it, as part of a copy.
 
 Defined results: a null text, or one without words, has size 0 and is never taken; sources
 without words have target 0; no documents give no rows; equal rows are told apart by nothing,
@@ -67,8 +67,9 @@ def source_targets(hist: DataFrame, weights: tuple[int, ...] = (1, 2, 3), limit:
 
 def balance(hist: DataFrame, targets: DataFrame, limit: float = 3.0) -> DataFrame:
     """(source, lambda): the dual solution, by Newton steps over the histogram."""
-    cells = hist.where("size > 0").join(targets.where("source_size > 0"), on=hist["source"].eqNullSafe(targets["source"])).select(
-        targets["source"], "size", "n", "target", (F.col("size") / F.col("mean")).alias("x"))
+    goals = targets.where("source_size > 0").select(F.col("source").alias("of"), "target", "mean")
+    cells = hist.where("size > 0").join(goals, on=F.col("source").eqNullSafe(F.col("of"))).select(
+        "source", "size", "n", "target", (F.col("size") / F.col("mean")).alias("x"))
     state = targets.where("source_size > 0").select("source", F.lit(0.0).alias("lam"), F.lit(-1e4).alias("lo"), F.lit(1e4).alias("hi"))
     # a target at the limit needs every rate at the limit
     at_limit = F.col("target") >= F.col("source_size") * limit * (1 - 1e-9)
@@ -119,10 +120,14 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "total", F.greatest(F.lit(0), F.least(F.col("n") * limit, F.col("upto") - F.coalesce(F.lag("upto").over(along), F.lit(0)))))
     cells = cells.select("source", "size", "n", "rate", "source_size", "target", F.floor(F.col("total") / F.col("n")).alias("each"),
                          F.pmod(F.col("total"), F.col("n")).alias("more"), "total")
-    # what is left to the target, for one document of the source's largest size
-    last = Window.partitionBy("source")
-    rest = F.round(F.col("target")) - F.sum(F.col("total") * F.col("size")).over(last)
-    cells = stored(cells.withColumn("rest", F.when(F.col("size") == F.max("size").over(last), rest).otherwise(F.lit(0)).cast("bigint")))
+    # what is left to the target goes to the largest sizes that can give or take it
+    whole = Window.partitionBy("source")
+    largest = Window.partitionBy("source").orderBy(F.col("size").desc())
+    rest = (F.round(F.col("target")) - F.sum(F.col("total") * F.col("size")).over(whole)).cast("bigint")
+    room = F.when(F.col("rest") < 0, F.col("total")).otherwise(F.col("n") * limit - F.col("total")) * F.col("size")
+    before = F.col("upto") - F.col("room")
+    cells = cells.withColumn("rest", rest).withColumn("room", room).withColumn("upto", F.sum("room").over(largest))
+    cells = stored(cells.withColumn("part", F.greatest(F.lit(0), F.least(F.col("room"), F.abs("rest") - before))).drop("room", "upto"))
 
     # the rank of each document in its cell: ranges of the id's hash, then ranks within a range
     keyed = sized.withColumn("cell", F.pmod(F.xxhash64("doc_id"), F.lit(CELLS)).cast("int"))
@@ -134,11 +139,13 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ranked = k.join(a, on=F.col("k.source").eqNullSafe(F.col("a.source")) & (F.col("k.size") == F.col("a.size")) & (F.col("k.cell") == F.col("a.cell"))).select(
         "k.doc_id", "k.source", "k.size", (F.col("k.nth") + F.col("a.ahead")).alias("rank")).alias("k")
     joined = ranked.join(c, on=F.col("k.source").eqNullSafe(F.col("c.source")) & (F.col("k.size") == F.col("c.size")))
-    copies = F.col("each") + F.when(F.col("rank") <= F.col("more"), 1).otherwise(0)
-    # the rest goes to the last rank if words are missing, to the first if there are too many
-    bears = F.when(F.col("rest") > 0, F.col("rank") == F.col("n")).when(F.col("rest") < 0, F.col("rank") == 1).otherwise(F.lit(False))
-    size = F.col("k.size")
-    taken = copies * size + F.when(bears, F.col("rest")).otherwise(0)
-    taken = F.greatest(F.lit(0), F.least(taken, size * limit)).cast("bigint")
+    # within a cell the first ranks give or take as much as each can
+    extra = (F.col("rank") <= F.col("more")).cast("bigint")
+    copies, size = F.col("each") + extra, F.col("k.size")
+    ahead_of = (F.col("rank") - 1) * F.col("each") + F.least(F.col("rank") - 1, F.col("more"))
+    own = F.when(F.col("rest") < 0, copies).otherwise(limit - copies) * size
+    used = F.when(F.col("rest") < 0, ahead_of).otherwise((F.col("rank") - 1) * limit - ahead_of) * size
+    moved = F.greatest(F.lit(0), F.least(own, F.col("part") - used))
+    taken = (copies * size + F.when(F.col("rest") < 0, -moved).otherwise(moved)).cast("bigint")
     return joined.select("doc_id", size.alias("size"), "source_size", "target", taken.alias("taken"),
                          F.when(size > 0, F.floor(taken / size)).otherwise(0).cast("bigint").alias("copies"), "rate")

@@ -146,7 +146,7 @@ def dedup_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Words are compared by 48 bits of a hash around a gram compared by 64 bits, so a wrong
     match needs two windows that differ in one word and a collision of that word's hash.
     """
-    gram = width // 2 + 1
+    gram = min(width // 2 + 1, width - 1)
 
     def finish(t, r):
         return _rows(t, r, width, with_text)

@@ -155,7 +155,7 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``with_text`` adds the remaining text and ``rest``, a struct of the other columns.
     The grams are a little over half a window, so that neighbouring anchors overlap.
     """
-    gram = width // 2 + 1
+    gram = min(width // 2 + 1, width - 1)
 
     def tokenise(t):
         return _bytes(t)

@@ -2,8 +2,11 @@
 
 A document's severity grade y is modelled by ``P(y >= k) = sigmoid(w . x - theta_k)``: one
 weight vector for all grades, one threshold for each, in order.  Features are the distinct
-words of a document (lower-cased, hashed).  Weights come from proximal gradient steps with an
-L1 penalty, which leaves few of them, so a long clean text cannot add up to a toxic one.
+words of a document (lower-cased, hashed) and their beginnings of 4 to 6 bytes, so that forms
+of a word that were never labelled are known by their stem; that a text holds one twice, or four
+times, are features of their own.  Features that the sample's grades
+do not depend on are left out beforehand; weights of the others come from proximal gradient
+steps with an L1 penalty.  Few remain, so a long clean text cannot add up to a toxic one.
 
 The classifier is fitted on at most ``max_labels`` labelled documents, those of least id
 hash: a bounded sample, fitted in one task.  The weights (at most ``MAX_FEATURES``) are
@@ -24,39 +27,69 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from baton.llm.text import ALNUM, U64, flat, lower, slices, word_hashes, word_spans
+from baton.llm.text import ALNUM, U64, flat, lower, mix, slices, word_hashes, word_spans
 from baton.llm.wire import pack, unpack
 
 #: Labelled documents used for the fit at most.
 MAX_LABELS = 20_000
-#: Features kept at most: the most frequent in the sample.
-MAX_FEATURES = 1 << 18
+#: Features kept at most: those that the grades depend on most.
+MAX_FEATURES = 1 << 14
 #: Documents of the sample that must hold a feature.
 MIN_DOCS = 3
+#: Squared z-score of a feature's residuals from which it is kept.
+SCREEN = 15.0
+#: Bytes of the beginnings of words.
+STEMS = (4, 5, 6)
+#: Occurrences in one document that make a feature each.
+LEVELS = (1, 2, 4)
 
 
-def features(column) -> tuple[np.ndarray, np.ndarray]:
-    """(document, word hash) of each distinct word of each document."""
+def word_features(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(word, hash) of each word as a whole, and of the beginnings of longer ones."""
+    every = np.arange(len(start))
+    out = [(every, word_hashes(data, start, end))]
+    for k in STEMS:
+        long = every[end - start > k]
+        out.append((long, mix(word_hashes(data, start[long], start[long] + k), seed=50 + k)))
+    return out
+
+
+def features(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, feature, occurrences) of each distinct feature of each document."""
     data, offsets = flat(column)
     data = lower(data)
     start, end, bounds = word_spans(data, offsets, ALNUM)
-    words = word_hashes(data, start, end)
-    doc = np.searchsorted(bounds, np.arange(len(words)), side="right") - 1
-    order = np.lexsort((words, doc))
-    doc, words = doc[order], words[order]
-    new = np.ones(len(words), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (words[1:] != words[:-1])
-    return doc[new], words[new]
+    of = np.searchsorted(bounds, np.arange(len(start)), side="right") - 1
+    found = word_features(data, start, end)
+    return _counts(np.concatenate([of[w] for w, _ in found]), np.concatenate([h for _, h in found]))
+
+
+def _counts(doc: np.ndarray, value: np.ndarray):
+    """Distinct (document, value) pairs, and how often each comes."""
+    order = np.lexsort((value, doc))
+    doc, value = doc[order], value[order]
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (value[1:] != value[:-1])
+    first = np.flatnonzero(new)
+    return doc[first], value[first], np.diff(np.append(first, len(doc)))
+
+
+def _levels(doc: np.ndarray, base: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(document, feature): a base's feature for each level that its occurrences reach."""
+    reached = [times >= k for k in LEVELS]
+    doc, feature = np.concatenate([doc[r] for r in reached]), np.concatenate([base[r] * len(LEVELS) + i for i, r in enumerate(reached)])
+    order = np.lexsort((feature, doc))
+    return doc[order], feature[order]
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * z))
 
 
-def fit(doc: np.ndarray, feature: np.ndarray, grade: np.ndarray, n_features: int, l1: float = 2e-4, steps: int = 400):
+def fit(doc: np.ndarray, feature: np.ndarray, grade: np.ndarray, n_features: int, l1: float = 5e-4, steps: int = 400):
     """(weights, thresholds) for grades 0..K by accelerated proximal gradient descent.
 
-    The loss is the mean negative log-likelihood of the cumulative-link model; thresholds are
+    ``doc`` ascends.  The loss is the mean negative log-likelihood of the cumulative-link model; thresholds are
     kept in order by their increments.
     """
     n, top = len(grade), int(grade.max())
@@ -115,26 +148,45 @@ def fit(doc: np.ndarray, feature: np.ndarray, grade: np.ndarray, n_features: int
     return w, theta
 
 
+def screened(doc: np.ndarray, feature: np.ndarray, grade: np.ndarray, n_features: int) -> np.ndarray:
+    """The features on whose presence the grades depend: by the residuals that the thresholds
+    alone leave in the documents that hold them."""
+    share = np.bincount(grade) / len(grade)
+    above = np.append(np.cumsum(share[::-1])[::-1], 0.0)  # P(y >= k)
+    slope = above * (1 - above)
+    residual = ((slope[:-1] - slope[1:]) / np.maximum(share, 1e-12))[grade]
+    n = np.bincount(feature, minlength=n_features)
+    z = np.bincount(feature, weights=residual[doc], minlength=n_features) ** 2 / np.maximum(n * (residual ** 2).mean(), 1e-12)
+    ok = np.flatnonzero((n >= MIN_DOCS) & (z >= SCREEN))
+    return np.sort(ok[np.argsort(-z[ok], kind="stable")][:MAX_FEATURES])
+
+
 def _fit_table(table: pa.Table) -> pa.Table:
-    """The model of one bounded sample: sorted word hashes, weights, grades and thresholds."""
+    """The model of one bounded sample: sorted feature hashes, weights, grades and thresholds."""
     order = np.argsort(table.column("id").to_numpy(), kind="stable")
     table = table.take(pa.array(order))
     grades, grade = np.unique(table.column("grade").to_numpy(), return_inverse=True)
-    blob = None
+    known, w, theta = np.zeros(0, U64), np.zeros(0), np.zeros(0)
     if len(grades) > 1:
-        doc, word = features(table.column("text"))
-        known, place, n = np.unique(word, return_inverse=True, return_counts=True)
-        ok = np.flatnonzero(n >= MIN_DOCS)
-        ok = np.sort(ok[np.argsort(-n[ok], kind="stable")][:MAX_FEATURES])
-        dense = np.full(len(known), -1)
+        parts = []
+        for a in range(0, len(table), 1000):  # features of a thousand texts at a time
+            d, v, t = features(table.column("text").slice(a, 1000))
+            parts.append((d + a, v, t))
+        doc, value, times = (np.concatenate(x) for x in zip(*parts))
+        known, base, n = np.unique(value, return_inverse=True, return_counts=True)
+        often = n[base] >= MIN_DOCS
+        doc, feature = _levels(doc[often], base[often], times[often])
+        ok = screened(doc, feature, grade, len(known) * len(LEVELS))
+        dense = np.full(len(known) * len(LEVELS), -1)
         dense[ok] = np.arange(len(ok))
-        feature = dense[place]
-        w, theta = fit(doc[feature >= 0], feature[feature >= 0], grade, len(ok))
-        some = w != 0
-        blob = pack(known[ok][some], w[some], grades.astype(np.int64), theta)
-    else:
-        blob = pack(np.zeros(0, U64), np.zeros(0), grades.astype(np.int64), np.zeros(0))
-    return pa.table({"blob": pa.array([blob], pa.binary())})
+        feature = dense[feature]
+        fitted, theta = fit(doc[feature >= 0], feature[feature >= 0], grade, len(ok))
+        every = np.zeros(len(known) * len(LEVELS))
+        every[ok] = fitted
+        every = every.reshape(-1, len(LEVELS))
+        used = (every != 0).any(axis=1)
+        known, w = known[used], every[used].reshape(-1)
+    return pa.table({"blob": pa.array([pack(known, w, grades.astype(np.int64), theta)], pa.binary())})
 
 
 def train(docs: DataFrame, labels: DataFrame, grade: Column, id_col: str = "doc_id", text_col: str = "text",
@@ -162,6 +214,7 @@ def severity(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: st
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, weight, grades, theta = unpack(sent.value)
+        weight = weight.reshape(-1, len(LEVELS))
         bits = 18
         seen = np.zeros(1 << bits, bool)
         seen[(known >> U64(64 - bits)).astype(np.int64)] = True
@@ -170,16 +223,19 @@ def severity(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: st
                 data, offsets = flat(piece.column(0))
                 data = lower(data)
                 start, end, bounds = word_spans(data, offsets, ALNUM)
-                words = word_hashes(data, start, end)
-                place = np.flatnonzero(seen[(words >> U64(64 - bits)).astype(np.int64)])
                 n = piece.num_rows
+                pairs = []
+                for word, value in word_features(data, start, end):
+                    some = np.flatnonzero(seen[(value >> U64(64 - bits)).astype(np.int64)])
+                    if len(some):
+                        at = np.minimum(np.searchsorted(known, value[some]), len(known) - 1)
+                        hit = known[at] == value[some]
+                        pairs.append(np.stack([np.searchsorted(bounds, word[some[hit]], side="right") - 1, at[hit]]))
                 z = np.zeros(n)
-                if len(place):
-                    at = np.minimum(np.searchsorted(known, words[place]), len(known) - 1)
-                    hit = known[at] == words[place]
-                    doc = np.searchsorted(bounds, place[hit], side="right") - 1
-                    pair = np.unique(np.stack([doc, at[hit]]), axis=1)
-                    z = np.bincount(pair[0], weights=weight[pair[1]], minlength=n)
+                if pairs:
+                    doc, base, times = _counts(*np.concatenate(pairs, axis=1))
+                    for i, k in enumerate(LEVELS):
+                        z += np.bincount(doc[times >= k], weights=weight[base[times >= k], i], minlength=n)
                 above = _sigmoid(z[:, None] - theta[None, :])  # P(y >= each grade but the first)
                 share = np.concatenate([np.ones((n, 1)), above], axis=1) - np.concatenate([above, np.zeros((n, 1))], axis=1)
                 expected = share @ grades.astype(float)

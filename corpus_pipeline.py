@@ -54,11 +54,13 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, with how often (operator 8).
 
-    ``copies`` whole copies, ``taken`` words in all; rows that share an id share their sums.
+    ``copies`` whole copies, ``taken`` words in all, of ``size`` words; rows that share an id
+    share their sums.  A new column whose name the documents have already is called ``mix_...``.
     """
     plan = mix_sources(docs).groupBy("doc_id").agg(F.max("size").alias("size"), F.first("target").alias("target"), F.sum("taken").alias("taken"), F.sum("copies").alias("copies"))
-    plan = plan.where("taken > 0").withColumnRenamed("doc_id", "of")
-    return docs.join(plan, docs["doc_id"].eqNullSafe(plan["of"])).drop("of")
+    new = [F.col(c).alias(f"mix_{c}" if c in docs.columns else c) for c in plan.columns[1:]]
+    plan = plan.where("taken > 0").select(F.col("doc_id").alias("__mixed"), *new)
+    return docs.join(plan, docs["doc_id"].eqNullSafe(plan["__mixed"])).drop("__mixed")
 
 
 STAGES = [

@@ -1,0 +1,61 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+
+SYLLABLES = "the and onha ré ti wh er ßch ing 漢 lo".split()
+
+
+def word(rng):
+    return "".join(rng.choice(SYLLABLES) for _ in range(rng.randint(1, 4)))
+
+
+def prose(rng, n, vocabulary=None):
+    words = [rng.choice(vocabulary) if vocabulary else word(rng) for _ in range(n)]
+    gaps = [" ", " ", " ", "\n", "  ", "\t", "  "]
+    return "".join(w + rng.choice(gaps) for w in words)
+
+
+def near(rng, text, edits):
+    words = text.split(" ")
+    for _ in range(edits):
+        words[rng.randrange(len(words))] = word(rng)
+    return " ".join(words)
+
+
+@pytest.fixture(scope="session")
+def corpus():
+    """(id, text): copies, near copies, shared passages, runs of one word, empty and null texts,
+    repeated rows, and null ids."""
+    rng = random.Random(7)
+    passage, line = prose(rng, 60), prose(rng, 12)
+    long = prose(rng, 4000)
+    texts = []
+    for i in range(40):
+        base = prose(rng, rng.randint(1, 160))
+        if i % 4 == 0:
+            base = base + passage + prose(rng, 30)
+        if i % 7 == 0:
+            base = line + base + line
+        texts.append(base)
+    texts += [texts[4]] * 5 + [near(rng, texts[8], 3) for _ in range(6)] + [near(rng, texts[12], 12) for _ in range(3)]
+    texts += ["", None, " \n\t ", "one", "one two", "One TWO", "x" * 350, "ab " * 200, "Is onhe. " * 120, long, long[:9000] + near(rng, long[9000:], 5)]
+    texts += ["é" * 90, "  a \x00 b \x0b c", "A" * 99, "A" * 100]
+    ids = list(range(len(texts)))
+    rng.shuffle(ids)
+    rows = list(zip(ids, texts))
+    rows += [rows[3], rows[3], (None, texts[4]), (None, "a text without an id that nobody else has"), (None, None), (ids[5], "another text under an id that is taken")]
+    return rows
+
+
+@pytest.fixture(scope="session")
+def corpus_frame(spark, corpus):
+    """The corpus with extra columns whose names the operators use inside."""
+    rows = [(i, t, f"c{n}", n, "z") for n, (i, t) in enumerate(corpus)]
+    return spark.createDataFrame(rows, "doc_id bigint, text string, id string, chunk int, h string").repartition(3)
+
+
+@pytest.fixture(scope="session")
+def no_rows(spark):
+    return spark.createDataFrame([], "doc_id bigint, text string, source string, n_chars bigint")

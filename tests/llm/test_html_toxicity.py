@@ -1,0 +1,168 @@
+"""HTML extraction (6) and toxicity (7)."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from baton.llm import toxicity
+from baton.llm.html_text import events, extract_text, render
+from tests.conftest import SF001
+from tests.llm.conftest import prose
+
+
+@pytest.mark.parametrize("html,text", [
+    ("", ""),
+    ("plain  text\n here", "plain text here"),
+    ("<p>a<p>b</p>c", "a\n\nb\n\nc"),
+    ("<p>a<div>b</div>c", "a\n\nb\nc"),
+    ("a<br>b<br/><br>c", "a\nb\n\nc"),
+    ("<ul><li>x<li>y<ol start=9><li>p<li>q</ol></ul>z", "- x\n- y\n  9. p\n  10. q\n\nz"),
+    ("<table><tr><th>Name<th>N<tr><td>a<td>100<tr><td>longer<td>2</table>", "Name   | N\na      | 100\nlonger | 2"),
+    ("<table><caption>T</caption><tbody><tr><td>a<br>b</td><td>c</td></tr></tbody></table>", "T\na | c\nb |"),
+    ("<pre>  x\n\ty </pre>", "  x\n\ty"),
+    ("<title>no</title><style>p{}</style><script>var t='</p>';</script>yes", "yes"),
+    ("<head><title>t</title><body>b", "b"),
+    ("<head><meta charset=x><p>b", "b"),
+    ("a<span hidden>b</span><i style='color:red;DISPLAY : none'>c<b>d</b></i><u aria-hidden=true>e</u>f", "af"),
+    ("<div hidden><p>a<p>b<table><tr><td>c</table></div>d", "d"),
+    ("<noscript>a</noscript><template>b</template><svg><text>c</text></svg>d", "d"),
+    ("a &amp;&lt;b&gt; &eacute;&#233;&#x4e; &nosuch;", "a &<b> ééN &nosuch;"),
+    ("a<!-- b <p> c -->d<!x>e<?php f ?>g<![CDATA[<h>]]>", "adeg<h>"),
+    ("<b>a<i>b</b>c</i>d</q>", "abcd"),
+    ("<dl><dt>t<dd>d<dt>u<dd>e</dl>", "t\n  d\nu\n  e"),
+    ("<blockquote>q<p>r</blockquote>s", "  q\n\n  r\n\ns"),
+    ("<h1>A</h2>b<hr>c", "A\n\nb\n---\nc"),
+    ("<select><option>a<option>b</select><textarea>c</textarea><input value=d>e", "e"),
+    ("a<p", "a"), ("a < b > c <3", "a < b > c <3"), ("<a href='x>y'>l</a>", "l"),
+    ("<table><tr><td>a<table><tr><td>b<td>c</table>d</table>", "a\n\nb | c\n\nd"),
+    ("<script>never closed", ""), ("<!-- never closed", ""),
+])
+def test_render(html, text):
+    assert render(html) == text
+
+
+def test_long_and_deep_pages_are_linear():
+    assert render("<div>" * 100_000 + "x") == "x"
+    assert render("<ul><li>" * 300 + "x").endswith("- x")
+    assert render("<p>a" * 20_000).count("a") == 20_000
+    assert render("<" * 50_000).count("<") == 50_000
+    assert render("word " * 200_000) == ("word " * 200_000).strip()
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["<p>", "</p>", "<ul>", "<li>", "</ul>", "<table>", "<tr>", "<td>", "</td>", "</table>", "<pre>", "</pre>", "<b", ">", "a", " ",
+                                 "\n", "<!--", "-->", "<script>", "</script>", "&amp;", "<h2>", "</h3>", "<dd>", "</div>", "<div hidden>", "<br>", "é", "<ol>"]), max_size=40))
+def test_any_markup_gives_balanced_events(parts):
+    open_ = []
+    for kind, what, _ in events("".join(parts)):
+        if kind == "open":
+            open_.append(what)
+        elif kind == "close":
+            assert open_.pop() == what
+    assert open_ == []
+    text = render("".join(parts))
+    assert not text.startswith("\n") and not text.endswith("\n") and "\n\n\n\n" not in text.replace(" ", "x") or "<pre>" in parts or "<br>" in parts
+
+
+def test_extract_text_keeps_the_other_columns(spark):
+    rows = [(1, "u", "<p>a", "r"), (2, None, None, None), (3, "v", "", "s")]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string, rest string")
+    out = extract_text(df)
+    assert out.columns == ["page_id", "url", "rest", "text"]
+    assert sorted(map(tuple, out.collect()), key=lambda r: r[0]) == [(1, "u", "r", "a"), (2, None, None, None), (3, "v", "s", "")]
+    assert extract_text(df.limit(0)).collect() == []
+    assert extract_text(df.select("html")).columns == ["text"]
+
+
+def test_every_page_keeps_its_words(spark):
+    # pages of the test data: the text of every paragraph and list item is there, markup is not
+    import re
+    for r in spark.read.parquet(f"{SF001}/pages.parquet").collect():
+        text = render(r.html)
+        assert "track(" not in text and "<p" not in text and "margin:0" not in text
+        for item in re.findall(r"<li><a href=[^>]*>([^<&]+)</a></li>", r.html)[:5]:
+            assert "- " + " ".join(item.split()) in text
+
+
+INSULTS = ["frumpel", "snarg", "blixt"]
+
+
+def labelled(seed=3, n=400):
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(400)]
+    docs, labels = [], []
+    for i in range(n):
+        grade = rng.choice([0, 0, 0, 0, 1, 2])
+        words = prose(rng, rng.randint(5, 200), vocabulary).split()
+        for _ in range(1 + grade if grade else 0):
+            words.insert(rng.randrange(len(words)), INSULTS[0] if grade == 1 else rng.choice(INSULTS[1:]).upper())
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(grade < 2), int(grade > 0)))
+    return docs, labels
+
+
+def test_severity_of_held_out_documents(spark):
+    docs, labels = labelled()
+    rows = docs + [(1000, None), (1001, ""), (None, "You FRUMPEL! Frumpel."), (1002, "w1 " * 30_000), (1003, "w1 " * 30_000 + "snarg"), docs[0]]
+    frame = spark.createDataFrame([(i, t, "r", 1) for i, t in rows], "doc_id bigint, text string, row string, id int").repartition(3)
+    marks = spark.createDataFrame(labels[:300] + [(None, 1, 1), (5000, None, None), (7, 1, 0), labels[8]], "doc_id bigint, quality int, toxic int")
+    model = toxicity.train(frame, marks, toxicity.severity_grade())
+    got = toxicity.severity(frame, model).collect()
+    assert len(got) == len(rows)
+    truth = {i: t * (2 - q) for i, q, t in labels}
+    held = [r for r in got if r.doc_id is not None and 300 <= r.doc_id < 400]
+    assert np.mean([r.grade == truth[r.doc_id] for r in held]) > 0.95
+    assert all(r.toxic == (truth[r.doc_id] > 0) for r in held)
+    assert all(0 <= r.severity <= 2 and (r.p_toxic >= 0.5) == r.toxic for r in got)
+    other = {r.doc_id: r for r in got if r.doc_id is None or r.doc_id >= 1000}
+    assert [other[i].toxic for i in (1000, 1001, None, 1002, 1003)] == [False, False, True, False, True]
+    kept = toxicity.severity(frame, model, keep=True)
+    assert kept.columns == frame.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r.doc_id) for r in got if not r.toxic)
+    assert model == toxicity.train(frame.repartition(2), marks, toxicity.severity_grade())
+
+
+@pytest.mark.parametrize("labels", [[], [(1, 1, 0), (2, 1, 0)]])
+def test_labels_that_teach_nothing(spark, labels):
+    docs = spark.createDataFrame([(1, "a b"), (2, "c"), (3, None)], "doc_id bigint, text string")
+    model = toxicity.train(docs, spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"), toxicity.severity_grade())
+    assert {(r.severity, r.toxic) for r in toxicity.severity(docs, model).collect()} == {(0.0, False)}
+
+
+def test_no_rows(spark, no_rows):
+    model = toxicity.train(no_rows, spark.createDataFrame([(1, 1, 1)], "doc_id bigint, quality int, toxic int"), toxicity.severity_grade())
+    assert toxicity.severity(no_rows, model).collect() == []
+
+
+def test_the_sample_is_bounded(spark):
+    docs, labels = labelled(n=120)
+    frame, marks = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    few = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(50)
+    assert toxicity.train(frame, marks, toxicity.severity_grade(), max_labels=50) == toxicity.train(frame, few, toxicity.severity_grade())
+
+
+def test_fit_finds_the_optimum():
+    rng = np.random.default_rng(0)
+    n, k = 300, 6
+    x = rng.random((n, k)) < 0.4
+    z = x @ np.array([2.0, -1.5, 0.0, 1.0, 0.0, 0.5]) + rng.logistic(size=n)
+    grade = (z > 0.5).astype(int) + (z > 2.0)
+    doc, feature = np.nonzero(x)
+    w, theta = toxicity.fit(doc, feature, grade, k, l1=1e-3, steps=3000)
+
+    def loss(w, theta):
+        cut = np.concatenate([[-np.inf], theta, [np.inf]])
+        s = x @ w
+        p = 1 / (1 + np.exp(cut[grade] - s)) - 1 / (1 + np.exp(cut[grade + 1] - s))
+        return -np.log(p).mean() + 1e-3 * np.abs(w).sum()
+
+    base = loss(w, theta)
+    assert theta[0] < theta[1]
+    for _ in range(200):
+        assert loss(w + 0.02 * rng.normal(size=k), theta + 0.02 * rng.normal(size=2)) >= base - 1e-6

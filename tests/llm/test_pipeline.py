@@ -1,0 +1,167 @@
+"""The corpus pipeline, each stage against brute force on its own input, and the registered queries."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import pytest
+
+import corpus_pipeline as P
+from baton.llm import queries as Q
+from baton.llm.wire import stored
+from tests.conftest import SF0001
+from tests.llm import brute
+from tools.check_oracle import canon, duck
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+@pytest.fixture(scope="module")
+def steps(spark):
+    """(name, input rows, output) of each stage over the smallest documents."""
+    docs = spark.read.parquet(f"{SF0001}/documents.parquet")
+    out = []
+    for name, stage in P.STAGES:
+        done = stored(stage(spark, docs, SF0001))
+        out.append((name, docs.collect(), done))
+        docs = done
+    return out
+
+
+def texts(rows):
+    return [(r.doc_id, r.text) for r in rows]
+
+
+def test_order_and_columns(steps):
+    assert [n for n, _, _ in steps] == ["toxicity", "n-gram Jaccard join", "suffix-array dedup", "benchmark decontamination", "mixing sources to target weights"]
+    for _, _, out in steps[:-1]:
+        assert out.columns == COLUMNS
+    assert steps[-1][2].columns == [*COLUMNS, "size", "target", "taken", "copies"]
+
+
+def test_toxic_documents_go(spark, steps):
+    _, before, out = steps[0]
+    insults = {"trash", "scum", "idiot", "clown", "worthless", "moron", "pathetic", "loser", "stupid", "disgusting"}
+    toxic = {r.doc_id for r in before if insults & set("".join(c if c.isalnum() else " " for c in (r.text or "").lower()).split())}
+    kept = {r.doc_id for r in out.collect()}
+    gone = {r.doc_id for r in before} - kept
+    assert toxic and len(gone & toxic) >= 0.7 * len(toxic) and len(gone - toxic) <= 0.02 * len(before)  # of 87 labels
+
+
+def test_one_of_each_group_stays(steps):
+    _, before, out = steps[1]
+    want = {i for i, _, least in brute.components(texts(before), 5, 80) if i == least}
+    assert {r.doc_id for r in out.collect()} == want and len(want) < len(before)
+    assert sorted(out.collect()) == sorted(r for r in before if r.doc_id in want)
+
+
+def test_repeats_are_cut(steps):
+    _, before, out = steps[2]
+    kept = {r[0]: r[5].decode("utf-8", "ignore") for r in brute.earlier_bytes(texts(before))}
+    got = out.collect()
+    assert {r.doc_id: r.text for r in got} == kept
+    assert all(r.n_chars == len(r.text) for r in got)
+    other = {r.doc_id: (r.lang, r.source) for r in before}
+    assert {r.doc_id: (r.lang, r.source) for r in got} == other
+    assert any(len(r.text) < len(t) for r, (_, t) in zip(sorted(got), sorted(texts(before))))
+
+
+def test_leaks_go(spark, steps):
+    _, before, out = steps[3]
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF0001}/benchmark.parquet").collect()]
+    hit = {r[0] for r in brute.leaks(texts(before), items) if r[5]}
+    assert sorted(out.collect()) == sorted(r for r in before if r.doc_id not in hit)
+
+
+def test_the_mix_meets_its_targets(steps):
+    _, before, out = steps[4]
+    sizes = Counter()
+    for r in before:
+        sizes[r.source] += len(brute.SPACES.findall(r.text.encode()))
+    want, taken = brute.targets(dict(sizes)), Counter()
+    rows = {r.doc_id: r for r in before}
+    for r in out.collect():
+        assert 0 < r.taken <= 3 * r.size and r.text == rows[r.doc_id].text
+        taken[r.source] += r.taken
+    for s, t in want.items():
+        assert abs(taken[s] - t) <= max(1, 0.02 * t)
+
+
+def test_run_is_the_stages_in_a_row(spark, steps):
+    got = P.run(spark, SF0001)
+    assert sorted((r.doc_id, r.taken) for r in got.collect()) == sorted((r.doc_id, r.taken) for r in steps[-1][2].collect())
+
+
+def test_stages_with_nulls_clashing_names_and_no_rows(spark):
+    rows = [(1, "a b c d e f", "en", "s", 11, 7, "x"), (None, None, None, None, None, None, None), (2, "", "en", None, 0, 1, "y"), (3, "a b c d e f", "en", "s", 11, 8, "z"),
+            (3, "a b c d e f", "en", "s", 11, 8, "z")]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, size int, chunk string"
+    for n in (len(rows), 0):
+        docs = spark.createDataFrame(rows[:n], schema)
+        for _, stage in P.STAGES[:-1]:
+            docs = stored(stage(spark, docs, SF0001))
+            assert docs.columns == [*COLUMNS, "size", "chunk"]
+        if n:
+            assert {r.doc_id for r in docs.collect()} == {1, 2, None}
+        mixed = stored(P.mix(spark, docs, SF0001))
+        assert mixed.columns == [*COLUMNS, "size", "chunk", "mix_size", "target", "taken", "copies"]
+        assert [r.doc_id for r in mixed.collect()] == ([1] if n else [])
+
+
+@pytest.fixture(scope="module")
+def con():
+    return duck(SF0001)
+
+
+@pytest.mark.parametrize("name", sorted(Q.oracle_sql()))
+def test_query_matches_oracle(spark, con, name):
+    df = Q.queries()[name](spark, SF0001)
+    cur = con.execute(Q.oracle_sql()[name])
+    columns = [d[0] for d in cur.description]
+    assert sorted(df.columns) == sorted(columns)
+    assert canon(df.columns, df.collect()) == canon(columns, cur.fetchall())
+
+
+def test_every_operator_has_one_query():
+    numbers = [int(q.split("_")[0][2:]) for q in Q.queries()]
+    assert sorted(numbers) == list(range(1, 11))
+
+
+def test_queries_against_brute_force(spark):
+    docs = [(r.doc_id, r.text, r.source) for r in spark.read.parquet(f"{SF0001}/documents.parquet").collect()]
+    from baton.llm import lm
+    got = sorted(map(tuple, Q.queries()["op5_lm_scoring"](spark, SF0001).collect()))
+    want = sorted(brute.lm([d[:2] for d in docs], discounts=lm.discounts))
+    for g, w in zip(got, want, strict=True):
+        assert g[:5] == w[:5] and g[5] == pytest.approx(w[5], rel=1e-9) and g[6] == pytest.approx(w[6], rel=1e-6)
+    held = [r for r in got if r[1]]
+    assert sum(r[6] for r in held) > sum(r[5] for r in held)  # closer than unigrams on what it has not read
+    sizes = Counter()
+    for _, t, s in docs:
+        sizes[s] += len(brute.SPACES.findall((t or "").encode()))
+    want = brute.targets(dict(sizes))
+    by_id = {d[0]: d[2] for d in docs}
+    taken = Counter()
+    for r in Q.queries()["op8_mixing"](spark, SF0001).collect():
+        assert r.target == pytest.approx(want[by_id[r.doc_id]]) and 0 <= r.taken <= 3 * r.size
+        taken[by_id[r.doc_id]] += r.taken
+    assert all(abs(taken[s] - t) <= max(1, 0.02 * t) for s, t in want.items())
+    from baton.llm.html_text import render
+    pages = {r.page_id: render(r.html) for r in spark.read.parquet(f"{SF0001}/pages.parquet").collect()}
+    assert {r.page_id: r.text for r in Q.queries()["op6_html_extraction"](spark, SF0001).collect()} == pages
+
+
+def test_toxicity_on_labels_it_has_not_seen(spark):
+    from pyspark.sql import functions as F
+
+    from baton.llm import toxicity
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    fold = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+    model = toxicity.train(docs, labels.where(fold), toxicity.severity_grade())
+    got = toxicity.severity(docs, model).join(labels.where(~fold).withColumnRenamed("toxic", "truth"), "doc_id").collect()
+    toxic = [r for r in got if r.truth]  # one in twenty-five of these labels is noise
+    assert sum(r.toxic for r in toxic) >= 0.65 * len(toxic)
+    assert sum(r.toxic for r in got if not r.truth) <= 0.01 * len(got)
+    # severity orders documents by more than the decision
+    assert sum(r.severity for r in toxic) / len(toxic) > 20 * sum(r.severity for r in got if not r.truth) / (len(got) - len(toxic))
