@@ -109,7 +109,8 @@ def chunked(docs: DataFrame, id_col: str, text_col: str, chunks: int, keep: bool
     ident, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
     cols = [ident.alias("id"), F.xxhash64(text).alias("h"), text.alias("text")]
     if keep:
-        rest = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c not in (id_col, text_col)]
+        others = [c for c in docs.columns if c not in (id_col, text_col)]
+        rest = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)]
         cols.append((F.struct(*rest) if rest else F.struct(F.lit(None).cast("string").alias("c"))).alias("rest"))
     out = docs.select(*cols)
     return out.select(F.pmod(F.xxhash64("id", "h"), F.lit(chunks)).cast("int").alias("chunk"), *out.columns)
