@@ -73,9 +73,9 @@ def test_components_of_a_long_path(spark):
 def test_sets_are_those_of_the_words():
     import pyarrow as pa
     texts = ["a b c d a b c", None, "", "A b", "x  y\nz"]
-    h, at = J.shingle_sets(pa.array(texts), 3)
+    known, place, at = J.shingle_sets(pa.array(texts), 3)
     assert np.diff(at).tolist() == [len(shingle_set(t, 3)) for t in texts]
-    assert len(set(h.tolist())) == len(set().union(*(shingle_set(t, 3) for t in texts))) == 6
+    assert len(known) == len(set(known[place].tolist())) == len(set().union(*(shingle_set(t, 3) for t in texts))) == 6
 
 
 ITEMS = [(1, "The quick brown fox jumps over the lazy dog again and again today"), (2, "short item"), (3, None), (4, "  .,; "), (12, "short item"),
@@ -110,3 +110,39 @@ def test_no_items_and_no_documents(spark, no_rows):
     got = D.decontaminate(docs, items).collect()
     assert sorted(map(tuple, got), key=key) == sorted(leaks(leak_docs(), []), key=key)
     assert D.decontaminate(no_rows, spark.createDataFrame(ITEMS, "item_id bigint, text string")).collect() == []
+
+
+def test_parity_bitmaps_differ_no_more_than_sets():
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        base = rng.integers(0, 2 ** 63, rng.integers(1, 900)).astype(np.uint64)
+        other = np.concatenate([base[rng.integers(0, 40):], rng.integers(0, 2 ** 63, rng.integers(0, 40)).astype(np.uint64)])
+        bits = J.parity(np.concatenate([base, other]), np.array([0, len(base), len(base) + len(other)]))
+        different = len(set(base.tolist()) ^ set(other.tolist()))
+        assert np.bitwise_count(bits[0] ^ bits[1]).sum() <= different
+    assert J.parity(np.zeros(0, np.uint64), np.array([0, 0])).tolist() == [[0] * J.PARITY_WORDS]
+
+
+def test_nearest_and_cross_pairs():
+    rng = random.Random(8)
+    n = np.array(sorted(rng.randint(50, 60) for _ in range(40)))
+    group, node, comp = np.repeat([0, 1], 20), np.arange(40), np.array([rng.randrange(4) for _ in range(40)])
+    order = np.lexsort((n, group))
+    n = n[order]
+    bits = np.zeros((40, J.PARITY_WORDS), np.uint64)
+    bits[:, 0] = [rng.randrange(8) for _ in range(40)]
+    want = {}
+    for i in range(40):
+        for j in range(i + 1, 40):
+            both = -(-90 * (n[i] + n[j]) // 190)
+            d = int(np.bitwise_count(bits[i] ^ bits[j]).sum())
+            if group[i] == group[j] and comp[i] != comp[j] and n[j] * 90 <= n[i] * 100 and d <= n[i] + n[j] - 2 * both:
+                want[i, j] = d
+    a, b, *_ = J.cross_pairs(group, n, n, node, comp, bits, 90)
+    assert set(zip(a.tolist(), b.tolist())) == set(want)
+    a, b, *_ = J.nearest_pairs(group, n, n, node, comp, bits, 90)
+    got = set(zip(a.tolist(), b.tolist()))
+    assert got <= set(want)
+    for i in {x for pair in want for x in pair}:
+        least = min(d for pair, d in want.items() if i in pair)
+        assert any(i in pair and want[pair] == least for pair in got)
