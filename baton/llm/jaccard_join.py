@@ -4,19 +4,26 @@ Two documents link when the Jaccard similarity of their sets of word shingles re
 threshold t.  Under any global order of shingles, two such sets share one of the first
 ``n - ceil(t n) + 1`` shingles of each (the prefix).  Several orders must all say so:
 
-* every order puts frequent shingles last, by a counting sketch of fixed size (an order may
-  be anything, so an estimate serves; a passage that a third of all documents hold is then
-  outside the prefixes of documents that have enough other words), and orders the rest by
-  its own hash;
-* prefixes meet by shingle in hash parts, as packed lists (``wire``); equal sets of one input
-  batch are merged before.
+* every order is by rarity first (the number of documents that hold a shingle, in classes that
+  grow by half powers of two) and by a hash of its own among equals, so the prefix of a document
+  without copies consists of shingles that nobody else has, and meets nobody;
+* the numbers come from an exchange of each chunk's distinct shingles, cut to 32 bits within
+  their part (``wire``): shingles that fall together count together, which is an order, too;
+* prefixes meet by shingle in hash parts, as packed lists; equal sets of one chunk are merged
+  before.
 
 Groups of copies make lists of thousands that are all linked, so pairs are not listed first:
 
 1. in each list of the first order every document is paired with one representative (of
-   similar size); these pairs are verified and give components;
-2. all pairs of different components in the lists of each order that pass the length and
-   positional bounds are intersected over the orders and verified.
+   similar size); pairs that share many prefix shingles are verified and give components;
+2. in lists that still hold several components, every document is paired with its nearest one of
+   another component; these pairs are verified and join components;
+3. all pairs of different components that the lists of every order hold, that pass the bounds
+   and share as many prefix shingles as two linked sets must, are verified.
+
+The bounds of steps 2 and 3 never drop a link: sizes must be similar; the shingles that others
+hold must be enough for the overlap; and the parity bitmaps of two sets (a bit flips with every
+shingle that hashes to it) differ in at most as many bits as the sets differ in shingles.
 
 After this every pair that could link was either verified or lies within one component, so
 the components are exactly those of all links.  Verification compares the whole sets.
@@ -33,131 +40,122 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from baton.llm.text import NOT_SPACE, U64, flat, lower, mix, shingles, slices, word_hashes, word_spans
-from baton.llm.wire import n_chunks, pack, ragged, sort_by_part, stored, text_bytes, unpack
+from baton.llm.wire import MESSAGE, chunked, in_order, incoming, messages, n_chunks, pack, sort_by_part, stored, text_bytes, unpack
 
-#: Counters of the sketch that orders shingles by frequency: 16 MB, whatever the corpus.
-SKETCH_BITS = 22
 #: Bits of the filter that keeps documents without a candidate from the second read: 8 MB.
 FILTER_BITS = 26
 _RANGES = 64
+#: 64-bit words of a document's parity bitmap.
+PARITY_WORDS = 8
 _BLOBS = "kind int, dst int, blob binary"
 
 
-def shingle_sets(column, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct shingles of each document, sorted, and the n + 1 offsets of the documents."""
+def shingle_sets(column, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct shingles of a batch, sorted; the places in them of each document's, ascending;
+    and the n + 1 offsets of the documents."""
     data, offsets = flat(column)
     data = lower(data)
     start, end, bounds = word_spans(data, offsets, NOT_SPACE)
     h, at = shingles(word_hashes(data, start, end), bounds, k)
-    doc = np.repeat(np.arange(len(at) - 1), np.diff(at))
-    order = np.lexsort((h, doc))
-    h, doc = h[order], doc[order]
-    new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
-    h, doc = h[new], doc[new]
-    return h, np.searchsorted(doc, np.arange(len(at)))
-
-
-def _blob_batch(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()),
-                                       pa.array([r[2] for r in rows], pa.binary())], names=["kind", "dst", "blob"])
-
-
-def frequency_sketch(texts: DataFrame, k: int, bits: int = SKETCH_BITS) -> np.ndarray:
-    """How often shingles occur, summed over those that share a counter.  Each task sends its
-    counters once, in ranges that are summed apart; 2**bits counters come to the driver."""
-    each = (1 << bits) // _RANGES
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << bits, np.uint32)
-        for batch in batches:
-            for piece in slices(batch, "text"):
-                data, offsets = flat(piece.column(0))
-                data = lower(data)
-                start, end, bounds = word_spans(data, offsets, NOT_SPACE)
-                h, _ = shingles(word_hashes(data, start, end), bounds, k)
-                total += np.bincount((h >> U64(64 - bits)).astype(np.int64), minlength=1 << bits).astype(np.uint32)
-        yield _blob_batch([(0, r, pack(total[r * each:(r + 1) * each])) for r in range(_RANGES) if total[r * each:(r + 1) * each].any()])
-
-    def add(t: pa.Table) -> pa.Table:
-        total = np.zeros(each, np.int64)
-        for blob in t.column("blob"):
-            total += unpack(blob.as_py())[0]
-        return pa.table(_blob_batch([(0, t.column("dst")[0].as_py(), pack(total.astype(np.uint32)))]).to_pydict(), schema=pa.schema(
-            [("kind", pa.int32()), ("dst", pa.int32()), ("blob", pa.binary())]))
-
-    out = np.zeros(1 << bits, np.uint32)
-    for r in texts.select("text").mapInArrow(count, _BLOBS).groupBy("dst").applyInArrow(add, _BLOBS).collect():
-        out[r["dst"] * each:(r["dst"] + 1) * each] = unpack(r["blob"])[0]
-    return out
-
-
-def rarity(sketch: np.ndarray) -> np.ndarray:
-    """Per counter 0 for shingles no more frequent than chance sharing explains, else a class
-    that grows with the frequency."""
-    mean = float(sketch.mean()) if len(sketch) else 0.0
-    floor = mean + 6 * mean ** 0.5 + 8
-    over = sketch > floor
-    out = np.zeros(len(sketch), np.uint8)
-    out[over] = np.minimum(1 + np.floor(4 * np.log2(sketch[over] / floor)), 62).astype(np.uint8)
-    return out
+    known, place = np.unique(h, return_inverse=True)
+    wide = max(len(known), 1)
+    both = np.unique(np.repeat(np.arange(len(at) - 1), np.diff(at)) * wide + place)
+    return known, both % wide, np.searchsorted(both, np.arange(len(at)) * wide)
+
+
+def _node(ident: Column, text: Column) -> Column:
+    """A document's node: its id, or a hash of its text (far from any id) where it has none."""
+    return F.coalesce(ident, F.xxhash64(F.lit("a document without an id"), F.coalesce(text, F.lit("")), text.isNull()))
+
+
+def _blobs(rows: list[tuple[int, int, bytes]]) -> pa.Table:
+    return pa.table([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())],
+                    names=["kind", "dst", "blob"])
 
 
 def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
     return n - -(-n * percent // 100) + 1
 
 
+def rarity_class(holders: np.ndarray) -> np.ndarray:
+    """0 for a shingle of one document, else a class that grows with the number of documents."""
+    return np.where(holders > 1, 1 + np.floor(2 * np.log2(np.maximum(holders, 2))), 0).clip(0, 62).astype(np.uint8)
+
+
 def prefixes(h: np.ndarray, at: np.ndarray, classes: np.ndarray, seed: int, percent: int):
-    """(document, order key, place) of the prefix of each set under one global order."""
-    bits = int(len(classes)).bit_length() - 1
+    """(document, order key) of the shared shingles in the prefix of each set under one global
+    order: what only one document holds comes first and can meet nobody."""
     n = np.diff(at)
     doc = np.repeat(np.arange(len(n)), n)
-    key = (classes[(h >> U64(64 - bits)).astype(np.int64)].astype(U64) << U64(58)) | (mix(h, seed=seed) >> U64(6))
-    p = prefix_length(n, percent)
-    # most prefixes lie among the least keys: look there first
-    cut = (np.minimum(1.0, (2 * p + 8) / np.maximum(n, 1)) * float(1 << 58)).astype(U64)
-    low = key <= cut[doc]
-    enough = np.bincount(doc[low], minlength=len(n)) >= p
-    low |= ~enough[doc]
-    doc, key = doc[low], key[low]
+    shared = classes > 0
+    left = prefix_length(n, percent) - np.bincount(doc[~shared], minlength=len(n))
+    some = np.flatnonzero(shared & (left > 0)[doc])
+    doc = doc[some]
+    key = (classes[some].astype(U64) << U64(58)) | (mix(h[some], seed=seed) >> U64(6))
     order = np.lexsort((key, doc))
     doc, key = doc[order], key[order]
-    place = np.arange(len(doc)) - np.searchsorted(doc, doc)
-    keep = place < p[doc]
-    return doc[keep], key[keep], place[keep]
-
-
-def _stars(group: np.ndarray, n: np.ndarray, node: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """In each group (sorted by size) pairs of a representative and each member of similar size."""
-    a, b = [], []
-    while len(group):
-        new = np.ones(len(group), bool)
-        new[1:] = group[1:] != group[:-1]
-        rep = np.maximum.accumulate(np.where(new, np.arange(len(group)), 0))
-        near = n * percent <= n[rep] * 100
-        link = near & (node != node[rep])
-        a.append(node[rep][link])
-        b.append(node[link])
-        group, n, node = group[~near], n[~near], node[~near]
-    return (np.concatenate(a), np.concatenate(b)) if a else (node[:0], node[:0])
-
-
-def _distinct_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    lo, hi = np.minimum(a, b), np.maximum(a, b)
-    order = np.lexsort((hi, lo))
-    lo, hi = lo[order], hi[order]
-    new = np.ones(len(lo), bool)
-    new[1:] = (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
-    return lo[new], hi[new]
-
-
-def cross_pairs(group, n, place, node, comp, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs of different components in each group (sorted by size) within the bounds."""
-    a_all, b_all = [], []
+    keep = np.arange(len(doc)) - np.searchsorted(doc, doc) < left[doc]
+    return doc[keep], key[keep]
+
+
+def shared_needed(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+    """How many shingles the prefixes of two sets of sizes n and m share at least if the sets link.
+
+    The sets then have ``overlap >= t (n + m) / (1 + t)`` shingles in common.  The j-th of these
+    in the global order has at most ``n - overlap + j - 1`` shingles of the first set before it,
+    so the first ``prefix - n + overlap`` of them lie in that set's prefix, likewise for the other.
+    """
+    overlap = -(-percent * (n + m) // (100 + percent))
+    return np.minimum(prefix_length(n, percent) - n, prefix_length(m, percent) - m) + overlap
+
+
+def _counted(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray, times=None):
+    """Distinct pairs, smaller node first, with their sizes and how often they come."""
+    swap = a > b
+    a, b, n, m = np.where(swap, b, a), np.where(swap, a, b), np.where(swap, m, n), np.where(swap, n, m)
+    order = np.lexsort((b, a))
+    a, b, n, m = a[order], b[order], n[order], m[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    first = np.flatnonzero(new)
+    times = np.ones(len(a), np.int64) if times is None else times[order]
+    return a[first], b[first], n[first], m[first], np.add.reduceat(times, first) if len(first) else times
+
+
+def star_pairs(group: np.ndarray, n: np.ndarray, node: np.ndarray, percent: int):
+    """In each group (sorted by size) pairs of a representative and each member of similar size, counted."""
+    reps, members = [], []
+    i = np.arange(len(group))
+    while len(i):
+        new = np.ones(len(i), bool)
+        new[1:] = group[i[1:]] != group[i[:-1]]
+        rep = i[np.maximum.accumulate(np.where(new, np.arange(len(i)), 0))]
+        near = n[i] * percent <= n[rep] * 100
+        link = near & (node[i] != node[rep])
+        reps.append(rep[link])
+        members.append(i[link])
+        i = i[~near]
+    r = np.concatenate(reps) if reps else np.zeros(0, np.int64)
+    m = np.concatenate(members) if members else np.zeros(0, np.int64)
+    return _counted(node[r], node[m], n[r], n[m])
+
+
+def parity(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The parity bitmap of each set: one row of ``PARITY_WORDS`` words a document."""
+    n = len(at) - 1
+    bit = mix(h, seed=25)
+    doc = np.repeat(np.arange(n), np.diff(at))
+    odd = np.bincount(doc * (64 * PARITY_WORDS) + (bit % U64(64 * PARITY_WORDS)).astype(np.int64), minlength=n * 64 * PARITY_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(n, -1), axis=1).view(U64)
+
+
+def _open_pairs(group, n, free, comp, bits, percent: int):
+    """(i, j, distance) of the pairs of different components in each group (sorted by size) that
+    pass the bounds; ``free`` is how many shingles of a set others hold."""
     i = np.arange(len(group))
     step = 1
     while len(i):
@@ -165,18 +163,40 @@ def cross_pairs(group, n, place, node, comp, percent: int) -> tuple[np.ndarray,
         j = i + step
         near = (group[i] == group[j]) & (n[j] * percent <= n[i] * 100)  # sizes ascend: no later one is nearer
         i, j = i[near], j[near]
-        need = -(-percent * (n[i] + n[j]) // (100 + percent))
-        ok = (comp[i] != comp[j]) & (np.minimum(n[i] - place[i], n[j] - place[j]) >= need)
-        if ok.any():
-            a_all.append(node[i[ok]])
-            b_all.append(node[j[ok]])
-            if step % 64 == 0:
-                a, b = _distinct_pairs(np.concatenate(a_all), np.concatenate(b_all))
-                a_all, b_all = [a], [b]
+        overlap = -(-percent * (n[i] + n[j]) // (100 + percent))
+        ok = (comp[i] != comp[j]) & (np.minimum(free[i], free[j]) >= overlap)
+        a, b, most = i[ok], j[ok], (n[i] + n[j] - 2 * overlap)[ok]
+        distance = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64)
+        fits = distance <= most
+        if fits.any():
+            yield a[fits], b[fits], distance[fits]
         step += 1
-    if not a_all:
-        return node[:0], node[:0]
-    return _distinct_pairs(np.concatenate(a_all), np.concatenate(b_all))
+
+
+def cross_pairs(group, n, free, node, comp, bits, percent: int):
+    """All such pairs, counted."""
+    got: list[tuple] = []
+    held = 0
+    for a, b, _ in _open_pairs(group, n, free, comp, bits, percent):
+        got.append((node[a], node[b], n[a], n[b], np.ones(len(a), np.int64)))
+        held += len(a)
+        if held > 1 << 20:
+            got = [_counted(*(np.concatenate(x) for x in zip(*got)))]
+            held = len(got[0][0])
+    return _counted(*(np.concatenate(x) for x in zip(*got))) if got else (node[:0], node[:0], n[:0], n[:0], n[:0])
+
+
+def nearest_pairs(group, n, free, node, comp, bits, percent: int):
+    """Of such pairs the one of least distance for each member of a group, counted."""
+    least = np.full(len(group), np.iinfo(np.int64).max)
+    other = np.full(len(group), -1)
+    for a, b, d in _open_pairs(group, n, free, comp, bits, percent):
+        for x, y in ((a, b), (b, a)):
+            better = d < least[x]
+            least[x[better]], other[x[better]] = d[better], y[better]
+    i = np.flatnonzero(other >= 0)
+    j = other[i]
+    return _counted(node[i], node[j], n[i], n[j])
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -207,84 +227,102 @@ class _Join:
         self.k, self.percent, self.orders = k, percent, orders
         self.spark = docs.sparkSession
         ident, text = F.col(f"`{id_col}`").cast("bigint"), F.col(f"`{text_col}`")
-        self.texts = docs.select(F.coalesce(ident, F.xxhash64(text)).alias("node"), ident.isNull().alias("missing"), text.alias("text"))
+        self.texts = docs.select(_node(ident, text).alias("node"), ident.isNull().alias("missing"), text.alias("text"))
         self.parts = n_chunks(self.spark, text_bytes(docs, text_col))
-        self.sketch = self.spark.sparkContext.broadcast(rarity(frequency_sketch(self.texts, k)))
 
     def lists(self) -> DataFrame:
         """Rows of kind 0 (lists of documents that share a prefix shingle), 1 (star pairs),
         2 (id, size and whether the id is missing of each document) and 3 (pairs of equal sets)."""
-        k, percent, orders, parts, sent = self.k, self.percent, self.orders, self.parts, self.sketch
-
-        def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            classes = sent.value
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                home = int(batch.column(0)[0].as_py()) % parts  # any part will do for what is not a prefix
-                out: dict[int, list[list[np.ndarray]]] = {}
-                notes, equals = [], []
-                for piece in slices(batch, "text"):
-                    node = piece.column(0).to_numpy()
-                    h, at = shingle_sets(piece.column(2), k)
-                    n = np.diff(at)
-                    notes.append((node, n.astype(np.int32), piece.column(1).to_numpy(zero_copy_only=False).astype(np.uint8)))
-                    some = np.flatnonzero(n)
-                    if not len(some):
-                        continue
-                    one, two = np.add.reduceat(mix(h, seed=21), at[some]), np.add.reduceat(mix(h, seed=22), at[some])
-                    _, first, same = np.unique(np.stack([one, two, n[some].astype(U64)]), axis=1, return_index=True, return_inverse=True)
-                    keep = some[np.sort(first)]
-                    rep = some[first[same.reshape(-1)]]
-                    if len(keep) < len(some):
-                        again = rep != some
-                        equals.append((node[rep[again]], node[some[again]]))
-                        mask = np.zeros(len(n), bool)
-                        mask[keep] = True
-                        inner = np.repeat(mask, n)
-                        h, n_kept, who = h[inner], n[keep], node[keep]
-                        at = np.concatenate([[0], np.cumsum(n_kept)])
-                    else:
-                        mask = n > 0
-                        n_kept, who = n[mask], node[mask]
-                        at = np.concatenate([[0], np.cumsum(n_kept)])
-                    for o in range(orders):
-                        doc, key, place = prefixes(h, at, classes, 31 + o, percent)
-                        by, offsets = sort_by_part((mix(key, seed=23) % U64(parts)).astype(np.int64), parts)
-                        for p in np.flatnonzero(np.diff(offsets)).tolist():
-                            i = by[offsets[p]:offsets[p + 1]]
-                            out.setdefault(o * parts + p, []).append([key[i], who[doc[i]], n_kept[doc[i]].astype(np.int32), place[i].astype(np.int32)])
-                rows = [(0, dst, pack(*(np.concatenate(x) for x in zip(*pieces)))) for dst, pieces in out.items()]
-                rows.append((2, home, pack(*(np.concatenate(x) for x in zip(*notes)))))
-                if equals:
-                    rows.append((3, home, pack(*(np.concatenate(x) for x in zip(*equals)))))
-                yield _blob_batch(rows)
+        k, percent, orders, parts = self.k, self.percent, self.orders, self.parts
+        texts = chunked(self.texts, "node", "text", parts, keep=True).select("chunk", "id", "h", "text", F.col("rest.c0").alias("missing"))
+
+        def distinct(table: pa.Table):
+            """The sets of a chunk, and how its distinct shingles are sent: sorted by part and 32 bits."""
+            known, place, at = shingle_sets(table.column("text"), k)
+            key = ((mix(known, seed=41) % U64(parts)) << U64(32)) | (mix(known, seed=42) >> U64(32))
+            order = np.argsort(key)
+            key = key[order]
+            return known, place, at, (key & U64(0xFFFFFFFF)).astype(np.uint32), order, np.searchsorted(key, np.arange(parts + 1).astype(U64) << U64(32))
+
+        def ask(table: pa.Table) -> pa.Table:
+            if not table.num_rows:
+                return messages([])
+            known, place, _, short, order, cut = distinct(in_order(table))
+            holders = np.bincount(place, minlength=len(known)).astype(np.uint32)[order]
+            return messages((p, table.column("chunk")[0].as_py(), pack(np.diff(short[cut[p]:cut[p + 1]], prepend=np.uint32(0)), holders[cut[p]:cut[p + 1]]))
+                            for p in np.flatnonzero(np.diff(cut)).tolist())
+
+        def count(table: pa.Table) -> pa.Table:
+            got = list(incoming(table))
+            if not got:
+                return messages([])
+            _, place = np.unique(np.concatenate([np.cumsum(a[0], dtype=np.uint32) for _, a in got]), return_inverse=True)
+            classes = rarity_class(np.bincount(place, weights=np.concatenate([a[1] for _, a in got])))[place]
+            ends = np.cumsum([len(a[0]) for _, a in got])
+            return messages((src, table.column("dst")[0].as_py(), pack(classes[e - len(a[0]):e])) for (src, a), e in zip(got, ends))
+
+        def send(table: pa.Table, replies: pa.Table) -> pa.Table:
+            if not table.num_rows:
+                return _blobs([])
+            home = table.column("chunk")[0].as_py() % parts  # any part will do for what is not a prefix
+            table = in_order(table)
+            known, place, at, _, order, cut = distinct(table)
+            classes = np.zeros(len(order), np.uint8)
+            for p, (c,) in incoming(replies):
+                classes[order[cut[p]:cut[p + 1]]] = c
+            h, classes = known[place], classes[place]
+            node = table.column("id").to_numpy()
+            n = np.diff(at)
+            doc = np.repeat(np.arange(len(n)), n)
+            free = np.bincount(doc[classes > 0], minlength=len(n))
+            rows = [(2, home, pack(node, n.astype(np.int32), table.column("missing").to_numpy().astype(np.uint8), free.astype(np.int32),
+                                   parity(h, at).reshape(-1)))]
+            some = np.flatnonzero(n)
+            if len(some):
+                one, two = np.add.reduceat(mix(h, seed=21), at[some]), np.add.reduceat(mix(h, seed=22), at[some])
+                _, first, same = np.unique(np.stack([one, two, n[some].astype(U64)]), axis=1, return_index=True, return_inverse=True)
+                rep = some[first[same.reshape(-1)]]
+                again = rep != some
+                if again.any():
+                    rows.append((3, home, pack(node[rep[again]], node[some[again]])))
+                stays = np.zeros(len(n), bool)
+                stays[some[first]] = True
+                inner = np.repeat(stays, n)
+                h, classes, n, node = h[inner], classes[inner], n[stays], node[stays]
+                at = np.concatenate([[0], np.cumsum(n)])
+                for o in range(orders):
+                    doc, key = prefixes(h, at, classes, 31 + o, percent)
+                    by, split = sort_by_part((mix(key, seed=23) % U64(parts)).astype(np.int64), parts)
+                    for p in np.flatnonzero(np.diff(split)).tolist():
+                        i = by[split[p]:split[p + 1]]
+                        rows.append((0, o * parts + p, pack(key[i], node[doc[i]], n[doc[i]].astype(np.int32))))
+            return _blobs(rows)
 
         def meet(t: pa.Table) -> pa.Table:
             dst = t.column("dst")[0].as_py()
             kinds = t.column("kind").to_numpy()
             blobs = t.column("blob")
-            rows = [(int(kinds[i]), dst, blobs[i].as_py()) for i in np.flatnonzero(kinds > 0).tolist()]
-            got = [unpack(blobs[i].as_py()) for i in np.flatnonzero(kinds == 0).tolist()]
+            rows = [(int(kinds[i]), dst, blobs[int(i)].as_py()) for i in np.flatnonzero(kinds > 0)]
+            got = [unpack(blobs[int(i)].as_py()) for i in np.flatnonzero(kinds == 0)]
             if got:
-                key, node, n, place = (np.concatenate(x) for x in zip(*got))
+                key, node, n = (np.concatenate(x) for x in zip(*got))
                 order = np.lexsort((node, n, key))
-                key, node, n, place = key[order], node[order], n[order].astype(np.int64), place[order]
+                key, node, n = key[order], node[order], n[order].astype(np.int64)
                 new = np.ones(len(key), bool)
                 new[1:] = key[1:] != key[:-1]
                 group = np.cumsum(new) - 1
                 many = np.bincount(group)[group] > 1
                 if many.any():
-                    group, node, n, place = np.unique(group[many], return_inverse=True)[1], node[many], n[many], place[many]
-                    rows.append((0, dst, pack(np.diff(group, prepend=0).astype(np.uint8), node, n.astype(np.int32), place)))
+                    group, node, n = np.unique(group[many], return_inverse=True)[1], node[many], n[many]
+                    rows.append((0, dst, pack(np.diff(group, prepend=0).astype(np.uint8), node, n.astype(np.int32))))
                     if dst < parts:
-                        a, b = _distinct_pairs(*_stars(group, n, node, percent))
-                        if len(a):
-                            rows.append((1, dst, pack(a, b)))
-            return pa.table([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())],
-                            names=["kind", "dst", "blob"])
+                        rows.append((1, dst, pack(*star_pairs(group, n, node, percent))))
+            return _blobs(rows)
 
-        return stored(self.texts.select("node", "missing", "text").mapInArrow(send, _BLOBS).groupBy("dst").applyInArrow(meet, _BLOBS))
+        asked = texts.groupBy("chunk").applyInArrow(ask, MESSAGE)
+        replies = asked.groupBy("dst").applyInArrow(count, MESSAGE)
+        sent = texts.groupBy("chunk").cogroup(replies.groupBy("dst")).applyInArrow(send, _BLOBS)
+        return stored(sent.groupBy("dst").applyInArrow(meet, _BLOBS))
 
     @staticmethod
     def pairs(blobs: DataFrame) -> DataFrame:
@@ -297,6 +335,23 @@ class _Join:
 
         return blobs.select("blob").mapInArrow(open_up, "a bigint, b bigint")
 
+    @staticmethod
+    def counted(blobs: DataFrame) -> DataFrame:
+        """(a, b, n, m, times): the counted pairs packed in blobs, summed over all parts."""
+        def open_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for blob in batch.column(0):
+                    yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in unpack(blob.as_py())], names=["a", "b", "n", "m", "times"])
+
+        rows = blobs.select("blob").mapInArrow(open_up, "a bigint, b bigint, n bigint, m bigint, times bigint")
+        return rows.groupBy("a", "b").agg(F.first("n").alias("n"), F.first("m").alias("m"), F.sum("times").alias("times"))
+
+    def needed(self):
+        """:func:`shared_needed` of the columns n and m."""
+        t = self.percent
+        overlap = F.floor((t * (F.col("n") + F.col("m")) + 99 + t) / (100 + t))
+        return F.least(*[1 - F.floor((F.col(c) * t + 99) / 100) for c in ("n", "m")]) + overlap
+
     def sets(self, nodes: DataFrame) -> DataFrame:
         """(node, shingles): the packed sets of the given nodes (and of few others)."""
         k, bits = self.k, FILTER_BITS
@@ -307,7 +362,7 @@ class _Join:
             r = int(bit[0] // each)
             field = np.zeros(each, bool)
             field[bit - r * each] = True
-            return pa.table([pa.array([0], pa.int32()), pa.array([r], pa.int32()), pa.array([pack(np.packbits(field))], pa.binary())], names=["kind", "dst", "blob"])
+            return _blobs([(0, r, pack(np.packbits(field)))])
 
         def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -327,16 +382,18 @@ class _Join:
                 hit = (byte >> (U64(7) - (bit & U64(7))).astype(np.uint8)) & 1
                 batch = batch.filter(pa.array(hit.astype(bool)))
                 for piece in slices(batch, "text"):
-                    h, at = shingle_sets(piece.column(1), k)
+                    known, place, at = shingle_sets(piece.column(1), k)
+                    h = known[place]
                     blobs = [pack(h[at[i]:at[i + 1]]) for i in range(piece.num_rows)]
                     yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(blobs, pa.binary())], names=["node", "shingles"])
 
-        found = self.texts.select("node", "text").mapInArrow(read, "node bigint, shingles binary")
-        return found.join(nodes.hint("shuffle_hash"), "node", "left_semi")
+        return self.texts.select("node", "text").mapInArrow(read, "node bigint, shingles binary")
 
-    def linked(self, candidates: DataFrame, sets: DataFrame) -> DataFrame:
+    def verified(self, candidates: DataFrame) -> DataFrame:
         """The candidate pairs (a, b) whose sets reach the threshold."""
         percent = self.percent
+        nodes = candidates.select(F.col("a").alias("node")).union(candidates.select(F.col("b").alias("node"))).distinct()
+        sets = stored(self.sets(nodes))
 
         def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -355,51 +412,93 @@ class _Join:
         pairs = candidates.hint("merge").join(b.hint("merge"), "b").hint("merge").join(a.hint("merge"), "a")
         return pairs.select("a", "b", "x", "y").mapInArrow(verify, "a bigint, b bigint").distinct()
 
-    def cross_candidates(self, lists: DataFrame, roots: DataFrame) -> DataFrame:
-        """Pairs of different components that share a prefix shingle under every order."""
-        percent, parts, orders = self.percent, self.parts, self.orders
+    def details(self, lists: DataFrame) -> DataFrame:
+        """(node, free, bits): what the bounds need of each document that meets another."""
+        def open_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for blob in batch.column(0):
+                    node, _, _, free, bits = unpack(blob.as_py())
+                    raw = bits.reshape(-1, PARITY_WORDS).tobytes()
+                    rows = [raw[i:i + 8 * PARITY_WORDS] for i in range(0, len(raw), 8 * PARITY_WORDS)]
+                    some = np.flatnonzero(free)
+                    yield pa.RecordBatch.from_arrays([pa.array(node[some]), pa.array(free[some]), pa.array([rows[i] for i in some.tolist()], pa.binary())],
+                                                     names=["node", "free", "bits"])
+
+        return lists.where("kind = 2").select("blob").mapInArrow(open_up, "node bigint, free int, bits binary")
+
+    def open_entries(self, lists: DataFrame, roots: DataFrame) -> DataFrame:
+        """(dst, list, node, n): the members of lists that hold several components, next to which
+        (in size) there is one of another component."""
+        percent = self.percent
 
         def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for i in range(batch.num_rows):
-                    step, node, n, place = unpack(batch.column(1)[i].as_buffer())
+                    step, node, n = unpack(batch.column(1)[i].as_buffer())
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(node), batch.column(0)[i].as_py(), np.int32)), pa.array(np.cumsum(step.astype(np.int32)).astype(np.int32)),
-                                                      pa.array(node), pa.array(n), pa.array(place)], names=["dst", "list", "node", "n", "place"])
+                                                      pa.array(node), pa.array(n)], names=["dst", "list", "node", "n"])
 
-        def cross(t: pa.Table) -> pa.Table:
-            order = t.column("dst")[0].as_py() // parts
-            group, node, n, place, comp = (t.column(c).to_numpy().astype(np.int64) for c in ("list", "node", "n", "place", "root"))
+        def several(t: pa.Table) -> pa.Table:
+            group, node, n, comp = (t.column(c).to_numpy().astype(np.int64) for c in ("list", "node", "n", "root"))
             by = np.lexsort((node, n, group))
-            group, node, n, place, comp = group[by], node[by], n[by], place[by], comp[by]
-            first = np.searchsorted(group, group)
-            open_ = np.bincount(group, weights=comp != comp[first])[group] > 0  # lists of several components
-            a, b = cross_pairs(group[open_], n[open_], place[open_], node[open_], comp[open_], percent)
-            return pa.table([pa.array(a), pa.array(b), pa.array(np.full(len(a), order, np.int32))], names=["a", "b", "o"])
+            group, node, n, comp = group[by], node[by], n[by], comp[by]
+            keep = np.zeros(len(group), bool)
+            if len(group) > 1:  # runs of similar sizes; one with a single component is closed
+                cut = np.ones(len(group), bool)
+                cut[1:] = (group[1:] != group[:-1]) | (n[1:] * percent > n[:-1] * 100)
+                run = np.cumsum(cut) - 1
+                first = np.flatnonzero(cut)[run]
+                keep = np.bincount(run, weights=comp != comp[first])[run] > 0
+            return pa.table([pa.array(np.full(keep.sum(), t.column("dst")[0].as_py(), np.int32)), pa.array(group[keep].astype(np.int32)), pa.array(node[keep]),
+                             pa.array(n[keep].astype(np.int32))], names=["dst", "list", "node", "n"])
+
+        rows = lists.where("kind = 0").select("dst", "blob").mapInArrow(entries, "dst int, list int, node bigint, n int")
+        rows = rows.join(roots.hint("shuffle_hash"), "node", "left").select("dst", "list", "node", "n", F.coalesce("root", "node").alias("root"))
+        return rows.groupBy("dst").applyInArrow(several, "dst int, list int, node bigint, n int")
+
+    def cross(self, entries: DataFrame, details: DataFrame, roots: DataFrame, nearest: bool) -> DataFrame:
+        """(a, b): the pairs of steps 2 (``nearest``) or 3."""
+        percent, parts, orders = self.percent, self.parts, self.orders
+        choose = nearest_pairs if nearest else cross_pairs
 
-        rows = lists.where("kind = 0").select("dst", "blob").mapInArrow(entries, "dst int, list int, node bigint, n int, place int")
-        rows = rows.join(roots.hint("shuffle_hash"), "node", "left").select("dst", "list", "node", "n", "place", F.coalesce("root", "node").alias("root"))
-        pairs = rows.groupBy("dst").applyInArrow(cross, "a bigint, b bigint, o int")
-        return pairs.groupBy("a", "b").agg(F.count_distinct("o").alias("orders")).where(F.col("orders") == orders).select("a", "b")
+        def pairs_of(t: pa.Table) -> pa.Table:
+            order = t.column("dst")[0].as_py() // parts
+            group, node, n, free, comp = (t.column(c).to_numpy().astype(np.int64) for c in ("list", "node", "n", "free", "root"))
+            bits = flat(t.column("bits"))[0].view(U64).reshape(-1, PARITY_WORDS)
+            by = np.lexsort((node, n, group))
+            pairs = choose(group[by], n[by], free[by], node[by], comp[by], bits[by], percent)
+            return pa.table([pa.array(x) for x in pairs] + [pa.array(np.full(len(pairs[0]), order, np.int32))], names=["a", "b", "n", "m", "times", "o"])
+
+        known = details.join(roots.hint("shuffle_hash"), "node", "left").select("node", "free", "bits", F.coalesce("root", "node").alias("root"))
+        rows = entries.join(known.hint("shuffle_hash"), "node").select("dst", "list", "node", "n", "free", "bits", "root")
+        pairs = rows.groupBy("dst").applyInArrow(pairs_of, "a bigint, b bigint, n bigint, m bigint, times bigint, o int")
+        if nearest:
+            return pairs.select("a", "b").distinct()
+        pairs = pairs.groupBy("a", "b", "o").agg(F.first("n").alias("n"), F.first("m").alias("m"), F.sum("times").alias("times"))
+        pairs = pairs.where(F.col("times") >= self.needed())
+        return pairs.groupBy("a", "b").agg(F.count("*").alias("orders")).where(F.col("orders") == orders).select("a", "b")
 
     def run(self) -> tuple[DataFrame, DataFrame]:
         """(id, whether it is missing, size) of each document; (node, root) of those with links."""
         lists = self.lists()
         equal = self.pairs(lists.where("kind = 3"))
-        stars = stored(self.pairs(lists.where("kind = 1")).distinct())
-        nodes = stars.select(F.col("a").alias("node")).union(stars.select(F.col("b").alias("node"))).distinct()
-        sets = stored(self.sets(nodes))
-        links = stored(self.linked(stars, sets).union(equal))
+        # representatives differ from list to list, so a third of the shared shingles is enough here
+        stars = stored(self.counted(lists.where("kind = 1")).where(3 * F.col("times") >= self.needed()).select("a", "b"))
+        links = stored(self.verified(stars).union(equal))
         roots = stored(components(links))
-        more = stored(self.cross_candidates(lists, roots))
-        if more.head(1):
-            nodes = more.select(F.col("a").alias("node")).union(more.select(F.col("b").alias("node"))).distinct()
-            links = stored(self.linked(more, self.sets(nodes)).union(links))
-            roots = stored(components(links))
+        entries, details = stored(self.open_entries(lists, roots)), self.details(lists)
+        for nearest in (True, False):
+            more = stored(self.cross(entries, details, roots, nearest))
+            if more.head(1):
+                found = stored(self.verified(more))
+                if found.head(1):
+                    links = links.union(found)
+                    roots = stored(components(links))
 
         def notes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for blob in batch.column(0):
-                    node, n, missing = unpack(blob.as_py())
+                    node, n, missing = unpack(blob.as_py())[:3]
                     yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(missing.astype(bool)), pa.array(n.astype(np.int64))], names=["node", "missing", "n"])
 
         return lists.where("kind = 2").select("blob").mapInArrow(notes, "node bigint, missing boolean, n bigint"), roots
@@ -419,11 +518,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80,
                          orders: int = 2) -> DataFrame:
-    """The documents with the smallest id of their group, and those without links or id.
+    """The documents with the smallest id of their group, and those without links.
 
-    Of rows with equal ids all or none stay, unless they are equal in text: then one does.
+    Rows that share an id are one document: all of them stay or go.  A document without an id
+    gives way to any that has one; of several without, one stays for each text that is.
     """
-    _, roots = _Join(docs, id_col, text_col, shingle, percent, orders).run()
-    least = roots.groupBy("root").agg(F.min("node").alias("least"))
-    gone = roots.join(least, "root").where("node <> least").select(F.col("node").alias("gone"))
-    return docs.join(gone, docs[f"`{id_col}`"].cast("bigint") == F.col("gone"), "left_anti")
+    notes, roots = _Join(docs, id_col, text_col, shingle, percent, orders).run()
+    members = notes.select("node", "missing").distinct().join(roots.hint("shuffle_hash"), "node")
+    stays = members.groupBy("root").agg(F.min(F.struct("missing", "node"))["node"].alias("stays"))
+    gone = members.join(stays, "root").where("node <> stays").select(F.col("node").alias("__gone"))
+    node = _node(docs[f"`{id_col}`"].cast("bigint"), docs[f"`{text_col}`"])
+    return docs.join(gone, node == F.col("__gone"), "left_anti")
