@@ -19,13 +19,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from baton.llm.wire import stored
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Ranks larger than this are not broadcast.
 MAX_VOCABULARY_BYTES = 64 << 20
 #: Fixed value: the pattern by which byte-level BPE vocabularies of this kind split a text.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Histogram rows whose sums are taken together; the blocks' totals are summed afterwards.
-BLOCK = 4096
+BLOCK = 256
 
 _ENCODERS: dict[int, object] = {}
 
@@ -107,5 +109,6 @@ def length_quantile(sums: DataFrame, q: float) -> int | None:
 
 
 def token_counts(spark: SparkSession, docs: DataFrame, text_col: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
-    """The histogram of all texts with its sums."""
-    return with_sums(length_histogram(docs, text_col, vocabulary))
+    """The histogram of all texts with its sums.  The histogram is stored: its sums read it
+    several times, the texts are encoded once."""
+    return with_sums(stored(length_histogram(docs, text_col, vocabulary)))
