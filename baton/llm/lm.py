@@ -84,8 +84,22 @@ class Chunk:
         n = len(self.words)
         return np.bincount(self.word[self.train], minlength=n), np.bincount(self.context[self.train], minlength=n)
 
-    def by_part(self, keys: np.ndarray, parts: int):
-        return sort_by_part((mix(keys, seed=12) % U64(parts)).astype(np.int64), parts)
+    def words_by_part(self, parts: int):
+        """The order in which words are sent, and the offsets of the parts in it."""
+        return sort_by_part((mix(self.words, seed=12) % U64(parts)).astype(np.int64), parts)
+
+    def bigrams_by_part(self, parts: int):
+        """The same for bigrams, and what is sent of each: 40 bits within its part.  Two bigrams
+        that fall together count together; with parts that grow with the corpus, that stays rarer
+        than one in a hundred thousand."""
+        part, short = (mix(self.keys, seed=12) % U64(parts)).astype(np.int64), mix(self.keys, seed=13) >> U64(24)
+        order = np.lexsort((short, part))
+        return order, np.searchsorted(part[order], np.arange(parts + 1)), short[order]
+
+
+def gaps(keys: np.ndarray) -> np.ndarray:
+    """Sorted keys as differences, which pack better."""
+    return np.diff(keys, prepend=U64(0))
 
 
 def ask_bigrams(table: pa.Table, folds: int, fold: int, parts: int) -> pa.Table:
@@ -94,8 +108,8 @@ def ask_bigrams(table: pa.Table, folds: int, fold: int, parts: int) -> pa.Table:
     number = table.column("chunk")[0].as_py()
     c = Chunk(in_order(table), folds, fold)
     counts = np.bincount(c.bigram[c.train], minlength=len(c.keys)).astype(np.uint32)
-    order, at = c.by_part(c.keys, parts)
-    return messages((p, number, pack(c.keys[order[at[p]:at[p + 1]]], counts[order[at[p]:at[p + 1]]])) for p in np.flatnonzero(np.diff(at)).tolist())
+    order, at, short = c.bigrams_by_part(parts)
+    return messages((p, number, pack(gaps(short[at[p]:at[p + 1]]), counts[order[at[p]:at[p + 1]]])) for p in np.flatnonzero(np.diff(at)).tolist())
 
 
 def count_bigrams(table: pa.Table, chunks: int) -> pa.Table:
@@ -104,7 +118,7 @@ def count_bigrams(table: pa.Table, chunks: int) -> pa.Table:
     if not got:
         return messages([])
     part = table.column("dst")[0].as_py()
-    keys, place = np.unique(np.concatenate([a[0] for a in got.values()]), return_inverse=True)
+    keys, place = np.unique(np.concatenate([np.cumsum(a[0], dtype=U64) for a in got.values()]), return_inverse=True)
     mine = np.concatenate([a[1] for a in got.values()])
     total = np.bincount(place, weights=mine, minlength=len(keys)).astype(np.uint32)
     # the owner: the first that holds it in a training document
@@ -125,7 +139,7 @@ def ask_words(table: pa.Table, replies: pa.Table, folds: int, fold: int, parts:
         return messages([])
     number = table.column("chunk")[0].as_py()
     c = Chunk(in_order(table), folds, fold)
-    order, at = c.by_part(c.keys, parts)
+    order, at, _ = c.bigrams_by_part(parts)
     total, own = np.zeros(len(c.keys), np.uint32), np.zeros(len(c.keys), bool)
     tally = np.zeros(4, np.int64)
     for p, (t, o, n) in incoming(replies):
@@ -135,13 +149,13 @@ def ask_words(table: pa.Table, replies: pa.Table, folds: int, fold: int, parts:
     n = len(c.words)
     follow = [np.bincount(c.bigram_context[own & hit], minlength=n).astype(np.uint32) for hit in (total == 1, total == 2, total > 2)]
     tokens, contexts = (x.astype(np.uint32) for x in c.word_counts())
-    order, at = c.by_part(c.words, parts)
+    order, at = c.words_by_part(parts)
     home = number % parts
     out = []
     for p in sorted({*np.flatnonzero(np.diff(at)).tolist(), home}):
         i = order[at[p]:at[p + 1]]
         note = pack(total, tally) if p == home else b""  # this chunk's own note for the last step
-        out.append((p, number, pack(c.words[i], tokens[i], contexts[i], *(f[i] for f in follow), np.frombuffer(note, np.uint8))))
+        out.append((p, number, pack(gaps(c.words[i]), tokens[i], contexts[i], *(f[i] for f in follow), np.frombuffer(note, np.uint8))))
     return messages(out)
 
 
@@ -150,7 +164,7 @@ def count_words(table: pa.Table, chunks: int) -> pa.Table:
     if not got:
         return messages([])
     part = table.column("dst")[0].as_py()
-    keys, place = np.unique(np.concatenate([a[0] for a in got.values()]), return_inverse=True)
+    keys, place = np.unique(np.concatenate([np.cumsum(a[0], dtype=U64) for a in got.values()]), return_inverse=True)
     sums = [np.bincount(place, weights=np.concatenate([a[i] for a in got.values()]), minlength=len(keys)).astype(np.int64) for i in range(1, 6)]
     whole = np.array([sums[0].sum(), (sums[0] > 0).sum()], np.int64)  # training tokens and distinct ones
     out, at = [], 0
@@ -180,7 +194,7 @@ def score_chunk(table: pa.Table, replies: pa.Table, folds: int, fold: int, parts
                          "n_known": pa.array([], pa.int64()), "train_tokens": pa.array([], pa.int64()), "base_score": pa.array([], pa.float64()),
                          "score": pa.array([], pa.float64())})
     c = Chunk(in_order(table), folds, fold)
-    order, at = c.by_part(c.words, parts)
+    order, at = c.words_by_part(parts)
     sums = np.zeros((5, len(c.words)), np.int64)
     total, tally, whole = np.zeros(len(c.keys), np.int64), np.zeros(4, np.int64), np.zeros(2, np.int64)
     for p, (*s, w, note) in incoming(replies):
