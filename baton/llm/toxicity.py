@@ -31,7 +31,7 @@ from baton.llm.text import ALNUM, U64, flat, lower, mix, slices, word_hashes, wo
 from baton.llm.wire import pack, unpack
 
 #: Labelled documents used for the fit at most.
-MAX_LABELS = 20_000
+MAX_LABELS = 8_000
 #: Features kept at most: those that the grades depend on most.
 MAX_FEATURES = 1 << 14
 #: Documents of the sample that must hold a feature.
@@ -74,14 +74,6 @@ def _counts(doc: np.ndarray, value: np.ndarray):
     return doc[first], value[first], np.diff(np.append(first, len(doc)))
 
 
-def _levels(doc: np.ndarray, base: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(document, feature): a base's feature for each level that its occurrences reach."""
-    reached = [times >= k for k in LEVELS]
-    doc, feature = np.concatenate([doc[r] for r in reached]), np.concatenate([base[r] * len(LEVELS) + i for i, r in enumerate(reached)])
-    order = np.lexsort((feature, doc))
-    return doc[order], feature[order]
-
-
 def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * z))
 
@@ -148,17 +140,39 @@ def fit(doc: np.ndarray, feature: np.ndarray, grade: np.ndarray, n_features: int
     return w, theta
 
 
-def screened(doc: np.ndarray, feature: np.ndarray, grade: np.ndarray, n_features: int) -> np.ndarray:
-    """The features on whose presence the grades depend: by the residuals that the thresholds
-    alone leave in the documents that hold them."""
+def null_residuals(grade: np.ndarray) -> np.ndarray:
+    """What the thresholds alone leave of each document's grade."""
     share = np.bincount(grade) / len(grade)
     above = np.append(np.cumsum(share[::-1])[::-1], 0.0)  # P(y >= k)
     slope = above * (1 - above)
-    residual = ((slope[:-1] - slope[1:]) / np.maximum(share, 1e-12))[grade]
-    n = np.bincount(feature, minlength=n_features)
-    z = np.bincount(feature, weights=residual[doc], minlength=n_features) ** 2 / np.maximum(n * (residual ** 2).mean(), 1e-12)
-    ok = np.flatnonzero((n >= MIN_DOCS) & (z >= SCREEN))
-    return np.sort(ok[np.argsort(-z[ok], kind="stable")][:MAX_FEATURES])
+    return ((slope[:-1] - slope[1:]) / np.maximum(share, 1e-12))[grade]
+
+
+def screened(doc: np.ndarray, base: np.ndarray, times: np.ndarray, grade: np.ndarray):
+    """(document, feature, features): the features, numbered by base and level, on whose presence
+    the grades depend most, and the documents that hold them, ascending."""
+    residual = null_residuals(grade)
+    size = int(base.max(initial=-1)) + 1
+    score = np.zeros((size, len(LEVELS)))
+    for i, k in enumerate(LEVELS):
+        hit = times >= k
+        n = np.bincount(base[hit], minlength=size)
+        z = np.bincount(base[hit], weights=residual[doc[hit]], minlength=size) ** 2 / np.maximum(n * (residual ** 2).mean(), 1e-12)
+        score[:, i] = np.where(n >= MIN_DOCS, z, 0.0)
+    score = score.reshape(-1)
+    ok = np.flatnonzero(score >= SCREEN)
+    ok = np.sort(ok[np.argsort(-score[ok], kind="stable")][:MAX_FEATURES])
+    dense = np.full(len(score), -1, np.int32)
+    dense[ok] = np.arange(len(ok))
+    docs, found = [], []
+    for i, k in enumerate(LEVELS):
+        feature = dense[base.astype(np.int64) * len(LEVELS) + i]
+        hit = (times >= k) & (feature >= 0)
+        docs.append(doc[hit])
+        found.append(feature[hit])
+    doc, feature = np.concatenate(docs), np.concatenate(found)
+    order = np.lexsort((feature, doc))
+    return doc[order], feature[order], ok
 
 
 def _fit_table(table: pa.Table) -> pa.Table:
@@ -171,16 +185,13 @@ def _fit_table(table: pa.Table) -> pa.Table:
         parts = []
         for a in range(0, len(table), 1000):  # features of a thousand texts at a time
             d, v, t = features(table.column("text").slice(a, 1000))
-            parts.append((d + a, v, t))
+            parts.append(((d + a).astype(np.int32), v, np.minimum(t, LEVELS[-1]).astype(np.uint8)))
         doc, value, times = (np.concatenate(x) for x in zip(*parts))
-        known, base, n = np.unique(value, return_inverse=True, return_counts=True)
-        often = n[base] >= MIN_DOCS
-        doc, feature = _levels(doc[often], base[often], times[often])
-        ok = screened(doc, feature, grade, len(known) * len(LEVELS))
-        dense = np.full(len(known) * len(LEVELS), -1)
-        dense[ok] = np.arange(len(ok))
-        feature = dense[feature]
-        fitted, theta = fit(doc[feature >= 0], feature[feature >= 0], grade, len(ok))
+        del parts
+        known, base = np.unique(value, return_inverse=True)
+        del value
+        doc, feature, ok = screened(doc, base.astype(np.int32), times, grade)
+        fitted, theta = fit(doc, feature, grade, len(ok))
         every = np.zeros(len(known) * len(LEVELS))
         every[ok] = fitted
         every = every.reshape(-1, len(LEVELS))
