@@ -15,6 +15,7 @@ RIGHT_ONLY = "right_only"
 _SIGN = "__baton_sign"
 _N = "__baton_n"
 _DIGEST = "__baton_digest"
+_ROW = "__baton_row"
 #: Unequal digests (32 bytes each) that are broadcast; more are joined by a shuffle.
 BROADCAST_DIGESTS = 200_000
 
@@ -71,9 +72,40 @@ def _plain(dt: T.DataType) -> str:
     return dt.simpleString()
 
 
-def _digest(names: list[str]) -> Column:
-    """Four independent 64-bit hashes of the whole row."""
-    return F.struct(*[F.xxhash64(F.lit(i), *[quote(n) for n in names], F.lit(i)).alias(f"h{i}") for i in range(4)])
+def _renamed(dt: T.DataType) -> T.DataType:
+    """The type with struct fields named by position, so that each can be picked by its name."""
+    if isinstance(dt, T.StructType):
+        return T.StructType([T.StructField(f"f{i}", _renamed(f.dataType)) for i, f in enumerate(dt.fields)])
+    if isinstance(dt, T.ArrayType):
+        return T.ArrayType(_renamed(dt.elementType))
+    return dt
+
+
+def _hashed_whole(dt: T.DataType) -> bool:
+    """Whether ``_marked`` reaches every level of a form's type: not inside user-defined types."""
+    if isinstance(dt, T.ArrayType):
+        return _hashed_whole(dt.elementType)
+    if isinstance(dt, T.StructType):
+        return all(_hashed_whole(f.dataType) for f in dt.fields)
+    return not isinstance(dt, (T.UserDefinedType, T.MapType))
+
+
+def _marked(c: Column, dt: T.DataType) -> Column:
+    """A form with a null flag or an array's size before each value, at every level: Spark's
+    hashes skip nulls and run array elements together, so the bare values are ambiguous."""
+    if isinstance(dt, T.ArrayType):
+        return F.struct(F.when(c.isNull(), F.lit(-1)).otherwise(F.size(c)), F.transform(c, lambda x: _marked(x, dt.elementType)))
+    if isinstance(dt, T.StructType):
+        return F.struct(c.isNull(), *[_marked(c[f.name], f.dataType) for f in dt.fields])
+    return F.struct(c.isNull(), c)
+
+
+def _digested(df: DataFrame, names: list[str]) -> DataFrame:
+    """``df`` with four independent 64-bit hashes of the whole row."""
+    types = [_renamed(df.schema[n].dataType) for n in names]
+    row = F.struct(*[_marked(quote(n).cast(dt), dt) for n, dt in zip(names, types)])
+    hashes = [F.xxhash64(F.lit(i), F.col(_ROW), F.lit(i)).alias(f"h{i}") for i in range(4)]
+    return df.withColumn(_ROW, row).withColumn(_DIGEST, F.struct(*hashes)).drop(_ROW)
 
 
 def frame_diff(left: DataFrame, right: DataFrame, expand: bool = False, chunk_rows: int = 1 << 16,
@@ -91,12 +123,14 @@ def frame_diff(left: DataFrame, right: DataFrame, expand: bool = False, chunk_ro
     itself comes back as ``left_side`` or ``left_n``, with more ``left_`` if
     that is taken too.
 
-    Rows are counted by a 256-bit digest first (four 64-bit hashes), so only
-    digests are shuffled, copies combined before; this runs at once.  Then the
+    Rows are counted by a 256-bit digest first (four 64-bit hashes of the values
+    with their null flags and array sizes at every level), so only digests are
+    shuffled, copies combined before; this runs at once.  Then the
     rows whose digests are out of balance, and only those, are compared in
     full.  Two sides that differ by rows whose digests collide would be called
     equal: not to be expected by chance, but the hashes are no protection
-    against someone who wants it.  ``exact=True`` compares all rows in full.
+    against someone who wants it.  ``exact=True`` compares all rows in full, as
+    do columns of user-defined types, whose inner nulls cannot be flagged.
     ``expand=True`` emits one row per surplus copy; large surpluses are cut
     into ``chunk_rows`` pieces spread over tasks before they are exploded.
     """
@@ -119,8 +153,8 @@ def frame_diff(left: DataFrame, right: DataFrame, expand: bool = False, chunk_ro
         return df.select(*[_form(quote(n), types[n]).alias(c) for n, c in zip(names, inner)], F.lit(sign).alias(_SIGN))
 
     both = side(left, 1).unionByName(side(right, -1))
-    if not exact:
-        unequal = (both.select(_digest(inner).alias(_DIGEST), _SIGN).groupBy(_DIGEST).agg(F.sum(_SIGN).alias(_N))
+    if not exact and all(_hashed_whole(both.schema[c].dataType) for c in inner):
+        unequal = (_digested(both, inner).groupBy(_DIGEST).agg(F.sum(_SIGN).alias(_N))
                    .where(F.col(_N) != 0).select(_DIGEST))
         path = write_snapshot(unequal, codec=PARQUET)
         unequal = read_snapshot(left.sparkSession, path, unequal.schema)
@@ -129,7 +163,7 @@ def frame_diff(left: DataFrame, right: DataFrame, expand: bool = False, chunk_ro
             both = both.where(F.lit(False))
         else:
             some = F.broadcast(unequal) if count <= BROADCAST_DIGESTS else unequal.hint("merge")
-            both = both.withColumn(_DIGEST, _digest(inner)).join(some, _DIGEST, "left_semi").drop(_DIGEST)
+            both = _digested(both, inner).join(some, _DIGEST, "left_semi").drop(_DIGEST)
     net = both.groupBy(*inner).agg(F.sum(_SIGN).alias(_N)).where(F.col(_N) != 0)
     if expand:
         piece, take = F.col("__piece"), F.col("__take")

@@ -422,6 +422,27 @@ def handover_diff_map(spark, sf_dir):
     return out.select("o_orderkey", F.element_at(F.filter("m", lambda e: e["key"] == "p"), 1)["value"].alias("priority"), "side", "n")
 
 
+@register("handover_diff_nested", """
+    SELECT o_orderkey, side, CAST(1 AS BIGINT) AS n
+    FROM orders, (VALUES ('left_only'), ('right_only')) AS s(side) WHERE o_orderstatus <> 'O'""")
+def handover_diff_nested(spark, sf_dir):
+    # a handover that moved nulls and array bounds about: a null to the next column, an empty
+    # array to null, an element to the next array, by the key's rest; open orders stay as they are
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", (F.col("o_orderkey") % 3).alias("kind"))
+    key, none = F.col("o_orderkey"), F.lit(None).cast("bigint")
+    nothing = F.lit(None).cast("array<bigint>")
+
+    def rows(moved):
+        a = F.when(moved & (F.col("kind") == 0), none).otherwise(key)
+        b = F.when(moved & (F.col("kind") == 0), key)
+        c = F.when(~moved | (F.col("kind") != 1), F.array().cast("array<bigint>")).otherwise(nothing)
+        d = F.when(moved & (F.col("kind") == 2), F.array(F.array(key), F.array(key, key))).otherwise(F.array(F.array(key, key), F.array(key)))
+        return orders.select(a.alias("a"), b.alias("b"), c.alias("c"), d.alias("d"))
+
+    out = frame_diff(rows(F.lit(False)), snapshot(rows(F.col("o_orderstatus") != "O")))
+    return out.select(F.col("d")[0][0].alias("o_orderkey"), "side", "n")
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 

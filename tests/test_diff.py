@@ -135,3 +135,33 @@ def test_digests_shuffle_a_tenth_of_the_bytes(tmp_path):
     assert line, out.stderr[-3000:]
     got = json.loads(line[-1])
     assert got["digest"] * 10 < got["exact"]
+
+
+@pytest.mark.parametrize("left,right", [
+    ("CAST(1 AS INT) AS a, CAST(NULL AS INT) AS b", "CAST(NULL AS INT) AS a, 1 AS b"),
+    ("CAST(array() AS ARRAY<INT>) AS a", "CAST(NULL AS ARRAY<INT>) AS a"),
+    ("array(1, NULL) AS a", "array(1) AS a"),
+    ("array(NULL, 1) AS a", "array(1, NULL) AS a"),
+    ("array(1, 2) AS a, array(3) AS b", "array(1) AS a, array(2, 3) AS b"),
+    ("array(array(1, 2), array(3)) AS a", "array(array(1), array(2, 3)) AS a"),
+    ("named_struct('x', 1, 'y', CAST(NULL AS INT)) AS a", "named_struct('x', CAST(NULL AS INT), 'y', 1) AS a"),
+    ("named_struct('x', CAST(NULL AS INT)) AS a", "CAST(NULL AS STRUCT<x: INT>) AS a"),
+    ("array(CAST(NULL AS STRUCT<x: INT>)) AS a", "array(named_struct('x', CAST(NULL AS INT))) AS a"),
+    ("map('k', CAST(NULL AS INT)) AS a, 1 AS b", "map('k', 1) AS a, CAST(NULL AS INT) AS b"),
+    ("CAST(map() AS MAP<STRING, INT>) AS a", "CAST(NULL AS MAP<STRING, INT>) AS a"),
+    ("map('k', array(1), 'l', array(2, 3)) AS a", "map('k', array(1, 2), 'l', array(3)) AS a"),
+    ("CAST(1 AS DOUBLE) AS a, CAST(NULL AS DOUBLE) AS b", "CAST(NULL AS DOUBLE) AS a, CAST(1 AS DOUBLE) AS b"),
+])
+def test_rows_whose_bare_hashes_agree(spark, left, right):
+    a, b = spark.sql(f"SELECT {left}"), spark.sql(f"SELECT {right}")
+    assert not same_rows(a, b)
+    assert not same_rows(a, b, exact=True)
+    assert sorted(r.side for r in frame_diff(a, b).collect()) == ["left_only", "right_only"]
+    assert same_rows(a, a) and same_rows(b, b)
+
+
+def test_struct_fields_whose_names_differ_in_case(spark):
+    a = spark.sql("SELECT named_struct('x', 1, 'X', CAST(NULL AS INT)) AS s")
+    b = spark.sql("SELECT named_struct('x', CAST(NULL AS INT), 'X', 1) AS s")
+    assert same_rows(a, a)
+    assert not same_rows(a, b)
