@@ -111,7 +111,7 @@ def op6_html_extraction(spark, sf_dir):
 @register("op7_toxicity")
 def op7_toxicity(spark, sf_dir):
     docs = documents(spark, sf_dir)
-    model = toxicity.train(docs, table(spark, sf_dir, "labels"), toxicity.severity_grade())
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), toxicity.severity_grade(), keep_toxic=True)
     return toxicity.severity(docs, model)
 
 

@@ -24,7 +24,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not more likely toxic than not (operator 7)."""
-    model = toxicity.train(docs, _table(spark, sf_dir, "labels"), toxicity.severity_grade())
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"), toxicity.severity_grade(), keep_toxic=True)
     return toxicity.severity(docs, model, keep=True)
 
 

@@ -166,3 +166,31 @@ def test_fit_finds_the_optimum():
     assert theta[0] < theta[1]
     for _ in range(200):
         assert loss(w + 0.02 * rng.normal(size=k), theta + 0.02 * rng.normal(size=2)) >= base - 1e-6
+
+
+def test_insults_that_few_documents_hold(spark):
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(200)]
+    insults = ["".join(rng.choice("bcdfghjklm") for _ in range(9)) for _ in range(100)]
+    docs = []
+    for i in range(8000):
+        words = [rng.choice(vocabulary) for _ in range(8)]
+        if i < 400:
+            words[rng.randrange(8)] = insults[i % 100]  # four documents each
+        docs.append((i, " ".join(words)))
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    marks = spark.createDataFrame([(i, 1, int(i < 400)) for i in range(8000)], "doc_id bigint, quality int, toxic int")
+    model = toxicity.train(frame, marks, toxicity.severity_grade())
+    alone = spark.createDataFrame([(i, w) for i, w in enumerate(insults + vocabulary)], "doc_id bigint, text string")
+    got = {r.doc_id: r.toxic for r in toxicity.severity(alone, model).collect()}
+    assert sum(got[i] for i in range(100)) >= 90
+    assert not any(got[i] for i in range(100, 300))
+
+
+def test_the_bounded_sample_can_keep_toxic_labels(spark):
+    docs, labels = labelled(n=120)
+    frame, marks = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    model = toxicity.train(frame, marks, toxicity.severity_grade(), max_labels=40, keep_toxic=True)
+    got = {r.doc_id: r.toxic for r in toxicity.severity(frame, model).collect()}
+    assert model != toxicity.train(frame, marks, toxicity.severity_grade(), max_labels=40)
+    assert sum(got[i] == bool(t) for i, _, t in labels) > 0.9 * len(labels)
