@@ -303,15 +303,16 @@ def rows_per_file(spark, sf_dir):
 @register("file_sizes_agree", " UNION ALL ".join(
     f"SELECT '{t}' AS name, true AS sizes_agree, count(*) AS n_rows FROM {t}" for t in FILES))
 def file_sizes_agree(spark, sf_dir):
-    # the listed size of each file is the size its scan sees
-    sizes = file_sizes(spark, f"{sf_dir.rstrip('/')}/*.parquet").groupBy(_file_name("path").alias("name")).agg(F.sum("size_bytes").alias("listed"))
+    # the listed size of each file is the size its scan sees; a table is a file or a folder of them
+    listed = file_sizes(spark, f"{sf_dir.rstrip('/')}/*.parquet", recursive=True)
     seen = None
     for t in FILES:
-        files = table(spark, sf_dir, t).groupBy(_file_name(F.col("_metadata.file_path")).alias("name"), F.col("_metadata.file_path").alias("p")).agg(
+        p = F.col("_metadata.file_path")  # escaped, as paths of a listing are not
+        one = table(spark, sf_dir, t).groupBy(F.lit(t).alias("name"), F.url_decode(F.replace(p, F.lit("+"), F.lit("%2B"))).alias("path")).agg(
             F.max("_metadata.file_size").alias("size"), F.count("*").alias("n"))
-        one = files.groupBy("name").agg(F.sum("size").alias("scanned"), F.sum("n").alias("n_rows"))
         seen = one if seen is None else seen.unionByName(one)
-    return sizes.hint("merge").join(seen.hint("merge"), "name").select("name", (F.col("listed") == F.col("scanned")).alias("sizes_agree"), "n_rows")
+    return seen.hint("merge").join(listed.hint("merge"), "path", "left").groupBy("name").agg(
+        F.bool_and(F.coalesce(F.col("size_bytes") == F.col("size"), F.lit(False))).alias("sizes_agree"), F.sum("n").alias("n_rows"))
 
 
 @register("file_contents", "SELECT p_partkey, p_name AS content FROM part")

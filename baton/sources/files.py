@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,9 +71,23 @@ def list_files(spark: SparkSession, glob: str, strict: bool = False) -> DataFram
     return scan.unionByName(rest) if odd else scan
 
 
-def file_sizes(spark: SparkSession, glob: str, strict: bool = False) -> DataFrame:
-    """``(path, size_bytes)`` of the matched files (folders are left out)."""
-    return list_files(spark, glob, strict).where(~F.col("is_dir")).select("path", "size_bytes")
+def file_sizes(spark: SparkSession, glob: str, strict: bool = False, recursive: bool = False) -> DataFrame:
+    """``(path, size_bytes)`` of the matched files (folders are left out).
+
+    ``recursive`` gives the files below matched folders, too, at any depth: the files a
+    scan reads, so neither empty nor hidden ones.  No path passes through Python then.
+    """
+    if not recursive:
+        return list_files(spark, glob, strict).where(~F.col("is_dir")).select("path", "size_bytes")
+    try:
+        scan = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(glob)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        if strict:
+            raise FileNotFoundError(f"no file matches {glob}") from e
+        return spark.createDataFrame([], "path string, size_bytes bigint")
+    return scan.select("path", F.col("length").alias("size_bytes"))
 
 
 def read_files(spark: SparkSession, glob: str, strict: bool = False) -> DataFrame:

@@ -175,3 +175,15 @@ def test_open_table_through_a_connector(spark):
     spark.dataSource.register(Numbers)
     assert [tuple(r) for r in open_table(spark, "tab", format="numbers_for_test", n="2").collect()] == [(0, "tab"), (1, "tab")]
     assert open_typed(spark, "tab", "i bigint", format="numbers_for_test", n="3").count() == 3
+
+
+def test_file_sizes_of_tables_that_are_folders(spark, tmp_path):
+    from baton.plans import catalog
+    root = tmp_path / "a +b"
+    counts = {}
+    for t in catalog.FILES:
+        rows = spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet")
+        counts[t] = rows.count()
+        rows.repartition(3).write.parquet(f"{root}/{t}.parquet")
+    got = {r.name: (r.sizes_agree, r.n_rows) for r in catalog.queries()["file_sizes_agree"](spark, str(root)).collect()}
+    assert got == {t: (True, n) for t, n in counts.items()}
