@@ -2,21 +2,27 @@
 
 from __future__ import annotations
 
+import hashlib
+import zlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from baton.llm import toxicity
+from baton.llm import toxicity, warc
 from baton.llm.decontaminate import decontaminate
 from baton.llm.html_text import extract_text
 from baton.llm.jaccard_join import jaccard_components
 from baton.llm.lm import score_documents
 from baton.llm.mixing import mix_sources
+from baton.llm.periodic_runs import periodic_runs
 from baton.llm.substring_dedup import dedup_words
 from baton.llm.suffix_array_dedup import dedup_bytes
 from baton.llm.token_counts import token_counts
 from baton.llm.topk import top_k
+from baton.llm.vector_codes import Codebooks, compress
+from baton.llm.wire import stored
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -155,6 +161,100 @@ def op10_jaccard_join(spark, sf_dir):
     return jaccard_components(documents(spark, sf_dir))
 
 
+@register("op11_warc_archives", """
+    SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest,
+           CASE WHEN strlen(html) >= 1000 AND page_id <> m THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN strlen(html) >= 1000 AND page_id <> m THEN m END AS refers_to
+    FROM (SELECT *, max(page_id) OVER (PARTITION BY html) AS m FROM pages)""")
+def op11_warc_archives(spark, sf_dir):
+    packages = warc.write_archives(table(spark, sf_dir, "pages"))
+    records = warc.read_archives(spark, packages)
+    return records.select(warc.row_id("record_id").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                          warc.row_id("refers_to").cast("bigint").alias("refers_to"))
+
+
+def _seed(ident: Column) -> Column:
+    return F.crc32(ident.cast("string").cast("binary"))
+
+
+def _planted(docs: DataFrame) -> DataFrame:
+    """The input that the contract of op12 asks for: in a tenth of the documents, the words from
+    a place on repeat the first of them."""
+    @F.pandas_udf("string")
+    def repeat(idents: pd.Series, texts: pd.Series) -> pd.Series:
+        out = []
+        for ident, text in zip(idents, texts):
+            words = text.encode().split() if text is not None else []
+            if words:
+                n, g = len(words), zlib.crc32(str(int(ident)).encode()) // 10
+                a = g % n
+                p = 1 + (n - a) // (3 + g % 8)
+                words = words[:a] + [words[a + i % p] for i in range(n - a)]
+            out.append(None if text is None else b" ".join(words).decode())
+        return pd.Series(out, dtype=object)
+
+    chosen = F.coalesce(_seed(F.col("doc_id")) % 10 == 0, F.lit(False))
+    # texts that stay as they are do not go through Python
+    changed = repeat(F.coalesce("doc_id", F.lit(0)), F.when(chosen, F.col("text")))
+    return docs.select("doc_id", F.when(chosen, changed).otherwise(F.col("text")).alias("text"))
+
+
+@register("op12_periodic_runs")
+def op12_periodic_runs(spark, sf_dir):
+    found = periodic_runs(_planted(documents(spark, sf_dir)))
+    runs = F.col("runs")
+    # the greatest length / period, compared without rounding; of equal ones the first in order
+    best = F.aggregate(runs, F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>"), lambda b, r: F.when(
+        b.isNull() | (r["length"] * b["period"] > b["length"] * r["period"]), r).otherwise(b))
+    lines = F.array_join(F.transform(runs, lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.select("doc_id", F.size(runs).cast("bigint").alias("n_runs"), best.alias("b"), F.sha2(lines, 256).alias("runs_sha256"),
+                        F.sha2("collapsed", 256).alias("collapsed_sha256")).select(
+        "doc_id", "n_runs", "b.start", "b.length", "b.period", F.expr("b.length * 1000 div b.period").alias("exponent_milli"),
+        "runs_sha256", "collapsed_sha256")
+
+
+def codebooks_sha256(codebooks: Codebooks, length: int) -> str:
+    """The digest of all entries' components by part, entry and position."""
+    return hashlib.sha256(",".join(str(x) for part in codebooks[length] for x in part.reshape(-1).tolist()).encode()).hexdigest()
+
+
+def _codes_oracle() -> str:
+    nearest = """a{r} AS (SELECT vec_id, j, v, min({{'d': list_sum(list_transform(range(1, len(v) + 1), lambda k: (v[k] - e[k]) * (v[k] - e[k]))), 'i': i}}) AS m
+              FROM p JOIN e{r} USING (j) GROUP BY vec_id, j, v)"""
+    moved = """c{r} AS (SELECT j, i, list(x ORDER BY k) AS e FROM (
+                 SELECT j, m.i AS i, k, CAST(floor(sum(v[k]) / count(*)) AS BIGINT) AS x FROM a{r}, (SELECT unnest(range(1, 5)) AS k) GROUP BY ALL) GROUP BY j, i),
+            e{s} AS (SELECT j, i, coalesce(c{r}.e, e{r}.e) AS e FROM e{r} LEFT JOIN c{r} USING (j, i))"""
+    return f"""
+    WITH w AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+               WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    p AS (SELECT vec_id, j, v[4 * j + 1:4 * j + 4] AS v FROM w, (SELECT unnest(range(0, 16)) AS j)),
+    e0 AS (SELECT j, CAST(row_number() OVER (PARTITION BY j ORDER BY vec_id) - 1 AS BIGINT) AS i, v AS e FROM p
+           WHERE vec_id IN (SELECT vec_id FROM w ORDER BY vec_id LIMIT 64)),
+    {nearest.format(r=0)}, {moved.format(r=0, s=1)}, {nearest.format(r=1)}, {moved.format(r=1, s=2)}, {nearest.format(r=2)},
+    code AS (SELECT vec_id, string_agg(printf('%02x', m.i), '' ORDER BY j) AS code, CAST(sum(m.d) AS BIGINT) AS error FROM a2 GROUP BY vec_id),
+    books AS (SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY j, i)) AS codebooks_sha256 FROM e2)
+    SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+    FROM code JOIN w USING (vec_id), books"""
+
+
+#: Labels whose sums are broadcast; more are joined by a shuffle, whose hot keys Spark splits.
+BROADCAST_LABELS = 100_000
+
+
+@register("op13_vector_codes", _codes_oracle())
+def op13_vector_codes(spark, sf_dir):
+    codes, codebooks = compress(table(spark, sf_dir, "embeddings"))
+    codes = stored(codes)
+    # a sum of longs need not be one: it is null then
+    sums = codes.groupBy("label").agg(F.sum(F.col("error").cast("decimal(38,0)")).try_cast("bigint").alias("label_error")).withColumnRenamed("label", "of")
+    few = sums.count() <= BROADCAST_LABELS
+    joined = codes.join(F.broadcast(sums) if few else sums.hint("merge"), F.col("label").eqNullSafe(F.col("of")))
+    digest = F.lit("")
+    for length in codebooks:
+        digest = F.when(F.col("length") == length, F.lit(codebooks_sha256(codebooks, length))).otherwise(digest)
+    return joined.select(F.col("id").alias("vec_id"), F.lower(F.hex("code")).alias("code"), "error", "label_error", digest.alias("codebooks_sha256"))
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 
