@@ -28,7 +28,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,13 +49,37 @@ class Compressed(NamedTuple):
     codebooks: Codebooks
 
 
-def whole_components(column: Column, scale: float) -> Column:
-    """floor(scale * x) of each component; null unless all are finite."""
-    x = column.cast("array<double>")
-    fine = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf")))
-    bits = F.floor((F.lit(60) - F.ceil(F.log2(F.greatest(F.size(x), F.lit(1)).cast("double")))) / 2)
-    most = F.pow(F.lit(2.0), F.least(bits, F.lit(30))).cast("bigint")
-    return F.when(x.isNotNull() & fine, F.transform(x, lambda v: F.greatest(F.least(F.floor(v * F.lit(float(scale))), most), -most).cast("int")))
+def whole_components(column: pa.ListArray, scale: float) -> tuple[np.ndarray, pa.ListArray]:
+    """floor(scale * x) of the components of the vectors that are not null and finite throughout;
+    their places, and the whole vectors."""
+    offsets = column.offsets.to_numpy().astype(np.int64)
+    sizes, x = np.diff(offsets), column.values[offsets[0]:offsets[-1]]
+    values = x.to_numpy(zero_copy_only=False).astype(np.float64)  # a null is not a number
+    fine = np.asarray(column.is_valid())
+    fine[np.repeat(np.arange(len(sizes)), sizes)[~np.isfinite(values)]] = False
+    bits = np.minimum((60 - np.ceil(np.log2(np.maximum(sizes, 1)))) // 2, 30)
+    most = np.repeat(2.0 ** bits, sizes)
+    with np.errstate(over="ignore", invalid="ignore"):
+        whole = np.clip(np.floor(values * scale), -most, most)[np.repeat(fine, sizes)].astype(np.int32)
+    at = np.flatnonzero(fine)
+    return at, pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(sizes[at])]).astype(np.int32), whole)
+
+
+def quantised(vectors: DataFrame, id_col: str, vector_col: str, label_col: str, scale: float) -> DataFrame:
+    """(id, label, v array<int>) of the vectors that take part."""
+    ident, label, vector = (F.col(f"`{c}`") for c in (id_col, label_col, vector_col))
+    kind = vectors.schema[vector_col].dataType
+    if not isinstance(kind, T.ArrayType) or not isinstance(kind.elementType, (T.FloatType, T.DoubleType)):
+        vector = vector.cast("array<double>")
+    schema = T.StructType([T.StructField("id", vectors.schema[id_col].dataType), T.StructField("label", vectors.schema[label_col].dataType),
+                           T.StructField("v", T.ArrayType(T.IntegerType()))])
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, v = whole_components(batch.column(2), scale)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at)), v], names=["id", "label", "v"])
+
+    return vectors.select(ident.alias("id"), label.alias("label"), vector.alias("vector")).mapInArrow(whole, schema)
 
 
 def cuts(length: int, parts: int) -> np.ndarray:
@@ -180,8 +204,7 @@ def compress(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embe
     """The code of every vector and the codebooks after ``rounds`` rounds."""
     if not 1 <= entries <= 256 or parts < 1:
         raise ValueError("a code holds one byte for each part: 1 to 256 entries, at least one part")
-    rows = vectors.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").alias("label"),
-                          whole_components(F.col(f"`{vector_col}`"), scale).alias("v")).where(F.col("v").isNotNull())
+    rows = stored(quantised(vectors, id_col, vector_col, label_col, scale))
     books: Codebooks = {}
     for (length,) in rows.select(F.size("v")).distinct().collect():
         first = rows.where(F.size("v") == length).orderBy(F.col("id").asc_nulls_last(), "v").limit(entries).collect()
