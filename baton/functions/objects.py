@@ -1,8 +1,6 @@
-"""Python objects in RDDs: the ``pickle`` codec, and schemas of records.
+"""Python objects in RDDs: the ``pickle`` codec, and the check of records against a schema.
 
-The ``pickle`` codec is for RDDs of arbitrary Python objects.
-
-Runs per element inside RDD tasks: it is only for collections that have no
+The ``pickle`` codec runs per element inside RDD tasks: it is only for collections that have no
 schema.  Loading a pickle runs code, so it is meant for snapshots written by
 the same user, never for foreign data.
 """
@@ -10,13 +8,9 @@ the same user, never for foreign data.
 from __future__ import annotations
 
 import base64
-import datetime
-import decimal
 import pickle
 
-from pyspark import RDD
 from pyspark.sql import Row
-from pyspark.sql import types as T
 
 
 def pickle_line(obj) -> str:
@@ -31,88 +25,6 @@ def unpickle_line(line: str):
     return pickle.loads(base64.b64decode(line, validate=True))
 
 
-# The column type of each Python type.
-_ATOMS = {
-    bool: "boolean", int: "bigint", float: "double", str: "string", bytes: "binary", bytearray: "binary",
-    datetime.date: "date", datetime.datetime: "timestamp", datetime.timedelta: "interval day to second",
-    decimal.Decimal: "decimal(38,18)",
-}
-
-
-def _kind(value):
-    """The type of a value as plain nested tuples; None for a missing one."""
-    if value is None:
-        return None
-    if isinstance(value, Row) and hasattr(value, "__fields__"):
-        return ("struct", {n: _kind(v) for n, v in zip(value.__fields__, value)})
-    if isinstance(value, dict):
-        key = item = None
-        for k, v in value.items():
-            key, item = _merged(key, _kind(k), "a map's keys"), _merged(item, _kind(v), "a map's values")
-        return ("map", key, item)
-    if isinstance(value, (list, tuple)):
-        item = None
-        for v in value:
-            item = _merged(item, _kind(v), "an array")
-        return ("array", item)
-    if type(value) in _ATOMS:
-        return _ATOMS[type(value)]
-    raise TypeError(f"no column type for {type(value).__name__}; give a schema or use snapshot_rdd")
-
-
-def _merged(a, b, where: str):
-    """The type that holds both; different types are an error."""
-    if a is None or b is None or a == b:
-        return b if a is None else a
-    if isinstance(a, tuple) and isinstance(b, tuple) and a[0] == b[0]:
-        if a[0] == "struct":
-            return ("struct", _merged_fields(a[1], b[1], where))
-        return (a[0], *(_merged(x, y, where) for x, y in zip(a[1:], b[1:])))
-    raise TypeError(f"values of different types in {where}: {_ddl(a)} and {_ddl(b)}; give a schema")
-
-
-def _merged_fields(a: dict, b: dict, where: str) -> dict:
-    return {n: _merged(a.get(n), b.get(n), f"{where}.{n}") for n in [*a, *(n for n in b if n not in a)]}
-
-
-def _ddl(kind) -> str:
-    if kind is None:
-        return "void"
-    if isinstance(kind, str):
-        return kind
-    if kind[0] == "struct":
-        return "struct<" + ", ".join(f"`{n}`: {_ddl(k)}" for n, k in kind[1].items()) + ">"
-    return f"{kind[0]}<{', '.join(_ddl(k) for k in kind[1:])}>"
-
-
-def _record(row) -> dict:
-    """The fields of one record: a row, dict or tuple; anything else is a single value."""
-    if isinstance(row, Row) and hasattr(row, "__fields__"):
-        return {n: _kind(v) for n, v in zip(row.__fields__, row)}
-    if isinstance(row, dict):
-        return {n: _kind(v) for n, v in row.items()}
-    if isinstance(row, (tuple, list)):
-        return {f"_{i + 1}": _kind(v) for i, v in enumerate(row)}
-    raise TypeError(f"not a record: {type(row).__name__}; wrap it in a tuple or use snapshot_rdd")
-
-
-def infer_schema(rdd: RDD) -> T.StructType:
-    """The schema of all records of an RDD, merged task by task; only types reach the driver."""
-    def of_part(rows):
-        fields: dict = {}
-        for r in rows:
-            fields = _merged_fields(fields, _record(r), "the records")
-        yield fields
-
-    fields = rdd.mapPartitions(of_part).treeReduce(lambda a, b: _merged_fields(a, b, "the records"))
-    if not fields:
-        raise ValueError("an empty RDD has no schema; give one")
-    unknown = [n for n, k in fields.items() if "void" in _ddl(k)]
-    if unknown:
-        raise TypeError(f"no value tells the type of {unknown}; give a schema")
-    return T._parse_datatype_string(", ".join(f"`{n}` {_ddl(k)}" for n, k in fields.items()))
-
-
 def same_fields(names: list[str]):
     """A check of one record against a schema's names: it may lack fields, but has no others."""
     known = set(names)

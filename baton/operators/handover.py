@@ -16,7 +16,8 @@ from pyspark import RDD, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from baton.functions.objects import infer_schema, pickle_line, same_fields, unpickle_line
+from baton.functions.objects import pickle_line, same_fields, unpickle_line
+from baton.functions.records import STAGED, decoder, encode_records, merged_fields, spark_type
 from baton.operators.rowcodec import _as_struct
 from baton.session import delete_path, new_snapshot_path
 from baton.sinks.snapshot import PARQUET, PICKLE, write_manifest, write_snapshot
@@ -95,19 +96,33 @@ def rdd_to_frame(rdd: RDD, schema: T.StructType | str | None = None, temp_dir: s
     """Hand an RDD of rows, tuples or dicts over as a snapshotted frame of ``schema``.
 
     The write blocks; the read back is lazy.  Without ``schema`` it is inferred
-    from *all* rows, in one pass over the RDD: every key of any dict is a
-    column (NULL where a row has none), and values of different types in one
-    column are an error.  With ``schema``, a row with a field that the schema
+    from *all* rows: every key of any dict is a column (NULL where a row has
+    none), and values of different types in one column are an error.  The RDD
+    is read once for that: its tasks write their records as Arrow batches with
+    the types these need, and the staged batches are decoded once the types of
+    all of them are merged.  With ``schema``, a row with a field that the schema
     lacks is an error.
     """
     session = _session(spark)
     if schema is None:
-        schema = infer_schema(rdd)
+        return _records_to_frame(rdd, temp_dir, codec, session)
     st = _as_struct(schema)
     checked = rdd.map(same_fields(st.names))
     return snapshot(session.createDataFrame(checked, st), temp_dir, codec)
 
 
+def _records_to_frame(rdd: RDD, temp_dir: str | None, codec: str, session: SparkSession) -> DataFrame:
+    stage = new_snapshot_path(session, temp_dir)
+    try:
+        session.createDataFrame(rdd.mapPartitionsWithIndex(encode_records), STAGED, verifySchema=False).write.parquet(stage)
+        staged = session.read.schema(STAGED).parquet(stage)
+        fields = merged_fields(staged)
+        schema = T.StructType([T.StructField(n, spark_type(k)) for n, k in fields.items()])
+        return snapshot(staged.select("n", "batch").mapInArrow(decoder(fields), schema), temp_dir, codec)
+    finally:
+        delete_path(session, stage)
+
+
 def snapshot_rdd(rdd: RDD, temp_dir: str | None = None, spark: SparkSession | None = None) -> RDD:
     """Hand over an RDD of arbitrary Python objects with the ``pickle`` codec.
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -200,6 +200,24 @@ def rdd_dict_handover(spark, sf_dir):
     return out.select("l_orderkey", F.col("l_linenumber").cast(li.schema["l_linenumber"].dataType).alias("l_linenumber"), "quantity")
 
 
+@register("rdd_nested_handover", """
+    SELECT o_orderkey, CASE WHEN o_orderkey % 3 > 0 THEN o_orderstatus END AS status, CASE WHEN o_orderkey % 3 > 1 THEN o_totalprice END AS total,
+           CAST(o_orderkey % 3 AS BIGINT) AS n_tags, CASE WHEN o_orderkey % 3 > 0 THEN o_orderdate END AS first_date FROM orders""")
+def rdd_nested_handover(spark, sf_dir):
+    # rows, lists and maps inside of dicts; some records lack fields, at the top and below, so that
+    # no task sees the whole type of every one
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+
+    def record(r):
+        n = r[0] % 3
+        info = Row(status=r[1], total=r[2]) if n > 1 else Row(status=r[1]) if n else None
+        return {"key": r[0], "tags": [{"date": r[3]}] * n} | ({"info": info} if n else {})
+
+    out = rdd_to_frame(orders.rdd.map(record), spark=spark)
+    return out.select(F.col("key").alias("o_orderkey"), "info.status", "info.total", F.size("tags").cast("bigint").alias("n_tags"),
+                      F.get("tags", F.lit(0))["date"].cast(orders.schema["o_orderdate"].dataType).alias("first_date"))
+
+
 @register("rdd_pickle_reopen", "SELECT p_partkey, p_name FROM part")
 def rdd_pickle_reopen(spark, sf_dir):
     objs = table(spark, sf_dir, "part").select("p_partkey", "p_name").rdd.map(lambda r: {"key": r[0], "name": r[1]})
