@@ -25,6 +25,7 @@ from baton.operators import (
     snapshot,
     snapshot_all,
     snapshot_async,
+    snapshot_diff,
     snapshot_path,
     snapshot_rdd,
 )
@@ -60,6 +61,7 @@ __all__ = [
     "snapshot",
     "snapshot_all",
     "snapshot_async",
+    "snapshot_diff",
     "snapshot_path",
     "snapshot_rdd",
     "write_snapshot",

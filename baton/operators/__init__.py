@@ -12,6 +12,7 @@ from baton.operators.handover import (
     snapshot_rdd,
 )
 from baton.operators.rowcodec import decode_rows, encode_rows
+from baton.operators.snapshot_diff import snapshot_diff
 
 __all__ = [
     "LEFT_ONLY",
@@ -26,6 +27,7 @@ __all__ = [
     "snapshot",
     "snapshot_all",
     "snapshot_async",
+    "snapshot_diff",
     "snapshot_path",
     "snapshot_rdd",
 ]

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from baton.functions.row_forms import form, hashed_whole, marked, plain, renamed, shown
 from baton.operators.rowcodec import quote
 from baton.sinks.snapshot import PARQUET, write_snapshot
 from baton.sources.snapshot import read_snapshot
@@ -20,90 +20,10 @@ _ROW = "__baton_row"
 BROADCAST_DIGESTS = 200_000
 
 
-def _needs_form(dt: T.DataType) -> bool:
-    """Whether ``dt`` holds a type Spark cannot group on as it is (map, variant), or whose
-    grouping calls different values equal (float: 0.0 and -0.0)."""
-    if isinstance(dt, (T.MapType, T.VariantType, T.FloatType, T.DoubleType)):
-        return True
-    if isinstance(dt, T.ArrayType):
-        return _needs_form(dt.elementType)
-    if isinstance(dt, T.StructType):
-        return any(_needs_form(f.dataType) for f in dt.fields)
-    return False
-
-
-def _form(c: Column, dt: T.DataType) -> Column:
-    """A value that is equal exactly for equal ``c``: floats tell zeros apart, maps are entries
-    sorted by key, variants are their JSON text with the type of every leaf."""
-    if not _needs_form(dt):
-        return c
-    if isinstance(dt, (T.FloatType, T.DoubleType)):
-        return F.struct(c.alias("value"), F.coalesce((c == 0) & (c.cast("string") == "-0.0"), F.lit(False)).alias("minus_zero"))
-    if isinstance(dt, T.VariantType):
-        return F.struct(F.to_json(c).alias("json"), F.schema_of_variant(c).alias("type"))
-    if isinstance(dt, T.MapType):
-        entries = F.transform(F.map_entries(c), lambda e: F.struct(
-            _form(e["key"], dt.keyType).alias("key"), _form(e["value"], dt.valueType).alias("value")))
-        return F.array_sort(entries)
-    if isinstance(dt, T.ArrayType):
-        return F.transform(c, lambda x: _form(x, dt.elementType))
-    fields = [_form(c[f.name], f.dataType).alias(f"f{i}") for i, f in enumerate(dt.fields)]
-    return F.when(c.isNull(), F.lit(None)).otherwise(F.struct(*fields))
-
-
-def _shown(c: Column, dt: T.DataType) -> Column:
-    """The value of a form: maps stay sorted entries, variants their JSON text."""
-    if not _needs_form(dt):
-        return c
-    if isinstance(dt, (T.FloatType, T.DoubleType)):
-        return F.when(c["minus_zero"], F.lit("-0.0").cast(dt)).otherwise(c["value"])
-    if isinstance(dt, T.VariantType):
-        return c["json"]
-    if isinstance(dt, T.MapType):
-        return F.transform(c, lambda e: F.struct(_shown(e["key"], dt.keyType).alias("key"), _shown(e["value"], dt.valueType).alias("value")))
-    if isinstance(dt, T.ArrayType):
-        return F.transform(c, lambda x: _shown(x, dt.elementType))
-    fields = [_shown(c[f"f{i}"], f.dataType).alias(f.name) for i, f in enumerate(dt.fields)]
-    return F.when(c.isNull(), F.lit(None)).otherwise(F.struct(*fields))
-
-
-def _plain(dt: T.DataType) -> str:
-    """The type's name without nullability."""
-    return dt.simpleString()
-
-
-def _renamed(dt: T.DataType) -> T.DataType:
-    """The type with struct fields named by position, so that each can be picked by its name."""
-    if isinstance(dt, T.StructType):
-        return T.StructType([T.StructField(f"f{i}", _renamed(f.dataType)) for i, f in enumerate(dt.fields)])
-    if isinstance(dt, T.ArrayType):
-        return T.ArrayType(_renamed(dt.elementType))
-    return dt
-
-
-def _hashed_whole(dt: T.DataType) -> bool:
-    """Whether ``_marked`` reaches every level of a form's type: not inside user-defined types."""
-    if isinstance(dt, T.ArrayType):
-        return _hashed_whole(dt.elementType)
-    if isinstance(dt, T.StructType):
-        return all(_hashed_whole(f.dataType) for f in dt.fields)
-    return not isinstance(dt, (T.UserDefinedType, T.MapType))
-
-
-def _marked(c: Column, dt: T.DataType) -> Column:
-    """A form with a null flag or an array's size before each value, at every level: Spark's
-    hashes skip nulls and run array elements together, so the bare values are ambiguous."""
-    if isinstance(dt, T.ArrayType):
-        return F.struct(F.when(c.isNull(), F.lit(-1)).otherwise(F.size(c)), F.transform(c, lambda x: _marked(x, dt.elementType)))
-    if isinstance(dt, T.StructType):
-        return F.struct(c.isNull(), *[_marked(c[f.name], f.dataType) for f in dt.fields])
-    return F.struct(c.isNull(), c)
-
-
 def _digested(df: DataFrame, names: list[str]) -> DataFrame:
     """``df`` with four independent 64-bit hashes of the whole row."""
-    types = [_renamed(df.schema[n].dataType) for n in names]
-    row = F.struct(*[_marked(quote(n).cast(dt), dt) for n, dt in zip(names, types)])
+    types = [renamed(df.schema[n].dataType) for n in names]
+    row = F.struct(*[marked(quote(n).cast(dt), dt) for n, dt in zip(names, types)])
     hashes = [F.xxhash64(F.lit(i), F.col(_ROW), F.lit(i)).alias(f"h{i}") for i in range(4)]
     return df.withColumn(_ROW, row).withColumn(_DIGEST, F.struct(*hashes)).drop(_ROW)
 
@@ -139,8 +59,8 @@ def frame_diff(left: DataFrame, right: DataFrame, expand: bool = False, chunk_ro
         raise ValueError("frame_diff: duplicate column names")
     if sorted(names) != sorted(right.columns):
         raise ValueError(f"frame_diff: columns differ: {names} vs {right.columns}")
-    different = [f"{n}: {_plain(left.schema[n].dataType)} vs {_plain(right.schema[n].dataType)}" for n in names
-                 if _plain(left.schema[n].dataType) != _plain(right.schema[n].dataType)]
+    different = [f"{n}: {plain(left.schema[n].dataType)} vs {plain(right.schema[n].dataType)}" for n in names
+                 if plain(left.schema[n].dataType) != plain(right.schema[n].dataType)]
     if different and not widen:
         raise TypeError(f"frame_diff: types differ ({'; '.join(different)}); conform one side or pass widen=True")
     if different:
@@ -150,10 +70,10 @@ def frame_diff(left: DataFrame, right: DataFrame, expand: bool = False, chunk_ro
     inner = [f"c{i}" for i in range(len(names))]
 
     def side(df: DataFrame, sign: int) -> DataFrame:
-        return df.select(*[_form(quote(n), types[n]).alias(c) for n, c in zip(names, inner)], F.lit(sign).alias(_SIGN))
+        return df.select(*[form(quote(n), types[n]).alias(c) for n, c in zip(names, inner)], F.lit(sign).alias(_SIGN))
 
     both = side(left, 1).unionByName(side(right, -1))
-    if not exact and all(_hashed_whole(both.schema[c].dataType) for c in inner):
+    if not exact and all(hashed_whole(both.schema[c].dataType) for c in inner):
         unequal = (_digested(both, inner).groupBy(_DIGEST).agg(F.sum(_SIGN).alias(_N))
                    .where(F.col(_N) != 0).select(_DIGEST))
         path = write_snapshot(unequal, codec=PARQUET)
@@ -173,15 +93,15 @@ def frame_diff(left: DataFrame, right: DataFrame, expand: bool = False, chunk_ro
                .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), take))))
     added = ["side"] if expand else ["side", "n"]
     taken = set(names) | set(added)
-    shown = []
+    labels = []
     for n in names:
         label = n
         if n in added:
             while label in taken:
                 label = "left_" + label
             taken.add(label)
-        shown.append(label)
-    out = [_shown(F.col(c), types[n]).alias(label) for c, n, label in zip(inner, names, shown)]
+        labels.append(label)
+    out = [shown(F.col(c), types[n]).alias(label) for c, n, label in zip(inner, names, labels)]
     out.append(F.when(F.col(_N) > 0, F.lit(LEFT_ONLY)).otherwise(F.lit(RIGHT_ONLY)).alias("side"))
     return net.select(*out, *([] if expand else [F.abs(F.col(_N)).alias("n")]))
 

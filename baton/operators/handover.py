@@ -30,9 +30,10 @@ _pool_lock = threading.Lock()
 
 def snapshot(df: DataFrame, temp_dir: str | None = None, codec: str = PARQUET,
              partitions: int | None = None, max_records_per_file: int | None = None,
-             compression: str | None = None) -> DataFrame:
-    """Write ``df`` as a snapshot and return a frame over the stored rows."""
-    path = write_snapshot(df, temp_dir, codec, partitions, max_records_per_file, compression)
+             compression: str | None = None, **layout) -> DataFrame:
+    """Write ``df`` as a snapshot and return a frame over the stored rows; ``layout`` as for
+    :func:`write_snapshot`."""
+    path = write_snapshot(df, temp_dir, codec, partitions, max_records_per_file, compression, **layout)
     out = read_snapshot(df.sparkSession, path, df.schema, codec)
     out._baton_path = path
     return out

@@ -24,6 +24,7 @@ from baton.operators import (
     rdd_to_frame,
     snapshot,
     snapshot_all,
+    snapshot_diff,
     snapshot_path,
     snapshot_rdd,
 )
@@ -462,6 +463,32 @@ def handover_diff_nested(spark, sf_dir):
     return out.select(F.col("d")[0][0].alias("o_orderkey"), "side", "n")
 
 
+@register("handover_tree_diff", """
+    SELECT *, CAST(1 AS BIGINT) AS n FROM (
+      SELECT o_orderkey, o_totalprice, 'left_only' AS side FROM orders WHERE strftime(o_orderdate, '%Y-%m') = '1995-03'
+      UNION ALL
+      SELECT o_orderkey, o_totalprice + 1, 'right_only' FROM orders WHERE strftime(o_orderdate, '%Y-%m') = '1995-03' AND o_orderstatus <> 'F')""")
+def handover_tree_diff(spark, sf_dir):
+    # two snapshots in buckets by month, of which one month was changed and partly lost: found
+    # from their digest trees, and only that bucket is read on both sides
+    orders = table(spark, sf_dir, "orders")
+    month = F.date_format("o_orderdate", "yyyy-MM") == "1995-03"
+    by = ["date_format(o_orderdate, 'yyyy-MM')"]
+    first = write_snapshot(orders, digest_by=by)
+    changed = orders.where(~month | (F.col("o_orderstatus") != "F")).withColumn(
+        "o_totalprice", F.when(month, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    return snapshot_diff(spark, first, write_snapshot(changed, digest_by=by)).select("o_orderkey", "o_totalprice", "side", "n")
+
+
+@register("handover_tree_verify", """
+    SELECT l_orderkey, l_linenumber, l_quantity, 'left_only' AS side, CAST(1 AS BIGINT) AS n FROM lineitem WHERE l_orderkey % 997 = 5""")
+def handover_tree_verify(spark, sf_dir):
+    # a live table against its snapshot, from which some orders are missing
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    path = write_snapshot(li.where("l_orderkey % 997 <> 5"), digest_by=["l_orderkey"], buckets=128)
+    return snapshot_diff(spark, li, path)
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from baton.operators.rowcodec import check_codec, encode_rows
 from baton.session import delete_path, new_snapshot_path, path_exists, write_small_file
@@ -18,7 +19,8 @@ MANIFEST_VERSION = 3  # 2: json lines keyed by column position; 3: NULL fields a
 def write_snapshot(df: DataFrame, temp_dir: str | None = None, codec: str = PARQUET,
                    partitions: int | None = None,
                    max_records_per_file: int | None = None,
-                   compression: str | None = None) -> str:
+                   compression: str | None = None, digest_by: list[str] | None = None,
+                   buckets: int = 256) -> str:
     """Materialise ``df`` under ``temp_dir`` (default: the session's
     ``spark.checkpoint.dir``) and return the new path.
 
@@ -31,14 +33,29 @@ def write_snapshot(df: DataFrame, temp_dir: str | None = None, codec: str = PARQ
     file, so bound the files too).  Output goes through Spark's commit
     protocol, so a lost executor only re-runs its tasks and a failed job
     leaves no ``_SUCCESS`` and no manifest.
+
+    ``digest_by``, a list of SQL expressions over the columns (an empty one is
+    the whole row), puts the rows into ``buckets`` folders by a hash of their
+    values and stores a tree of digests of these, for
+    :func:`baton.snapshot_diff`.  This shuffles the rows once, with files of
+    AQE's advisory size and hot buckets split, and reads them back once.
     """
+    from baton.operators import digest_tree
+
     spark = df.sparkSession
     if codec != PARQUET:
         check_codec(codec)
-    path = new_snapshot_path(spark, temp_dir)
     src = df if partitions is None else df.repartition(partitions)
+    if digest_by is not None:
+        if codec != PARQUET or partitions is not None:
+            raise ValueError("digest_by goes with the parquet codec and its own partitions")
+        digest_tree.check_tree(df, digest_by, buckets)
+        src = src.withColumn(digest_tree.BUCKET, digest_tree.bucket_column(src, digest_by, buckets)).hint("rebalance", F.col(digest_tree.BUCKET))
+    path = new_snapshot_path(spark, temp_dir)
     out = src if codec == PARQUET else encode_rows(src, codec)
     writer = out.write.mode("errorifexists")
+    if digest_by is not None:
+        writer = writer.partitionBy(digest_tree.BUCKET)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", int(max_records_per_file))
     if compression:
@@ -48,17 +65,23 @@ def write_snapshot(df: DataFrame, temp_dir: str | None = None, codec: str = PARQ
             writer.parquet(path)
         else:
             writer.text(path)
-        write_manifest(spark, path, codec, df.schema.json())
+        tree = None
+        if digest_by is not None:
+            from baton.sources.snapshot import read_snapshot
+
+            tree = digest_tree.build_tree(spark, path, read_snapshot(spark, path, df.schema, keep_bucket=True), digest_by, buckets)
+        write_manifest(spark, path, codec, df.schema.json(), tree)
     except BaseException:
         delete_path(spark, path)  # this call's own new folder
         raise
     return path
 
 
-def write_manifest(spark, path: str, codec: str, schema_json: str | None) -> None:
-    """Record codec and schema (None for objects) next to the data, after the data committed."""
+def write_manifest(spark, path: str, codec: str, schema_json: str | None, tree: dict | None = None) -> None:
+    """Record codec and schema (None for objects), and the digest tree if there is one, next to
+    the data, after the data committed."""
     doc = json.dumps({"version": MANIFEST_VERSION, "codec": codec, "keys": "position",
-                      "schema": schema_json and json.loads(schema_json)})
+                      "schema": schema_json and json.loads(schema_json)} | ({} if tree is None else {"tree": tree}))
     write_small_file(spark, path.rstrip("/") + "/" + MANIFEST, doc)
 
 

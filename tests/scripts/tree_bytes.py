@@ -1,0 +1,64 @@
+"""Run in its own process: bytes that the comparison of two snapshots reads, from the event log,
+against the bytes that they hold.  One month of the orders, about a hundredth, was changed."""
+
+import glob
+import json
+import os
+import sys
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
+from pyspark.sql import SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from baton import frame_diff, open_snapshot, snapshot_diff, write_snapshot  # noqa: E402
+
+
+def session(work, events=None):
+    builder = SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "8")
+    # reads of many ranges at once are not counted on a local file system
+    builder = builder.config("spark.hadoop.parquet.hadoop.vectored.io.enabled", "false")
+    if events:
+        os.makedirs(events)
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.compress", "false").config("spark.eventLog.dir", events)
+    spark = builder.getOrCreate()
+    spark.sparkContext.setLogLevel("OFF")
+    spark.sparkContext.setCheckpointDir(f"{work}/ckpt")
+    return spark
+
+
+def main(sf_dir, work):
+    spark = session(work)
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    month = F.date_format("o_orderdate", "yyyy-MM") == "1996-05"
+    changed = orders.withColumn("o_totalprice", F.when(month, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    by = ["date_format(o_orderdate, 'yyyy-MM')"]
+    paths = [write_snapshot(df, digest_by=by) for df in (orders, changed)]
+    share = orders.where(month).count() / orders.count()
+    held = sum(os.path.getsize(f) for p in paths for f in glob.glob(p.removeprefix("file:") + "/baton_bucket=*/*.parquet"))
+    spark.stop()
+    out = {"share": share, "held": held}
+    for name in ("tree", "exact", "none"):
+        events = f"{work}/events-{name}"
+        spark = session(work, events)
+        if name == "tree":
+            rows = snapshot_diff(spark, *paths).collect()
+        elif name == "none":
+            assert snapshot_diff(spark, paths[0], paths[0]).count() == 0
+        else:
+            full = frame_diff(open_snapshot(spark, paths[0]), open_snapshot(spark, paths[1]), exact=True).collect()
+        spark.stop()
+        read = 0
+        for path in glob.glob(f"{events}/**/events_*", recursive=True):
+            with open(path) as fh:
+                for line in fh:
+                    e = json.loads(line)
+                    if e.get("Event") == "SparkListenerTaskEnd":
+                        read += ((e.get("Task Metrics") or {}).get("Input Metrics") or {}).get("Bytes Read", 0)
+        out[name] = read
+    out["equal"] = sorted(map(repr, rows)) == sorted(map(repr, full)) and len(full) > 100
+    print(json.dumps(out))
+
+
+if __name__ == "__main__":
+    main(sys.argv[1], sys.argv[2])
