@@ -134,6 +134,15 @@ def snapshot_bounded_files(spark, sf_dir):
                     max_records_per_file=25_000, compression="gzip")
 
 
+@register("snapshot_sharded", """
+    SELECT l_orderkey, l_linenumber, l_returnflag, CASE WHEN l_linenumber <= 3 THEN 'hot' ELSE l_returnflag END AS mode FROM lineitem""")
+def snapshot_sharded(spark, sf_dir):
+    # files of about 256 kB, clustered by a column of which one value holds most rows
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_returnflag", F.when(F.col("l_linenumber") <= 3, "hot").otherwise(F.col("l_returnflag")).alias("mode"))
+    return snapshot(li, target_file_bytes=256 << 10, cluster_by=["mode", "l_orderkey"])
+
+
 @register("snapshot_json_subset", "SELECT l_quantity, l_orderkey, l_shipdate FROM lineitem")
 def snapshot_json_subset(spark, sf_dir):
     # three of eleven columns, in another order: only those are decoded

@@ -7,7 +7,7 @@ import json
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from baton.operators.rowcodec import check_codec, encode_rows
+from baton.operators.rowcodec import check_codec, encode_rows, quote
 from baton.session import delete_path, new_snapshot_path, path_exists, write_small_file
 
 PARQUET = "parquet"
@@ -20,7 +20,8 @@ def write_snapshot(df: DataFrame, temp_dir: str | None = None, codec: str = PARQ
                    partitions: int | None = None,
                    max_records_per_file: int | None = None,
                    compression: str | None = None, digest_by: list[str] | None = None,
-                   buckets: int = 256) -> str:
+                   buckets: int = 256, target_file_bytes: int | None = None,
+                   cluster_by: list[str] | None = None) -> str:
     """Materialise ``df`` under ``temp_dir`` (default: the session's
     ``spark.checkpoint.dir``) and return the new path.
 
@@ -39,8 +40,13 @@ def write_snapshot(df: DataFrame, temp_dir: str | None = None, codec: str = PARQ
     values and stores a tree of digests of these, for
     :func:`baton.snapshot_diff`.  This shuffles the rows once, with files of
     AQE's advisory size and hot buckets split, and reads them back once.
+
+    ``target_file_bytes`` gives files of about that size, and ``cluster_by``
+    makes each of them a range of these columns (see :mod:`baton.sinks.shards`):
+    the rows are written twice and shuffled once for it.
     """
     from baton.operators import digest_tree
+    from baton.sinks import shards
 
     spark = df.sparkSession
     if codec != PARQUET:
@@ -51,20 +57,41 @@ def write_snapshot(df: DataFrame, temp_dir: str | None = None, codec: str = PARQ
             raise ValueError("digest_by goes with the parquet codec and its own partitions")
         digest_tree.check_tree(df, digest_by, buckets)
         src = src.withColumn(digest_tree.BUCKET, digest_tree.bucket_column(src, digest_by, buckets)).hint("rebalance", F.col(digest_tree.BUCKET))
-    path = new_snapshot_path(spark, temp_dir)
+    if cluster_by and target_file_bytes is None:
+        raise ValueError("cluster_by needs target_file_bytes")
+    if target_file_bytes is not None:
+        if target_file_bytes < 1 or digest_by is not None or partitions is not None or max_records_per_file:
+            raise ValueError("target_file_bytes must be positive, and is another layout than partitions, max_records_per_file and digest_by")
+        if cluster_by and codec != PARQUET:
+            raise ValueError("cluster_by goes with the parquet codec")
+        df.select(*[quote(c) for c in cluster_by or []])  # raises for a name that is none
     out = src if codec == PARQUET else encode_rows(src, codec)
-    writer = out.write.mode("errorifexists")
-    if digest_by is not None:
-        writer = writer.partitionBy(digest_tree.BUCKET)
-    if max_records_per_file:
-        writer = writer.option("maxRecordsPerFile", int(max_records_per_file))
-    if compression:
-        writer = writer.option("compression", compression)
-    try:
+
+    def write(frame: DataFrame, where: str) -> None:
+        writer = frame.write.mode("errorifexists")
+        if digest_by is not None:
+            writer = writer.partitionBy(digest_tree.BUCKET)
+        if max_records_per_file:
+            writer = writer.option("maxRecordsPerFile", int(max_records_per_file))
+        if compression:
+            writer = writer.option("compression", compression)
         if codec == PARQUET:
-            writer.parquet(path)
+            writer.parquet(where)
+        else:
+            writer.text(where)
+
+    path = new_snapshot_path(spark, temp_dir)
+    try:
+        if target_file_bytes is None:
+            write(out, path)
         else:
-            writer.text(path)
+            stage = new_snapshot_path(spark, temp_dir)
+            try:
+                write(out, stage)
+                staged = spark.read.schema(out.schema).parquet(stage) if codec == PARQUET else spark.read.text(stage)
+                shards.write_sharded(staged, stage, write, path, target_file_bytes, cluster_by or [])
+            finally:
+                delete_path(spark, stage)
         tree = None
         if digest_by is not None:
             from baton.sources.snapshot import read_snapshot
