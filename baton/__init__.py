@@ -29,7 +29,7 @@ from baton.operators import (
     snapshot_path,
     snapshot_rdd,
 )
-from baton.sinks import release_snapshot, save_text, write_snapshot
+from baton.sinks import hold_application, lease_snapshot, release_snapshot, save_text, sweep_snapshots, write_snapshot
 from baton.sources import (
     file_sizes,
     list_files,
@@ -46,6 +46,8 @@ __all__ = [
     "encode_rows",
     "file_sizes",
     "frame_diff",
+    "hold_application",
+    "lease_snapshot",
     "list_files",
     "open_snapshot",
     "open_table",
@@ -64,5 +66,6 @@ __all__ = [
     "snapshot_diff",
     "snapshot_path",
     "snapshot_rdd",
+    "sweep_snapshots",
     "write_snapshot",
 ]

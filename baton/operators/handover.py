@@ -10,7 +10,10 @@ the write, the frame depends on storage alone.
 from __future__ import annotations
 
 import threading
-from concurrent.futures import Future, ThreadPoolExecutor
+import time
+import uuid
+from collections.abc import Callable
+from concurrent.futures import FIRST_EXCEPTION, CancelledError, Future, ThreadPoolExecutor, wait
 
 from pyspark import RDD, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -57,30 +60,104 @@ def _default_pool() -> ThreadPoolExecutor:
         return _pool
 
 
+class SnapshotFuture(Future):
+    """The result of :func:`snapshot_async`; :meth:`cancel` also ends a write that runs."""
+
+    def __init__(self, spark: SparkSession):
+        super().__init__()
+        self._spark, self._asked = spark, threading.Event()
+        self._tag = f"baton-snapshot-{uuid.uuid4().hex}"
+
+    def cancel(self, timeout: float = 60.0) -> bool:
+        """Cancel the write, running or not: its jobs end and its folder is removed before this
+        returns True.  False if it is done already, or does not end within ``timeout`` seconds."""
+        if super().cancel():
+            return True
+        self._asked.set()
+        until = time.monotonic() + timeout
+        while not self.done() and time.monotonic() < until:
+            self._spark.sparkContext.cancelJobsWithTag(self._tag)  # again: a write may be between its jobs
+            wait([self], 0.1)
+        return self.cancelled()
+
+    def cancelled(self) -> bool:
+        return super().cancelled() or (self.done() and isinstance(super().exception(), CancelledError))
+
+    def _run(self, write: Callable[[], DataFrame]) -> None:
+        if not self.set_running_or_notify_cancel():
+            return
+        context = self._spark.sparkContext
+        context.addJobTag(self._tag)
+        context.setInterruptOnCancel(True)
+        try:
+            out = write()
+            if self._asked.is_set():  # asked for between the last job and here
+                delete_path(self._spark, out._baton_path)
+                raise CancelledError
+            self.set_result(out)
+        except BaseException as e:
+            if self._asked.is_set() and not isinstance(e, CancelledError):
+                self._wait_for_tasks()
+                e = CancelledError(f"cancelled: {e}")
+            self.set_exception(e)
+        finally:
+            context.removeJobTag(self._tag)
+            context.setInterruptOnCancel(False)
+
+    def _wait_for_tasks(self, timeout: float = 30.0) -> None:
+        """Until no task of the cancelled jobs runs: one that does could still write."""
+        tracker, until = self._spark.sparkContext.statusTracker(), time.monotonic() + timeout
+        while time.monotonic() < until:
+            jobs = [tracker.getJobInfo(j) for j in self._jobs()]
+            stages = [tracker.getStageInfo(s) for j in jobs if j is not None for s in j.stageIds]
+            if not any(s is not None and s.numActiveTasks for s in stages):
+                return
+            time.sleep(0.05)
+
+    def _jobs(self) -> list[int]:
+        return list(self._spark.sparkContext._jsc.sc().statusTracker().getJobIdsForTag(self._tag))
+
+
 def snapshot_async(df: DataFrame, temp_dir: str | None = None, codec: str = PARQUET,
                    executor: ThreadPoolExecutor | None = None, pool: str | None = None,
-                   **kwargs) -> Future:
+                   **kwargs) -> SnapshotFuture:
     """:func:`snapshot` from a driver thread; returns a ``Future[DataFrame]``.
 
     Several calls run their write jobs concurrently on the same cluster;
     the thread inherits the caller's job group and scheduler pool, or runs
     in the scheduler ``pool`` given (with ``spark.scheduler.mode=FAIR``,
     concurrent writes then share executors evenly).  A failed write
-    surfaces as the future's exception.
+    surfaces as the future's exception.  Cancelling the future ends its jobs,
+    which carry a tag of their own, and removes what was written; other
+    writes are not touched.
     """
+    future = SnapshotFuture(df.sparkSession)
+
     def run():
-        if pool is not None:
-            df.sparkSession.sparkContext.setLocalProperty("spark.scheduler.pool", pool)
-        return snapshot(df, temp_dir, codec, **kwargs)
+        def write():
+            if pool is not None:
+                df.sparkSession.sparkContext.setLocalProperty("spark.scheduler.pool", pool)
+            return snapshot(df, temp_dir, codec, **kwargs)
+
+        future._run(write)
 
-    return (executor or _default_pool()).submit(inheritable_thread_target(df.sparkSession)(run))
+    (executor or _default_pool()).submit(inheritable_thread_target(df.sparkSession)(run))
+    return future
 
 
 def snapshot_all(frames, temp_dir: str | None = None, codec: str = PARQUET,
                  executor: ThreadPoolExecutor | None = None, pool: str | None = None,
-                 **kwargs) -> list[DataFrame]:
-    """Snapshot several frames at once; waits for all, raises the first failure."""
+                 cancel_rest: bool = False, **kwargs) -> list[DataFrame]:
+    """Snapshot several frames at once; waits for all, raises the first failure.  With
+    ``cancel_rest`` a failure cancels the writes that are not done yet."""
     futures = [snapshot_async(df, temp_dir, codec, executor, pool, **kwargs) for df in frames]
+    if cancel_rest:
+        done, rest = wait(futures, return_when=FIRST_EXCEPTION)
+        failed = next((f for f in done if f.exception() is not None), None)
+        if failed is not None:
+            for f in rest:
+                f.cancel()
+            raise failed.exception()
     errors = [f.exception() for f in futures]
     for err in errors:
         if err is not None:

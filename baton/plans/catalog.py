@@ -24,12 +24,13 @@ from baton.operators import (
     rdd_to_frame,
     snapshot,
     snapshot_all,
+    snapshot_async,
     snapshot_diff,
     snapshot_path,
     snapshot_rdd,
 )
-from baton.session import new_snapshot_path
-from baton.sinks import save_text, write_snapshot
+from baton.session import list_folder, new_snapshot_path
+from baton.sinks import lease_snapshot, release_snapshot, save_text, sweep_snapshots, write_snapshot
 from baton.sources import file_sizes, list_files, open_snapshot, open_table, open_text, open_typed, read_files
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -184,6 +185,33 @@ def snapshot_async_pair(spark, sf_dir):
     return a.unionByName(b)
 
 
+@register("snapshot_async_cancelled", "SELECT c_custkey, c_acctbal, CAST(0 AS BIGINT) AS left_behind FROM customer")
+def snapshot_async_cancelled(spark, sf_dir):
+    # two writes at once, of which one is cancelled: it leaves nothing, the other is whole
+    root = new_snapshot_path(spark)
+    doomed = snapshot_async(table(spark, sf_dir, "lineitem").repartition(4), root, codec="json")
+    kept = snapshot_async(table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal"))
+    if not doomed.cancel():  # it was done already
+        release_snapshot(spark, snapshot_path(doomed.result()))
+    return kept.result().withColumn("left_behind", F.lit(len(list_folder(spark, root))).cast("bigint"))
+
+
+# --- K1: lifecycle ---------------------------------------------------------------
+
+@register("snapshot_sweep", """
+    SELECT n_nationkey, n_name, 'held' AS outcome, CAST(2 AS BIGINT) AS swept FROM nation""")
+def snapshot_sweep(spark, sf_dir):
+    # of three snapshots a sweep removes the two that nobody holds
+    root = new_snapshot_path(spark)
+    nation = table(spark, sf_dir, "nation")
+    paths = [write_snapshot(nation.select("n_nationkey", "n_name"), root) for _ in range(3)]
+    with lease_snapshot(spark, paths[1], 600):
+        rows = sweep_snapshots(spark, root, older_than=0).collect()
+    outcome = {r.path: r.outcome for r in rows}
+    return open_snapshot(spark, paths[1]).select("n_nationkey", "n_name", F.lit(outcome[paths[1]]).alias("outcome"),
+                                                 F.lit(sum(o == "removed" for o in outcome.values())).cast("bigint").alias("swept"))
+
+
 # --- T3: RDD handovers -----------------------------------------------------------
 
 @register("rdd_handover", "SELECT * FROM nation")

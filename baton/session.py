@@ -7,7 +7,9 @@ read, so the default root is the shared folder the cluster names in
 
 from __future__ import annotations
 
+import hashlib
 import uuid
+from typing import NamedTuple
 
 from pyspark.sql import SparkSession
 
@@ -25,9 +27,14 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def new_snapshot_path(spark: SparkSession, temp_dir: str | None = None) -> str:
-    """A fresh, never reused location ``<root>/snapshot-<uuid>``."""
+    """A fresh, never reused location ``<root>/snapshot-<application>-<uuid>``."""
     root = temp_dir or checkpoint_root(spark)
-    return root + ("" if root.endswith("/") else "/") + SNAPSHOT_PREFIX + uuid.uuid4().hex
+    return root + ("" if root.endswith("/") else "/") + f"{SNAPSHOT_PREFIX}{application_tag(spark)}-{uuid.uuid4().hex}"
+
+
+def application_tag(spark: SparkSession) -> str:
+    """A short name of the running application, the same in all its sessions."""
+    return hashlib.sha1(spark.sparkContext.applicationId.encode()).hexdigest()[:12]
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -66,6 +73,46 @@ def read_small_file(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
+class Entry(NamedTuple):
+    """One entry of a folder; ``modified`` in milliseconds."""
+
+    name: str
+    folder: bool
+    modified: int
+
+
+def _missing(error: Exception) -> bool:
+    """Whether a file system call failed because there is no such file."""
+    cause = getattr(error, "java_exception", None)
+    return cause is not None and cause.getClass().getName() == "java.io.FileNotFoundException"
+
+
+def list_folder(spark: SparkSession, path: str) -> list[Entry]:
+    """The entries of a folder; none if it is not there.  For folders of metadata and snapshots,
+    not for data files by the million."""
+    p, fs = _hadoop_path(spark, path)
+    try:
+        found = fs.listStatus(p)
+    except Exception as e:
+        if not _missing(e):
+            raise
+        return []
+    return [Entry(s.getPath().getName(), bool(s.isDirectory()), s.getModificationTime()) for s in found]
+
+
+def rename_path(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a file or folder; ``FileNotFoundError`` if it is not there."""
+    p, fs = _hadoop_path(spark, path)
+    try:
+        done = fs.rename(p, _hadoop_path(spark, to)[0])
+    except Exception as e:
+        if not _missing(e):
+            raise
+        done = False
+    if not done:
+        raise FileNotFoundError(f"cannot rename {path}")
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Recursively delete ``path``; used only to release a snapshot on request."""
     p, fs = _hadoop_path(spark, path)
