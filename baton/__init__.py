@@ -38,6 +38,8 @@ from baton.sources import (
     open_text,
     open_typed,
     read_files,
+    read_ranges,
+    walk_files,
 )
 
 __all__ = [
@@ -56,6 +58,7 @@ __all__ = [
     "open_rdd_snapshot",
     "rdd_to_frame",
     "read_files",
+    "read_ranges",
     "release_snapshot",
     "resolve_path",
     "same_rows",
@@ -67,5 +70,6 @@ __all__ = [
     "snapshot_path",
     "snapshot_rdd",
     "sweep_snapshots",
+    "walk_files",
     "write_snapshot",
 ]

@@ -31,7 +31,7 @@ from baton.operators import (
 )
 from baton.session import list_folder, new_snapshot_path
 from baton.sinks import lease_snapshot, release_snapshot, save_text, sweep_snapshots, write_snapshot
-from baton.sources import file_sizes, list_files, open_snapshot, open_table, open_text, open_typed, read_files
+from baton.sources import file_sizes, list_files, open_snapshot, open_table, open_text, open_typed, read_files, read_ranges, walk_files
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -382,6 +382,40 @@ def file_contents(spark, sf_dir):
     return lines.where("line <> ''").select(pair[0].cast("bigint").alias("p_partkey"), pair[1].alias("content"))
 
 
+@register("file_tree", """
+    SELECT l_returnflag, l_linestatus, true AS sizes_agree, count(*) AS n_rows FROM lineitem GROUP BY l_returnflag, l_linestatus""")
+def file_tree(spark, sf_dir):
+    # a table saved as a tree of folders, walked by tasks: the files of each folder and their rows
+    path = new_snapshot_path(spark)
+    table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_linestatus").write.partitionBy("l_returnflag", "l_linestatus").parquet(path)
+    listed = walk_files(spark, f"{path}/l_returnflag=*/l_linestatus=*/*.parquet").select(F.url_decode(F.regexp_extract("path", "([^/]+)$", 1)).alias("file"), "size_bytes")
+    seen = spark.read.parquet(path).groupBy("l_returnflag", "l_linestatus", F.url_decode(F.col("_metadata.file_name")).alias("file")).agg(
+        F.max("_metadata.file_size").alias("size"), F.count("*").alias("n"))
+    # a task's files in different folders may share a name, but then not a size
+    pairs = seen.hint("merge").join(listed.hint("merge"), [seen["file"] == listed["file"], seen["size"] == listed["size_bytes"]], "left")
+    each = pairs.groupBy("l_returnflag", "l_linestatus", seen["file"]).agg(F.max("n").alias("n"), F.count("size_bytes").alias("found"))
+    return each.groupBy("l_returnflag", "l_linestatus").agg(F.bool_and(F.col("found") > 0).alias("sizes_agree"), F.sum("n").alias("n_rows"))
+
+
+@register("file_ranges", "SELECT p_partkey, p_name AS content FROM part")
+def file_ranges(spark, sf_dir):
+    # text files read in ranges that cut lines, joined to lines again: each range gives its part up
+    # to the first line end to the range before
+    path = new_snapshot_path(spark)
+    save_text(table(spark, sf_dir, "part").select(F.concat_ws("\t", "p_partkey", "p_name").alias("line")), path)
+    # a line no longer than a range lies in two of them at most
+    longest = open_text(spark, path).agg(F.max(F.octet_length("value"))).first()[0] or 0
+    size = max(1000, longest + 1)
+    text = read_ranges(spark, f"{path}/part-*", range_bytes=size).where("size_bytes > 0").select("path", "offset", "content")
+    head = F.substring_index(F.col("content").cast("string"), "\n", 1)
+    nexts = text.select("path", (F.col("offset") - size).alias("offset"), head.cast("binary").alias("head")).where("offset >= 0")
+    joined = text.hint("merge").join(nexts.hint("merge"), ["path", "offset"], "left")
+    own = F.when(F.col("offset") == 0, F.col("content")).otherwise(F.substr("content", F.octet_length(head) + 2))
+    lines = joined.select(F.explode(F.split(F.concat(own, F.coalesce("head", F.lit(b""))).cast("string"), "\n")).alias("line")).where("line <> ''")
+    pair = F.split("line", "\t")
+    return lines.select(pair[0].cast("bigint").alias("p_partkey"), pair[1].alias("content"))
+
+
 # --- P4: path resolution -----------------------------------------------------------
 
 @register("path_resolve", """

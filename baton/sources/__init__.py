@@ -4,6 +4,7 @@ from baton.sources.files import file_sizes, list_files, read_files
 from baton.sources.snapshot import open_snapshot, read_manifest
 from baton.sources.tables import open_table, open_typed
 from baton.sources.text import open_text
+from baton.sources.tree import read_ranges, walk_files
 
 __all__ = [
     "file_sizes",
@@ -14,4 +15,6 @@ __all__ = [
     "open_typed",
     "read_files",
     "read_manifest",
+    "read_ranges",
+    "walk_files",
 ]

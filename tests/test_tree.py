@@ -1,0 +1,114 @@
+"""Trees of files walked and read by tasks."""
+
+from __future__ import annotations
+
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from baton import list_files, read_ranges, walk_files
+from baton.sources import tree
+
+
+@pytest.fixture(scope="module")
+def folder(tmp_path_factory):
+    """A tree with odd names, empty files and folders, hidden and deep entries, and a wide level."""
+    root = tmp_path_factory.mktemp("tree")
+    rng = random.Random(1)
+    names = ["foo1", "foo12", "foo7", "x[1].bin", "a{b,c}.bin", "q?.bin", "_hidden", ".dot", "empty", "é ü.txt", "a+b%20c", "back\\slash"]
+    for name in names:
+        (root / name).write_bytes(b"" if name == "empty" else rng.randbytes(rng.randint(1, 5000)))
+    for d in ("d1/e1/f1", "d1/e2", "d2/e1/deep/er/still", "d3", "_d/e1"):
+        (root / d).mkdir(parents=True)
+        (root / d / "part-0").write_bytes(rng.randbytes(100))
+    (root / "none").mkdir()
+    for i in range(60):
+        (root / "wide" / f"w{i:02}" / "sub").mkdir(parents=True)
+        (root / "wide" / f"w{i:02}" / "sub" / "f").write_bytes(b"x" * i)
+    return root
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()))
+
+
+GLOBS = ["*", "foo[1-9]", "foo?*", "{foo1,d2,wide}", "d*/e1", "d*/*/part-0", "[!d]*", "[^a-z]*", "x\\[1\\].bin", "a\\{b,c\\}.bin", "q\\?.bin", "wide/w0?/sub/*",
+         "*/w*/{sub,x}/f", "none", "none/*", "foo1", "missing", "missing/*", "foo1/*", ".*", "é*", "back\\\\slash", "a+b%20c"]
+
+
+@pytest.mark.parametrize("glob", GLOBS)
+def test_walks_are_hadoop_globs(spark, folder, glob):
+    got = walk_files(spark, f"{folder}/{glob}")
+    want = list_files(spark, f"{folder}/{glob}")
+    assert got.columns == want.columns and rows(got) == rows(want)
+
+
+@pytest.mark.parametrize("spread", [0, 1, 10**6])
+def test_recursive_walks_see_all(spark, folder, monkeypatch, spread):
+    monkeypatch.setattr(tree, "SPREAD", spread)  # subtrees at once, some levels first, level by level
+    want = set()
+    for base, dirs, files in os.walk(folder):
+        want |= {(f"file:{base}/{n}", os.path.getsize(f"{base}/{n}"), False) for n in files} | {(f"file:{base}/{n}", 0, True) for n in dirs}
+    got = walk_files(spark, f"{folder}/*", recursive=True).select("path", "size_bytes", "is_dir").collect()
+    assert len(got) == len(want) and set(map(tuple, got)) == want
+    below = walk_files(spark, str(folder), recursive=True).select("path", "size_bytes", "is_dir").collect()
+    assert set(map(tuple, below)) == want | {(f"file:{folder}", 0, True)} and len(below) == len(want) + 1
+
+
+def test_files_beyond_the_row_limit_come_in_ranges(spark, folder, tmp_path):
+    big = random.Random(2).randbytes(3_000_001)
+    (tmp_path / "big.bin").write_bytes(big)
+    got = read_ranges(spark, f"{tmp_path}/big.bin", range_bytes=65_536).collect()
+    assert len(got) == 46 and all(r.size_bytes == len(big) and len(r.content) <= 65_536 for r in got)
+    assert b"".join(bytes(r.content) for r in sorted(got, key=lambda r: r.offset)) == big
+    # every file of the tree, whatever its name
+    whole = {}
+    for r in sorted(read_ranges(spark, f"{folder}/*", range_bytes=1000, recursive=True).collect(), key=lambda r: r.offset):
+        whole[r.path] = whole.get(r.path, b"") + bytes(r.content)
+    files = {f"file:{b}/{n}" for b, _, names in os.walk(folder) for n in names}
+    assert set(whole) == files and all(open(p.removeprefix("file:"), "rb").read() == c for p, c in whole.items())
+
+
+def test_a_range_beyond_two_gigabytes(spark, tmp_path):
+    with open(tmp_path / "sparse", "wb") as f:  # a hole takes no disk
+        f.truncate(5 << 30)
+        f.seek((4 << 30) + 12)
+        f.write(b"here")
+    ranges = read_ranges(spark, f"{tmp_path}/sparse", range_bytes=256 << 20)
+    far = ranges.where(F.col("offset") == 4 << 30).select(F.substring("content", 1, 20).alias("c"), "size_bytes").collect()
+    assert len(far) == 1 and bytes(far[0].c) == bytes(12) + b"here" + bytes(4) and far[0].size_bytes == 5 << 30
+
+
+def test_no_path_reaches_the_driver(spark, folder, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    collected = []
+    for name in ("collect", "toLocalIterator", "toPandas", "toArrow"):
+        monkeypatch.setattr(DataFrame, name, lambda self, *a, name=name: collected.append(name) or [])
+    walk_files(spark, f"{folder}/*", recursive=True)
+    assert collected == []
+
+
+def test_errors_and_empty_results(spark, tmp_path, folder):
+    for call in (walk_files, read_ranges):
+        with pytest.raises(FileNotFoundError):
+            call(spark, f"{tmp_path}/nothing*", strict=True)
+        assert call(spark, f"{tmp_path}/nothing*").count() == 0
+    with pytest.raises(FileNotFoundError):
+        read_ranges(spark, f"{folder}/none", strict=True)  # a folder, no file
+    with pytest.raises(ValueError):
+        read_ranges(spark, f"{folder}/*", range_bytes=0)
+    with pytest.raises(ValueError, match="several levels"):
+        tree.split_glob("/a/{b/c,d}/e")
+    for bad in ("{a", "[a", "a\\"):
+        with pytest.raises(ValueError):
+            tree.glob_regex(bad)
+    (tmp_path / "f").write_bytes(b"x" * 100)
+    ranges = read_ranges(spark, f"{tmp_path}/f", range_bytes=10)
+    (tmp_path / "f").write_bytes(b"x" * 50)
+    with pytest.raises(Exception, match="shorter"):
+        ranges.collect()
+    with pytest.raises(ValueError, match="cannot"):
+        walk_files(spark, "hdfs://127.0.0.1:1/x/*")
