@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from baton.functions.row_forms import form, hashed_whole, marked, plain, renamed, shown
 from baton.operators.rowcodec import quote
@@ -16,10 +17,18 @@ _SIGN = "__baton_sign"
 _N = "__baton_n"
 _DIGEST = "__baton_digest"
 _ROW = "__baton_row"
+#: Bytes of rows that are shuffled as they are; their digests take 32.
+NARROW = 64
 #: Unequal digests (32 bytes each) that are broadcast; more are joined by a shuffle.
 BROADCAST_DIGESTS = 200_000
 
 
+def _fixed_width(dt: T.DataType) -> bool:
+    """Whether a value takes eight bytes or fewer, whatever it is."""
+    return isinstance(dt, (T.NumericType, T.BooleanType, T.DatetimeType, T.DayTimeIntervalType, T.YearMonthIntervalType)) and not (
+        isinstance(dt, T.DecimalType) and dt.precision > 18)
+
+
 def _digested(df: DataFrame, names: list[str]) -> DataFrame:
     """``df`` with four independent 64-bit hashes of the whole row."""
     types = [renamed(df.schema[n].dataType) for n in names]
@@ -43,7 +52,8 @@ def frame_diff(left: DataFrame, right: DataFrame, expand: bool = False, chunk_ro
     itself comes back as ``left_side`` or ``left_n``, with more ``left_`` if
     that is taken too.
 
-    Rows are counted by a 256-bit digest first (four 64-bit hashes of the values
+    Rows that take up to ``NARROW`` bytes by their types are counted as they
+    are, in one pass.  Others are counted by a 256-bit digest first (four 64-bit hashes of the values
     with their null flags and array sizes at every level), so only digests are
     shuffled, copies combined before; this runs at once.  Then the
     rows whose digests are out of balance, and only those, are compared in
@@ -73,7 +83,8 @@ def frame_diff(left: DataFrame, right: DataFrame, expand: bool = False, chunk_ro
         return df.select(*[form(quote(n), types[n]).alias(c) for n, c in zip(names, inner)], F.lit(sign).alias(_SIGN))
 
     both = side(left, 1).unionByName(side(right, -1))
-    if not exact and all(hashed_whole(both.schema[c].dataType) for c in inner):
+    narrow = len(names) * 8 <= NARROW and all(_fixed_width(types[n]) for n in names)
+    if not exact and not narrow and all(hashed_whole(both.schema[c].dataType) for c in inner):
         unequal = (_digested(both, inner).groupBy(_DIGEST).agg(F.sum(_SIGN).alias(_N))
                    .where(F.col(_N) != 0).select(_DIGEST))
         path = write_snapshot(unequal, codec=PARQUET)
