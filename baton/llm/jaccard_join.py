@@ -21,9 +21,12 @@ Groups of copies make lists of thousands that are all linked, so pairs are not l
 3. all pairs of different components that the lists of every order hold, that pass the bounds
    and share as many prefix shingles as two linked sets must, are verified.
 
-The bounds of steps 2 and 3 never drop a link: sizes must be similar; the shingles that others
-hold must be enough for the overlap; and the parity bitmaps of two sets (a bit flips with every
-shingle that hashes to it) differ in at most as many bits as the sets differ in shingles.
+The bounds never drop a link.  Before any list, a document must have enough shingles that others
+hold for an overlap with one of them.  In steps 2 and 3 sizes must be similar, and parity bitmaps
+(a bit flips with every shingle that hashes to it) may differ in no more bits than sets that link
+differ in shingles: those of the whole sets, and those of the prefixes under each order, which
+must have enough in common under all of them at once.  So a list gives few pairs that do not link,
+however many documents of other components it holds.
 
 After this every pair that could link was either verified or lies within one component, so
 the components are exactly those of all links.  Verification compares the whole sets.
@@ -49,8 +52,9 @@ from baton.llm.wire import MESSAGE, chunked, in_order, incoming, messages, n_chu
 #: Bits of the filter that keeps documents without a candidate from the second read: 8 MB.
 FILTER_BITS = 26
 _RANGES = 64
-#: 64-bit words of a document's parity bitmap.
+#: 64-bit words of the least parity bitmap; bits, growing with the set between these bounds.
 PARITY_WORDS = 8
+BITMAP_BITS = (64 * PARITY_WORDS, 1 << 15)
 _BLOBS = "kind int, dst int, blob binary"
 
 
@@ -144,20 +148,69 @@ def star_pairs(group: np.ndarray, n: np.ndarray, node: np.ndarray, percent: int)
     return _counted(node[r], node[m], n[r], n[m])
 
 
-def parity(h: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The parity bitmap of each set: one row of ``PARITY_WORDS`` words a document."""
-    n = len(at) - 1
-    bit = mix(h, seed=25)
-    doc = np.repeat(np.arange(n), np.diff(at))
-    odd = np.bincount(doc * (64 * PARITY_WORDS) + (bit % U64(64 * PARITY_WORDS)).astype(np.int64), minlength=n * 64 * PARITY_WORDS) & 1
-    return np.packbits(odd.astype(np.uint8).reshape(n, -1), axis=1).view(U64)
-
-
-def _open_pairs(group, n, free, comp, bits, percent: int):
-    """(i, j, distance) of the pairs of different components in each group (sorted by size) that
-    pass the bounds; ``free`` is how many shingles of a set others hold."""
-    i = np.arange(len(group))
-    step = 1
+def bitmap_bytes(n: np.ndarray, percent: int) -> np.ndarray:
+    """Bytes of the bitmaps of sets of n shingles: powers of two, about four bits for each
+    shingle in which two linked sets may differ."""
+    most = 2 * n * (100 - percent) / (100 + percent)
+    steps = np.ceil(np.log2(np.maximum(4 * most / BITMAP_BITS[0], 1)))
+    return np.minimum(BITMAP_BITS[0] * 2 ** steps, BITMAP_BITS[1]).astype(np.int64) // 8
+
+
+def parity(h: np.ndarray, at: np.ndarray, size: np.ndarray | None = None) -> np.ndarray:
+    """The parity bitmaps of the documents' hashes: a bit flips with every hash whose low bits are
+    its number.  With a ``size`` in bytes for each they follow one another; else each is a row of
+    ``PARITY_WORDS`` words."""
+    sizes = np.full(len(at) - 1, 8 * PARITY_WORDS) if size is None else size
+    doc = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    bit = (mix(h, seed=25) & (sizes[doc] * 8 - 1).astype(U64)).astype(np.int64)
+    odd = np.bincount((np.cumsum(sizes) - sizes)[doc] * 8 + bit, minlength=int(sizes.sum()) * 8) & 1
+    bits = np.packbits(odd.astype(np.uint8), bitorder="little")
+    return bits.view(U64).reshape(-1, PARITY_WORDS) if size is None else bits
+
+
+class Bitmaps:
+    """The bitmaps of the documents of a task, several of one size for each document; ``doc`` is
+    that of each entry of the lists."""
+
+    def __init__(self, raw: np.ndarray, offsets: np.ndarray, each: int, doc: np.ndarray):
+        self.raw, self.offsets, self.each, self.doc = raw, offsets, each, doc
+        self.size = np.diff(offsets) // each
+        self.folded: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def _of(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """All bitmaps of at least this size, folded to it, and each document's place in them."""
+        if size not in self.folded:
+            place, parts, at = np.full(len(self.size), -1), [], 0
+            for wide in np.unique(self.size[self.size >= size]):
+                rows = np.flatnonzero(self.size == wide)
+                whole = self.raw[(self.offsets[rows][:, None] + np.arange(wide * self.each))].reshape(len(rows), self.each, wide // size, size)
+                parts.append(np.bitwise_xor.reduce(whole, axis=2))  # the parity of fewer bits
+                place[rows] = at + np.arange(len(rows))
+                at += len(rows)
+            self.folded[size] = place, np.ascontiguousarray(np.concatenate(parts)).view(U64)
+        return self.folded[size]
+
+    def distances(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """In how many bits the bitmaps of the entries i and j differ: a row for each bitmap."""
+        i, j = self.doc[i], self.doc[j]
+        out = np.zeros((self.each, len(i)), np.int64)
+        size = np.minimum(self.size[i], self.size[j])
+        for one in np.unique(size):
+            place, bits = self._of(int(one))
+            some = np.flatnonzero(size == one)
+            for at in range(0, len(some), 1 << 14):
+                k = some[at:at + (1 << 14)]
+                out[:, k] = np.bitwise_count(bits[place[i[k]]] ^ bits[place[j[k]]]).sum(axis=2, dtype=np.int64).T
+        return out
+
+
+def _open_pairs(group, n, free, comp, bits, percent: int, prefix=()):
+    """(i, j, distance) of the pairs of different components in each list (sorted by size) that
+    pass the bounds.  ``free``: how many shingles of a set others hold; ``bits``: a row of words for
+    each entry, or :class:`Bitmaps` of the sets and of their prefixes, whose lengths are ``prefix``."""
+    maps = bits if isinstance(bits, Bitmaps) else Bitmaps(
+        np.ascontiguousarray(bits).view(np.uint8).reshape(-1), np.arange(len(bits) + 1) * bits.shape[1] * 8, 1, np.arange(len(bits)))
+    i, step = np.arange(len(group)), 1
     while len(i):
         i = i[i + step < len(group)]
         j = i + step
@@ -165,19 +218,22 @@ def _open_pairs(group, n, free, comp, bits, percent: int):
         i, j = i[near], j[near]
         overlap = -(-percent * (n[i] + n[j]) // (100 + percent))
         ok = (comp[i] != comp[j]) & (np.minimum(free[i], free[j]) >= overlap)
-        a, b, most = i[ok], j[ok], (n[i] + n[j] - 2 * overlap)[ok]
-        distance = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64)
-        fits = distance <= most
+        a, b, overlap = i[ok], j[ok], overlap[ok]
+        apart = maps.distances(a, b)
+        fits = apart[0] <= n[a] + n[b] - 2 * overlap
+        needed = shared_needed(n[a], n[b], percent)
+        for length, differ in zip(prefix, apart[1:]):  # two prefixes with so many in common differ in the others at most
+            fits &= differ <= length[a] + length[b] - 2 * needed
         if fits.any():
-            yield a[fits], b[fits], distance[fits]
+            yield a[fits], b[fits], apart[0][fits]
         step += 1
 
 
-def cross_pairs(group, n, free, node, comp, bits, percent: int):
+def cross_pairs(group, n, free, node, comp, bits, percent: int, prefix=()):
     """All such pairs, counted."""
     got: list[tuple] = []
     held = 0
-    for a, b, _ in _open_pairs(group, n, free, comp, bits, percent):
+    for a, b, _ in _open_pairs(group, n, free, comp, bits, percent, prefix):
         got.append((node[a], node[b], n[a], n[b], np.ones(len(a), np.int64)))
         held += len(a)
         if held > 1 << 20:
@@ -186,11 +242,11 @@ def cross_pairs(group, n, free, node, comp, bits, percent: int):
     return _counted(*(np.concatenate(x) for x in zip(*got))) if got else (node[:0], node[:0], n[:0], n[:0], n[:0])
 
 
-def nearest_pairs(group, n, free, node, comp, bits, percent: int):
+def nearest_pairs(group, n, free, node, comp, bits, percent: int, prefix=()):
     """Of such pairs the one of least distance for each member of a group, counted."""
     least = np.full(len(group), np.iinfo(np.int64).max)
     other = np.full(len(group), -1)
-    for a, b, d in _open_pairs(group, n, free, comp, bits, percent):
+    for a, b, d in _open_pairs(group, n, free, comp, bits, percent, prefix):
         for x, y in ((a, b), (b, a)):
             better = d < least[x]
             least[x[better]], other[x[better]] = d[better], y[better]
@@ -232,7 +288,8 @@ class _Join:
 
     def lists(self) -> DataFrame:
         """Rows of kind 0 (lists of documents that share a prefix shingle), 1 (star pairs),
-        2 (id, size and whether the id is missing of each document) and 3 (pairs of equal sets)."""
+        2 (id, size and whether the id is missing of each document), 3 (pairs of equal sets) and
+        4 (shared shingles, prefix lengths and bitmaps of the documents that may link)."""
         k, percent, orders, parts = self.k, self.percent, self.orders, self.parts
         texts = chunked(self.texts, "node", "text", parts, keep=True).select("chunk", "id", "h", "text", F.col("rest.c0").alias("missing"))
 
@@ -275,8 +332,7 @@ class _Join:
             n = np.diff(at)
             doc = np.repeat(np.arange(len(n)), n)
             free = np.bincount(doc[classes > 0], minlength=len(n))
-            rows = [(2, home, pack(node, n.astype(np.int32), table.column("missing").to_numpy().astype(np.uint8), free.astype(np.int32),
-                                   parity(h, at).reshape(-1)))]
+            rows = [(2, home, pack(node, n.astype(np.int32), table.column("missing").to_numpy().astype(np.uint8)))]
             some = np.flatnonzero(n)
             if len(some):
                 one, two = np.add.reduceat(mix(h, seed=21), at[some]), np.add.reduceat(mix(h, seed=22), at[some])
@@ -287,15 +343,22 @@ class _Join:
                     rows.append((3, home, pack(node[rep[again]], node[some[again]])))
                 stays = np.zeros(len(n), bool)
                 stays[some[first]] = True
+                stays &= free >= -(-n * percent // 100)  # others have too few shingles in common with all others together
                 inner = np.repeat(stays, n)
-                h, classes, n, node = h[inner], classes[inner], n[stays], node[stays]
+                h, classes, n, node, free = h[inner], classes[inner], n[stays], node[stays], free[stays]
                 at = np.concatenate([[0], np.cumsum(n)])
+                size = bitmap_bytes(n, percent)
+                bitmaps, lengths = [parity(h, at, size)], []
                 for o in range(orders):
                     doc, key = prefixes(h, at, classes, 31 + o, percent)
+                    lengths.append(np.bincount(doc, minlength=len(n)).astype(np.int32))
+                    bitmaps.append(parity(key, np.concatenate([[0], np.cumsum(lengths[-1])]), size))
                     by, split = sort_by_part((mix(key, seed=23) % U64(parts)).astype(np.int64), parts)
                     for p in np.flatnonzero(np.diff(split)).tolist():
                         i = by[split[p]:split[p + 1]]
                         rows.append((0, o * parts + p, pack(key[i], node[doc[i]], n[doc[i]].astype(np.int32))))
+                if len(n):
+                    rows.append((4, home, pack(node, size.astype(np.int32), free.astype(np.int32), *lengths, *bitmaps)))
             return _blobs(rows)
 
         def meet(t: pa.Table) -> pa.Table:
@@ -413,22 +476,24 @@ class _Join:
         return pairs.select("a", "b", "x", "y").mapInArrow(verify, "a bigint, b bigint").distinct()
 
     def details(self, lists: DataFrame) -> DataFrame:
-        """(node, free, bits): what the bounds need of each document that meets another."""
+        """(node, free, prefix, bits): what the bounds need of each document that may link."""
+        orders = self.orders
+
         def open_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for blob in batch.column(0):
-                    node, _, _, free, bits = unpack(blob.as_py())
-                    raw = bits.reshape(-1, PARITY_WORDS).tobytes()
-                    rows = [raw[i:i + 8 * PARITY_WORDS] for i in range(0, len(raw), 8 * PARITY_WORDS)]
-                    some = np.flatnonzero(free)
-                    yield pa.RecordBatch.from_arrays([pa.array(node[some]), pa.array(free[some]), pa.array([rows[i] for i in some.tolist()], pa.binary())],
-                                                     names=["node", "free", "bits"])
+                    node, size, free, *rest = unpack(blob.as_py())
+                    prefix, maps = np.stack(rest[:orders], axis=1).reshape(-1), [m.tobytes() for m in rest[orders:]]
+                    ends = np.cumsum(size.astype(np.int64))
+                    bits = [b"".join(m[e - k:e] for m in maps) for e, k in zip(ends.tolist(), size.tolist())]
+                    lists = pa.ListArray.from_arrays(np.arange(0, len(prefix) + 1, orders, dtype=np.int32), prefix)
+                    yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(free), lists, pa.array(bits, pa.binary())], names=["node", "free", "prefix", "bits"])
 
-        return lists.where("kind = 2").select("blob").mapInArrow(open_up, "node bigint, free int, bits binary")
+        return lists.where("kind = 4").select("blob").mapInArrow(open_up, "node bigint, free int, prefix array<int>, bits binary")
 
     def open_entries(self, lists: DataFrame, roots: DataFrame) -> DataFrame:
-        """(dst, list, node, n): the members of lists that hold several components, next to which
-        (in size) there is one of another component."""
+        """(dst, node, n, lists): the members of lists that hold several components, next to which
+        (in size) there is one of another component; a node's lists of one part together."""
         percent = self.percent
 
         def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -449,12 +514,17 @@ class _Join:
                 run = np.cumsum(cut) - 1
                 first = np.flatnonzero(cut)[run]
                 keep = np.bincount(run, weights=comp != comp[first])[run] > 0
-            return pa.table([pa.array(np.full(keep.sum(), t.column("dst")[0].as_py(), np.int32)), pa.array(group[keep].astype(np.int32)), pa.array(node[keep]),
-                             pa.array(n[keep].astype(np.int32))], names=["dst", "list", "node", "n"])
+            group, node, n = group[keep], node[keep], n[keep]
+            by = np.lexsort((group, node))
+            node, n, group = node[by], n[by], group[by].astype(np.int32)
+            first = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]])) if len(node) else np.zeros(0, np.int64)
+            at = np.concatenate([first, [len(node)]]).astype(np.int32)
+            return pa.table([pa.array(np.full(len(first), t.column("dst")[0].as_py(), np.int32)), pa.array(node[first]), pa.array(n[first].astype(np.int32)),
+                             pa.ListArray.from_arrays(at, group)], names=["dst", "node", "n", "lists"])
 
         rows = lists.where("kind = 0").select("dst", "blob").mapInArrow(entries, "dst int, list int, node bigint, n int")
         rows = rows.join(roots.hint("shuffle_hash"), "node", "left").select("dst", "list", "node", "n", F.coalesce("root", "node").alias("root"))
-        return rows.groupBy("dst").applyInArrow(several, "dst int, list int, node bigint, n int")
+        return rows.groupBy("dst").applyInArrow(several, "dst int, node bigint, n int, lists array<int>")
 
     def cross(self, entries: DataFrame, details: DataFrame, roots: DataFrame, nearest: bool) -> DataFrame:
         """(a, b): the pairs of steps 2 (``nearest``) or 3."""
@@ -462,15 +532,20 @@ class _Join:
         choose = nearest_pairs if nearest else cross_pairs
 
         def pairs_of(t: pa.Table) -> pa.Table:
+            t = t.combine_chunks()
             order = t.column("dst")[0].as_py() // parts
-            group, node, n, free, comp = (t.column(c).to_numpy().astype(np.int64) for c in ("list", "node", "n", "free", "root"))
-            bits = flat(t.column("bits"))[0].view(U64).reshape(-1, PARITY_WORDS)
-            by = np.lexsort((node, n, group))
-            pairs = choose(group[by], n[by], free[by], node[by], comp[by], bits[by], percent)
+            node, n, comp, free = (t.column(c).to_numpy().astype(np.int64) for c in ("node", "n", "root", "free"))
+            lists, prefix = t.column("lists").combine_chunks(), t.column("prefix").combine_chunks()
+            doc = np.repeat(np.arange(len(node)), np.diff(lists.offsets.to_numpy()))
+            group = lists.flatten().to_numpy().astype(np.int64)
+            by = np.lexsort((node[doc], n[doc], group))
+            doc = doc[by]
+            lengths = prefix.flatten().to_numpy().astype(np.int64).reshape(-1, orders)
+            pairs = choose(group[by], n[doc], free[doc], node[doc], comp[doc], Bitmaps(*flat(t.column("bits")), 1 + orders, doc), percent, lengths[doc].T)
             return pa.table([pa.array(x) for x in pairs] + [pa.array(np.full(len(pairs[0]), order, np.int32))], names=["a", "b", "n", "m", "times", "o"])
 
-        known = details.join(roots.hint("shuffle_hash"), "node", "left").select("node", "free", "bits", F.coalesce("root", "node").alias("root"))
-        rows = entries.join(known.hint("shuffle_hash"), "node").select("dst", "list", "node", "n", "free", "bits", "root")
+        known = details.join(roots.hint("shuffle_hash"), "node", "left").select("node", "free", "prefix", "bits", F.coalesce("root", "node").alias("root"))
+        rows = entries.join(known.hint("shuffle_hash"), "node").select("dst", "node", "n", "lists", "free", "prefix", "bits", "root")
         pairs = rows.groupBy("dst").applyInArrow(pairs_of, "a bigint, b bigint, n bigint, m bigint, times bigint, o int")
         if nearest:
             return pairs.select("a", "b").distinct()
@@ -498,7 +573,7 @@ class _Join:
         def notes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for blob in batch.column(0):
-                    node, n, missing = unpack(blob.as_py())[:3]
+                    node, n, missing = unpack(blob.as_py())
                     yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(missing.astype(bool)), pa.array(n.astype(np.int64))], names=["node", "missing", "n"])
 
         return lists.where("kind = 2").select("blob").mapInArrow(notes, "node bigint, missing boolean, n bigint"), roots
