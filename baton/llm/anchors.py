@@ -329,7 +329,7 @@ def covered(replies: pa.Table, n_tokens: int, width: int) -> np.ndarray:
 
 
 def remove_repeats(docs: DataFrame, id_col: str, text_col: str, tokenise: Callable, kernel: Callable, finish: Callable,
-                   schema: str, width: int, gram: int, earlier_only: bool, keep: bool = False, hot: int = HOT_ANCHOR,
+                   schema: T.StructType, width: int, gram: int, earlier_only: bool, keep: bool = False, hot: int = HOT_ANCHOR,
                    chunks: int | None = None) -> DataFrame:
     """Run the five steps.  ``finish(table, removed, tokens...)`` makes the rows of one chunk."""
     chunks = chunks or n_chunks(docs.sparkSession, text_bytes(docs, text_col))

@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from baton.llm.text import ALNUM, U64, flat, lower, slices, word_hashes, word_spans
 from baton.llm.wire import ragged
@@ -204,7 +205,6 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     sent = _block(docs, text_col, blocks[0], width, shingle)
     read = docs.select(F.col(f"`{text_col}`").alias("text"), F.col(f"`{id_col}`").cast("bigint").alias("id"),
                        *([F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]).alias("row")] if keep else []))
-    inner = ", ".join(f"c{i}: {f.dataType.simpleString()}" for i, f in enumerate(docs.schema.fields))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prefixes = sent.value
@@ -224,7 +224,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
                 yield _result(piece.column(1), np.diff(bounds), n_hit, held)
 
     if keep:
-        out = read.mapInArrow(judge, f"row struct<{inner}>")
+        out = read.mapInArrow(judge, T.StructType([read.schema["row"]]))
         return out.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(names)])
     return read.mapInArrow(judge, RESULT)
 

@@ -21,6 +21,7 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Element names as HTML defines them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -295,7 +296,6 @@ def render(html: str) -> str:
 def extract_text(pages: DataFrame, html_col: str = "html", out_col: str = "text") -> DataFrame:
     """The input's columns, with the page's visible text in ``out_col`` instead of the page."""
     names = [c for c in pages.columns if c not in (html_col, out_col)]
-    inner = ", ".join(f"c{i}: {pages.schema[c].dataType.simpleString()}" for i, c in enumerate(names)) or "c: string"
     rest = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]) if names else F.struct(F.lit(None).cast("string").alias("c"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,5 +305,6 @@ def extract_text(pages: DataFrame, html_col: str = "html", out_col: str = "text"
                 text = [None if h is None else render(h) for h in piece.column(0).to_pylist()]
                 yield pa.RecordBatch.from_arrays([piece.column(1), pa.array(text, pa.string())], names=["rest", "text"])
 
-    out = pages.select(F.col(f"`{html_col}`").cast("string").alias("html"), rest.alias("rest")).mapInArrow(work, f"rest struct<{inner}>, text string")
+    read = pages.select(F.col(f"`{html_col}`").cast("string").alias("html"), rest.alias("rest"))
+    out = read.mapInArrow(work, T.StructType([read.schema["rest"], T.StructField("text", T.StringType())]))
     return out.select(*[F.col(f"rest.c{i}").alias(c) for i, c in enumerate(names)], F.col("text").alias(out_col))

@@ -20,6 +20,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from baton.llm.anchors import HOT_ANCHOR, covered, remove_repeats
 from baton.llm.text import BYTE_VALUE, flat
@@ -164,10 +165,9 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return _rows(t, r, width, with_text)
 
     docs = docs.withColumn(id_col, docs[f"`{id_col}`"].cast("bigint"))
-    schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
+    schema = T.StructType.fromDDL("doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
     if with_text:
-        rest = [f for f in docs.schema.fields if f.name not in (id_col, text_col)]
-        inner = ", ".join(f"c{i}: {f.dataType.simpleString()}" for i, f in enumerate(rest)) or "c: string"
-        schema += f", text string, rest struct<{inner}>"
+        rest = [T.StructField(f"c{i}", f.dataType) for i, f in enumerate(f for f in docs.schema.fields if f.name not in (id_col, text_col))]
+        schema = schema.add("text", T.StringType()).add("rest", T.StructType(rest or [T.StructField("c", T.StringType())]))
     return remove_repeats(docs, id_col, text_col, tokenise, first_holders, finish, schema, width, gram,
                           earlier_only=True, keep=with_text, hot=hot, chunks=chunks)

@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from baton.llm.text import ALNUM, U64, flat, lower, mix, slices, word_hashes, word_spans
 from baton.llm.wire import pack, unpack
@@ -315,8 +316,7 @@ def severity(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: st
                                                       pa.array(toxic >= 0.5)], names=["doc_id", "severity", "p_toxic", "grade", "toxic"])
 
     if keep:
-        inner = ", ".join(f"c{i}: {f.dataType.simpleString()}" for i, f in enumerate(docs.schema.fields))
-        return read.mapInArrow(score, f"row struct<{inner}>").select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(names)])
+        return read.mapInArrow(score, T.StructType([read.schema["row"]])).select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(names)])
     return read.mapInArrow(score, "doc_id bigint, severity double, p_toxic double, grade int, toxic boolean")
 
 

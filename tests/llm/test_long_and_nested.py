@@ -1,0 +1,78 @@
+"""Runs that a tokenizer's splitter gives up on, and nested columns with names that SQL would quote."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from baton.llm import token_counts as tc
+from baton.llm import toxicity
+from baton.llm.decontaminate import decontaminate
+from baton.llm.html_text import extract_text
+from baton.llm.suffix_array_dedup import dedup_bytes
+
+
+@pytest.fixture(scope="module")
+def enc():
+    return tc.encoder(tc.read_vocabulary(tc.VOCABULARY))
+
+
+def test_pieces_encode_as_the_whole(enc):
+    rng = random.Random(4)
+    spaces = " \t\n\r\x0b\x0c\x1c\x1f\x85\xa0\u2003\u2028\u3000"
+    for _ in range(300):
+        text = "".join(rng.choice([rng.choice(spaces) * rng.randint(1, 4), "don't", "I'll", "é", "漢字", "12³", "?!", "_", "a", " b", "\u0301", "😀", "\x00"])
+                       for _ in range(rng.randint(1, 40)))
+        assert "".join(tc.pieces(text)) == text
+        assert [t for p in tc.pieces(text) for t in enc._encode_single_piece(p)] == enc.encode_ordinary(text)
+
+
+@pytest.mark.parametrize("text", [" " * 2_000_000, "a" * 2_000_000, "漢" * 1_000_000, "!" * 2_000_000, "x" + "\n" * 2_000_000 + "y"])
+def test_runs_of_millions(enc, text):
+    n = tc.encoded_length(enc, text)
+    # the run in parts that the splitter manages; a part's border costs a token or so
+    assert 0 < n <= sum(len(enc.encode_ordinary(text[i:i + 1000])) for i in range(0, len(text), 1000)) + 2
+    assert enc.decode([t for p in tc.pieces(text[:5000]) for t in enc._encode_single_piece(p)]) == text[:5000]
+
+
+def test_a_table_with_such_texts(spark):
+    df = spark.createDataFrame([(" " * 2_000_000,), ("one two",), (None,)], "text string")
+    got = {r.n_tokens: r.n_docs for r in tc.token_counts(spark, df).collect()}
+    assert got[0] == 1 and sum(got.values()) == 3
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Documents with nested fields called ``a b``, ``a-b``, and with a backtick."""
+    words = [f"w{i}" for i in range(300)]
+    rows = [(i, " ".join(words[i:i + 60]), "en", "src", 10, ((i, [(i,)]),)) for i in range(40)]
+    return spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint, "
+                                 "`x y` struct<`a b`: struct<`a-b`: int, `c``d`: array<struct<`e.f`: int>>>>")
+
+
+def deep(df):
+    return {r[0]: r[1] for r in df.select("doc_id", F.col("`x y`.`a b`.`c``d`")[0]["e.f"]).collect()}
+
+
+def test_nested_names_pass_through(spark, odd):
+    html = extract_text(odd.withColumnRenamed("text", "html"))
+    assert html.schema["x y"].dataType == odd.schema["x y"].dataType and deep(html) == {i: i for i in range(40)}
+    kept = decontaminate(odd, spark.createDataFrame([(1, "nothing like it")], "item_id bigint, text string"), keep=True)
+    assert deep(kept) == {i: i for i in range(40)} and kept.columns == odd.columns
+    cut = dedup_bytes(odd, with_text=True)
+    assert cut.count() == 40 and "c3" in cut.schema["rest"].dataType.names
+    whole = corpus_pipeline.cut_repeats(spark, odd, "")
+    assert deep(whole) == {i: i for i in range(40)} and whole.columns == odd.columns
+    near = corpus_pipeline.drop_near_copies(spark, odd, "")
+    assert set(deep(near).items()) <= {(i, i) for i in range(40)}
+
+
+def test_nested_names_pass_the_classifier(spark, odd):
+    labels = spark.createDataFrame([(i, 1, int(i % 2)) for i in range(40)], "doc_id bigint, quality int, toxic int")
+    docs = odd.withColumn("text", F.when(F.col("doc_id") % 2 == 1, F.concat("text", F.lit(" idiot idiot"))).otherwise(F.col("text")))
+    model = toxicity.train(docs, labels, toxicity.severity_grade(), keep_toxic=True)
+    kept = toxicity.severity(docs, model, keep=True)
+    assert kept.columns == odd.columns and all(i == k for i, k in deep(kept).items())
