@@ -39,6 +39,8 @@ MAX_LABELS = 8_000
 MAX_FEATURES = 1 << 14
 #: Documents of the sample that must hold a feature.
 MIN_DOCS = 3
+#: Ranges of hashes that are looked through one after the other.
+RANGES = 16
 #: Squared z-score of a feature's residuals from which it is kept.
 SCREEN = 15.0
 #: Bytes of the beginnings of words.
@@ -218,6 +220,28 @@ def penalty(doc: np.ndarray, base: np.ndarray, times: np.ndarray, grade: np.ndar
     return chosen
 
 
+def frequent(doc: np.ndarray, value: np.ndarray, times: np.ndarray):
+    """(features, document, number of the feature, occurrences): only features that ``MIN_DOCS``
+    documents hold, which are all that can be kept; by ranges of hashes, so that no copy of all
+    entries is made."""
+    known, at, base = [], [], []
+    n = 0
+    for r in range(RANGES):
+        some = np.flatnonzero(value // U64(2 ** 64 // RANGES) == r).astype(np.int32)
+        values, place, held = np.unique(value[some], return_inverse=True, return_counts=True)
+        keep = held >= MIN_DOCS
+        number = np.cumsum(keep).astype(np.int32) - 1 + n
+        hit = keep[place]
+        known.append(values[keep])
+        at.append(some[hit])
+        base.append(number[place[hit]])
+        n += int(keep.sum())
+    at, base = np.concatenate(at), np.concatenate(base)
+    order = np.argsort(at, kind="stable")  # by document again
+    at = at[order]
+    return np.concatenate(known), doc[at], base[order], times[at]
+
+
 def _fit_table(table: pa.Table) -> pa.Table:
     """The model of one bounded sample: sorted feature hashes, weights, grades and thresholds."""
     order = np.argsort(table.column("id").to_numpy(), kind="stable")
@@ -225,15 +249,19 @@ def _fit_table(table: pa.Table) -> pa.Table:
     grades, grade = np.unique(table.column("grade").to_numpy(), return_inverse=True)
     known, w, theta = np.zeros(0, U64), np.zeros(0), np.zeros(0)
     if len(grades) > 1:
-        parts = []
-        for a in range(0, len(table), 1000):  # features of a thousand texts at a time
-            d, v, t = features(table.column("text").slice(a, 1000))
-            parts.append(((d + a).astype(np.int32), v, np.minimum(t, LEVELS[-1]).astype(np.uint8)))
-        doc, value, times = (np.concatenate(x) for x in zip(*parts))
-        del parts
-        known, base = np.unique(value, return_inverse=True)
+        docs, values, counts = [], [], []
+        for a in range(0, len(table), 250):  # features of some texts at a time
+            d, v, t = features(table.column("text").slice(a, 250))
+            docs.append((d + a).astype(np.int32))
+            values.append(v)
+            counts.append(np.minimum(t, LEVELS[-1]).astype(np.uint8))
+        value = np.concatenate(values)
+        values.clear()
+        doc, times = np.concatenate(docs), np.concatenate(counts)
+        docs.clear()
+        known, doc, base, times = frequent(doc, value, times)
         del value
-        base, weight = base.astype(np.int32), table.column("weight").to_numpy()
+        weight = table.column("weight").to_numpy()
         l1 = penalty(doc, base, times, grade, grades > 0, weight)
         doc, feature, ok = screened(doc, base, times, grade, weight)
         fitted, theta = fit(doc, feature, grade, len(ok), l1, weight=weight)
