@@ -15,7 +15,8 @@ threshold t.  Under any global order of shingles, two such sets share one of the
 Groups of copies make lists of thousands that are all linked, so pairs are not listed first:
 
 1. in each list of the first order every document is paired with one representative (of
-   similar size); pairs that share many prefix shingles are verified and give components;
+   similar size); of its pairs that share many prefix shingles, the ``CLOSEST`` are verified and
+   give components;
 2. in lists that still hold several components, every document is paired with its nearest one of
    another component; these pairs are verified and join components;
 3. all pairs of different components that the lists of every order hold, that pass the bounds
@@ -43,7 +44,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from baton.llm.text import NOT_SPACE, U64, flat, lower, mix, shingles, slices, word_hashes, word_spans
@@ -52,6 +53,8 @@ from baton.llm.wire import MESSAGE, chunked, in_order, incoming, messages, n_chu
 #: Bits of the filter that keeps documents without a candidate from the second read: 8 MB.
 FILTER_BITS = 26
 _RANGES = 64
+#: Representatives that step 1 verifies a member with; steps 2 and 3 find every link beyond these.
+CLOSEST = 3
 #: 64-bit words of the least parity bitmap; bits, growing with the set between these bounds.
 PARITY_WORDS = 8
 BITMAP_BITS = (64 * PARITY_WORDS, 1 << 15)
@@ -409,6 +412,17 @@ class _Join:
         rows = blobs.select("blob").mapInArrow(open_up, "a bigint, b bigint, n bigint, m bigint, times bigint")
         return rows.groupBy("a", "b").agg(F.first("n").alias("n"), F.first("m").alias("m"), F.sum("times").alias("times"))
 
+    @staticmethod
+    def closest(stars: DataFrame) -> DataFrame:
+        """The star pairs of each member with the ``CLOSEST`` representatives that it shares most
+        with.  A member of a large group meets one in every list that it is in, and one link ties
+        it to the group; what the others would join is left to steps 2 and 3, which are exact."""
+        a_is_member = F.col("m") < F.col("n")  # the smaller set represents, then the smaller node, "a"
+        member, other = F.when(a_is_member, F.col("a")).otherwise(F.col("b")), F.when(a_is_member, F.col("b")).otherwise(F.col("a"))
+        by = Window.partitionBy("member").orderBy(F.desc("times"), "other")
+        ranked = stars.select("a", "b", "times", member.alias("member"), other.alias("other")).withColumn("rank", F.row_number().over(by))
+        return ranked.where(F.col("rank") <= CLOSEST)
+
     def needed(self):
         """:func:`shared_needed` of the columns n and m."""
         t = self.percent
@@ -558,7 +572,8 @@ class _Join:
         lists = self.lists()
         equal = self.pairs(lists.where("kind = 3"))
         # representatives differ from list to list, so a third of the shared shingles is enough here
-        stars = stored(self.counted(lists.where("kind = 1")).where(3 * F.col("times") >= self.needed()).select("a", "b"))
+        stars = self.counted(lists.where("kind = 1")).where(3 * F.col("times") >= self.needed())
+        stars = stored(self.closest(stars).select("a", "b"))
         links = stored(self.verified(stars).union(equal))
         roots = stored(components(links))
         entries, details = stored(self.open_entries(lists, roots)), self.details(lists)
