@@ -16,9 +16,11 @@ _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
 from baton.functions import resolve_path
 from baton.operators import (
     conform,
+    conform_split,
     decode_rows,
     encode_rows,
     frame_diff,
+    judge_rows,
     open_rdd_snapshot,
     rdd_to_frame,
     same_rows,
@@ -37,6 +39,7 @@ from baton.sources import (
     open_table,
     open_text,
     open_typed,
+    open_typed_split,
     read_files,
     read_ranges,
     walk_files,
@@ -44,17 +47,20 @@ from baton.sources import (
 
 __all__ = [
     "conform",
+    "conform_split",
     "decode_rows",
     "encode_rows",
     "file_sizes",
     "frame_diff",
     "hold_application",
+    "judge_rows",
     "lease_snapshot",
     "list_files",
     "open_snapshot",
     "open_table",
     "open_text",
     "open_typed",
+    "open_typed_split",
     "open_rdd_snapshot",
     "rdd_to_frame",
     "read_files",

@@ -11,6 +11,7 @@ from baton.operators.handover import (
     snapshot_path,
     snapshot_rdd,
 )
+from baton.operators.rejects import conform_split, judge_rows
 from baton.operators.rowcodec import decode_rows, encode_rows
 from baton.operators.snapshot_diff import snapshot_diff
 
@@ -18,9 +19,11 @@ __all__ = [
     "LEFT_ONLY",
     "RIGHT_ONLY",
     "conform",
+    "conform_split",
     "decode_rows",
     "encode_rows",
     "frame_diff",
+    "judge_rows",
     "open_rdd_snapshot",
     "rdd_to_frame",
     "same_rows",

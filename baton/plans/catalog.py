@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from baton.functions import decode_utf8, encode_utf8, resolve_path
 from baton.operators import (
     conform,
+    conform_split,
     decode_rows,
     encode_rows,
     frame_diff,
@@ -31,7 +32,7 @@ from baton.operators import (
 )
 from baton.session import list_folder, new_snapshot_path
 from baton.sinks import lease_snapshot, release_snapshot, save_text, sweep_snapshots, write_snapshot
-from baton.sources import file_sizes, list_files, open_snapshot, open_table, open_text, open_typed, read_files, read_ranges, walk_files
+from baton.sources import file_sizes, list_files, open_snapshot, open_table, open_text, open_typed, open_typed_split, read_files, read_ranges, walk_files
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -342,6 +343,45 @@ def conform_nested(spark, sf_dir):
     return typed.select("o_orderkey", "info.status", "info.total")
 
 
+def _orders_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with a date as a list of its parts and a priority as code and name, all text."""
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_totalprice").alias("total"),
+        F.split(F.date_format("o_orderdate", "yyyy-MM-dd"), "-").alias("day"),
+        F.struct(F.split("o_orderpriority", "-", 2).alias("parts"), F.col("o_custkey").alias("customer")).alias("info"))
+
+
+@register("conform_accepted", """
+    SELECT o_orderkey, CAST(o_totalprice AS BIGINT) AS total, CAST(year(o_orderdate) AS INTEGER) AS year,
+           CAST(month(o_orderdate) AS INTEGER) AS month
+    FROM orders WHERE o_totalprice = floor(o_totalprice)""")
+def conform_accepted(spark, sf_dir):
+    kept, _ = conform_split(_orders_parts(spark, sf_dir), "o_orderkey bigint, total bigint, day array<int>")
+    return kept.select("o_orderkey", "total", F.col("day")[0].alias("year"), F.col("day")[1].alias("month"))
+
+
+@register("conform_rejected", """
+    SELECT o_orderkey, 'total' AS field, 'lossy' AS reason, NULL AS value FROM orders WHERE o_totalprice <> floor(o_totalprice)
+    UNION ALL
+    SELECT o_orderkey, 'info.parts[1]', 'cast', substr(o_orderpriority, strpos(o_orderpriority, '-') + 1) FROM orders""")
+def conform_rejected(spark, sf_dir):
+    wanted = "o_orderkey bigint, total bigint, day array<int>, info struct<parts: array<int>, customer: string, later: date>"
+    _, left = conform_split(_orders_parts(spark, sf_dir), wanted)
+    why = left.select("o_orderkey", F.inline("reasons"))
+    return why.select("o_orderkey", "field", "reason", F.when(F.col("reason") == "cast", F.col("value")).alias("value"))
+
+
+@register("typed_open_split", """
+    SELECT p_partkey, p_name, CAST(p_partkey > 127 AS INTEGER) + CAST(p_retailprice <> floor(p_retailprice) AS INTEGER) AS n_reasons
+    FROM part""")
+def typed_open_split(spark, sf_dir):
+    ref = _view(spark, sf_dir, "part")
+    kept, left = open_typed_split(spark, ref, "p_partkey tinyint, p_name string, p_retailprice int")
+    kept = kept.select(F.col("p_partkey").cast("bigint").alias("p_partkey"), "p_name", F.lit(0).alias("n_reasons"))
+    left = left.select("p_partkey", "p_name", F.size("reasons").alias("n_reasons"))
+    return kept.unionByName(left)
+
+
 # --- S5 / S6 / S7: files as a table ----------------------------------------------
 
 @register("rows_per_file", " UNION ALL ".join(

@@ -2,7 +2,7 @@
 
 from baton.sources.files import file_sizes, list_files, read_files
 from baton.sources.snapshot import open_snapshot, read_manifest
-from baton.sources.tables import open_table, open_typed
+from baton.sources.tables import open_table, open_typed, open_typed_split
 from baton.sources.text import open_text
 from baton.sources.tree import read_ranges, walk_files
 
@@ -13,6 +13,7 @@ __all__ = [
     "open_table",
     "open_text",
     "open_typed",
+    "open_typed_split",
     "read_files",
     "read_manifest",
     "read_ranges",
