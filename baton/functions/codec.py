@@ -28,7 +28,7 @@ DECODE_OPTIONS = {
     "maxNestingDepth": "1000000",
 }
 
-CODECS = ("json", "utf8")
+CODECS = ("json", "tagged", "utf8")
 
 
 def base64_line(binary: Column) -> Column:
@@ -171,3 +171,70 @@ def check_json_schema(schema: T.DataType, where: str = "row") -> None:
         raise ValueError(f"json codec: calendar interval at {where} cannot be decoded")
     elif isinstance(schema, T.TimeType):
         raise ValueError(f"json codec: time at {where} cannot be decoded")
+
+
+# The ``tagged`` codec: types that JSON has no form for, in terms of those that it has.
+
+def wire_type(dt: T.DataType) -> T.DataType:
+    """The type as which values of ``dt`` are written: a map whose keys are no strings as a list of
+    ``{"k": ..., "v": ...}``, times and calendar intervals as their text, at any depth."""
+    if isinstance(dt, T.StructType):
+        return T.StructType([T.StructField(f.name, wire_type(f.dataType), True, f.metadata) for f in dt.fields])
+    if isinstance(dt, T.ArrayType):
+        return T.ArrayType(wire_type(dt.elementType))
+    if isinstance(dt, T.MapType):
+        if isinstance(dt.keyType, (T.StringType, T.CharType, T.VarcharType)):
+            return T.MapType(dt.keyType, wire_type(dt.valueType))
+        return T.ArrayType(T.StructType([T.StructField("k", wire_type(dt.keyType)), T.StructField("v", wire_type(dt.valueType))]))
+    if isinstance(dt, (T.TimeType, T.CalendarIntervalType)):
+        return T.StringType()
+    return dt
+
+
+def _same_on_wire(dt: T.DataType) -> bool:
+    """Whether values of ``dt`` are written as they are."""
+    if isinstance(dt, T.StructType):
+        return all(_same_on_wire(f.dataType) for f in dt.fields)
+    if isinstance(dt, T.ArrayType):
+        return _same_on_wire(dt.elementType)
+    if isinstance(dt, T.MapType):
+        return isinstance(dt.keyType, (T.StringType, T.CharType, T.VarcharType)) and _same_on_wire(dt.valueType)
+    return not isinstance(dt, (T.TimeType, T.CalendarIntervalType))
+
+
+def to_wire(c: Column, dt: T.DataType) -> Column:
+    """A value of ``dt`` as one of :func:`wire_type`; NULL stays NULL."""
+    if _same_on_wire(dt):
+        return c
+    if isinstance(dt, T.StructType):
+        return F.when(c.isNotNull(), F.struct(*[to_wire(c.getField(f.name), f.dataType).alias(f.name) for f in dt.fields]))
+    if isinstance(dt, T.ArrayType):
+        return F.transform(c, lambda x: to_wire(x, dt.elementType))
+    if isinstance(dt, T.MapType):
+        if isinstance(wire_type(dt), T.MapType):
+            return F.transform_values(c, lambda _, v: to_wire(v, dt.valueType))
+        return F.transform(F.map_entries(c), lambda e: F.struct(
+            to_wire(e["key"], dt.keyType).alias("k"), to_wire(e["value"], dt.valueType).alias("v")))
+    return c.cast("string")
+
+
+def from_wire(c: Column, dt: T.DataType) -> Column:
+    """Inverse of :func:`to_wire`; text that is no time or interval, a list with a null entry, a
+    null key or a repeated one fails the task."""
+    if _same_on_wire(dt):
+        return c
+
+    def fail(what: str) -> Column:
+        return F.raise_error(F.lit(f"tagged codec: {what}")).cast(dt)
+
+    if isinstance(dt, T.StructType):
+        return F.when(c.isNotNull(), F.struct(*[from_wire(c.getField(f.name), f.dataType).alias(f.name) for f in dt.fields]))
+    if isinstance(dt, T.ArrayType):
+        return F.transform(c, lambda x: from_wire(x, dt.elementType))
+    if isinstance(dt, T.MapType):
+        if isinstance(wire_type(dt), T.MapType):
+            return F.transform_values(c, lambda _, v: from_wire(v, dt.valueType))
+        entries = F.transform(c, lambda e: F.struct(from_wire(e["k"], dt.keyType).alias("key"), from_wire(e["v"], dt.valueType).alias("value")))
+        return F.when(F.exists(c, lambda e: e.isNull() | e["k"].isNull()), fail("a map entry without a key")).otherwise(F.map_from_entries(entries))
+    value = c.try_cast(dt)
+    return F.when(c.isNotNull() & value.isNull(), fail(f"not a {dt.simpleString()}")).otherwise(value)

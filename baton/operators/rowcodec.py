@@ -12,8 +12,11 @@ from baton.functions.codec import (
     decode_utf8,
     encode_json,
     encode_utf8,
+    from_wire,
     json_rows,
     json_text,
+    to_wire,
+    wire_type,
 )
 
 VALUE = "value"
@@ -43,17 +46,21 @@ def encode_rows(df: DataFrame, codec: str = "json", keys: str = "position") -> D
     accepts).  Its top-level keys are the column positions (``"0"``,
     ``"1"``, ...) by default: the names live in the schema, and short keys
     make lines about half as long and parse about twice as fast;
-    ``keys="name"`` writes the column names instead.  ``utf8`` carries a frame
-    of exactly one string column.
+    ``keys="name"`` writes the column names instead.  ``tagged`` is ``json``
+    for all types: maps with other keys than strings, times and calendar
+    intervals, which ``json`` refuses, are written in terms of others
+    (:func:`wire_type`).  ``utf8`` carries a frame of exactly one string column.
     """
     check_codec(codec)
-    if codec == "json":
+    if codec in ("json", "tagged"):
         _check_keys(keys)
-        check_json_schema(df.schema)
-        row = F.struct(*[quote(f.name).alias(str(i) if keys == "position" else f.name)
-                         for i, f in enumerate(df.schema.fields)])
+        schema = wire_type(df.schema) if codec == "tagged" else df.schema
+        check_json_schema(schema)
+        cols = [to_wire(quote(f.name), f.dataType) if codec == "tagged" else quote(f.name) for f in df.schema.fields]
+        row = F.struct(*[c.alias(str(i) if keys == "position" else f.name)
+                         for i, (c, f) in enumerate(zip(cols, schema.fields))])
         named = T.StructType([T.StructField(str(i) if keys == "position" else f.name, f.dataType, True)
-                              for i, f in enumerate(df.schema.fields)])
+                              for i, f in enumerate(schema.fields)])
         return df.select(encode_json(row, named).alias(VALUE))
     fields = df.schema.fields
     if len(fields) != 1 or not isinstance(fields[0].dataType, T.StringType):
@@ -87,10 +94,11 @@ def decode_rows(df: DataFrame, schema: T.StructType | str | None = None,
             name = st.fields[0].name
         return df.select(decode_utf8(line, alphabet).alias(name))
     if schema is None:
-        raise ValueError("json codec needs the schema of the encoded rows")
+        raise ValueError(f"{codec} codec needs the schema of the encoded rows")
     _check_keys(keys)
     st = _as_struct(schema)
-    check_json_schema(st)
+    written = wire_type(st) if codec == "tagged" else st
+    check_json_schema(written)
     place = {f.name: i for i, f in enumerate(st.fields)}
     wanted = st.names if columns is None else list(columns)
     unknown = [c for c in wanted if c not in place]
@@ -100,13 +108,15 @@ def decode_rows(df: DataFrame, schema: T.StructType | str | None = None,
     def key(name: str) -> str:
         return name if keys == "name" else str(place[name])
 
-    wire = T.StructType([T.StructField(key(c), st[c].dataType, True, st[c].metadata) for c in wanted])
+    wire = T.StructType([T.StructField(key(c), written[c].dataType, True, st[c].metadata) for c in wanted])
     # The struct is unpacked by a one-element ``inline`` (a Generate), not by
     # field access on a projected column: a filter on a decoded field cannot
     # be pushed below a Generate, so each line is parsed once, not once for
     # the filter and again for the projection.
     texts = df.select(json_text(line, alphabet).alias(_TEXT))
     rows = texts.select(F.inline(json_rows(F.col(_TEXT), wire, [key(c) for c in st.names], allow_missing)))
+    if codec == "tagged":
+        return rows.select(*[from_wire(quote(key(c)), st[c].dataType).alias(c) for c in wanted])
     return rows.select(*[quote(key(c)).alias(c) for c in wanted])
 
 

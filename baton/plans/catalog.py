@@ -113,6 +113,31 @@ def snapshot_utf8_text(spark, sf_dir):
     return snapshot(table(spark, sf_dir, "documents").select("text"), codec="utf8")
 
 
+@register("snapshot_tagged_maps", """
+    SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS line, l_quantity AS quantity, l_shipdate AS shipped
+    FROM lineitem""")
+def snapshot_tagged_maps(spark, sf_dir):
+    # an order's lines as a map from numbers to quantities, keyed by a struct in turn; through text
+    # lines and back, then flat again
+    line = F.create_map("l_linenumber", F.create_map(F.struct("l_shipdate", "l_orderkey"), F.col("l_quantity")))
+    handed = snapshot(table(spark, sf_dir, "lineitem").select(line.alias("m")), codec="tagged")
+    outer = handed.select(F.explode("m").alias("line", "inner"))
+    flat = outer.select("line", F.explode("inner").alias("k", "quantity"))
+    return flat.select("k.l_orderkey", F.col("line").cast("bigint").alias("line"), "quantity", F.col("k.l_shipdate").alias("shipped"))
+
+
+@register("tagged_intervals", """
+    SELECT event_id, epoch_us(TIMESTAMP '1970-01-01' + to_months(CAST(user_id % 50 AS INTEGER)) + (ts - TIMESTAMP '1970-01-01')) AS micros,
+           CAST(user_id % 50 AS BIGINT) AS months FROM events""")
+def tagged_intervals(spark, sf_dir):
+    # instants as calendar intervals since 1970, encoded and decoded, and added to a day again
+    since = F.expr("make_interval(0, CAST(user_id % 50 AS INT), 0, 0, 0, 0, CAST(unix_micros(CAST(ts AS TIMESTAMP)) / CAST(1000000 AS DECIMAL(20, 6)) AS DECIMAL(18, 6)))")
+    rows = table(spark, sf_dir, "events").select("event_id", since.alias("since"))
+    back = decode_rows(encode_rows(rows, "tagged"), rows.schema, "tagged")
+    return back.select("event_id", F.expr("unix_micros(CAST(TIMESTAMP_NTZ '1970-01-01 00:00:00' + since AS TIMESTAMP))").alias("micros"),
+                       F.expr("extract(YEAR FROM since) * 12 + extract(MONTH FROM since)").cast("bigint").alias("months"))
+
+
 @register("snapshot_foreign_open", "SELECT * FROM part")
 def snapshot_foreign_open(spark, sf_dir):
     # a folder written by plain Spark: no manifest, opened on its _SUCCESS
