@@ -17,10 +17,14 @@ Groups of copies make lists of thousands that are all linked, so pairs are not l
 1. in each list of the first order every document is paired with one representative (of
    similar size); of its pairs that share many prefix shingles, the ``CLOSEST`` are verified and
    give components;
-2. in lists that still hold several components, every document is paired with its nearest one of
-   another component; these pairs are verified and join components;
-3. all pairs of different components that the lists of every order hold, that pass the bounds
-   and share as many prefix shingles as two linked sets must, are verified.
+2. in lists of the first order that still hold several components, every document is paired with
+   its nearest one of another component; these pairs are verified and join components, again and
+   again until none of them links.  A document without such a pair never gets one later, as
+   components only grow, so each round reads the documents of the pairs of the one before;
+3. of the documents that are left, all pairs of different components that the lists of every order
+   hold, that pass the bounds and share as many prefix shingles as two linked sets must, are verified.
+
+Two large components that link are thus joined by few of their pairs before step 3 lists all.
 
 The bounds never drop a link.  Before any list, a document must have enough shingles that others
 hold for an overlap with one of them.  In steps 2 and 3 sizes must be similar, and parity bitmaps
@@ -466,11 +470,14 @@ class _Join:
 
         return self.texts.select("node", "text").mapInArrow(read, "node bigint, shingles binary")
 
-    def verified(self, candidates: DataFrame) -> DataFrame:
-        """The candidate pairs (a, b) whose sets reach the threshold."""
+    @staticmethod
+    def nodes_of(pairs: DataFrame) -> DataFrame:
+        """(node): the nodes of the pairs (a, b)."""
+        return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+
+    def verified(self, candidates: DataFrame, sets: DataFrame) -> DataFrame:
+        """The candidate pairs (a, b) whose sets, as of :meth:`sets`, reach the threshold."""
         percent = self.percent
-        nodes = candidates.select(F.col("a").alias("node")).union(candidates.select(F.col("b").alias("node"))).distinct()
-        sets = stored(self.sets(nodes))
 
         def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -567,6 +574,28 @@ class _Join:
         pairs = pairs.where(F.col("times") >= self.needed())
         return pairs.groupBy("a", "b").agg(F.count("*").alias("orders")).where(F.col("orders") == orders).select("a", "b")
 
+    def joined(self, entries: DataFrame, details: DataFrame, roots: DataFrame) -> DataFrame:
+        """The components ``roots`` after steps 2 and 3."""
+        def joined_by(found: DataFrame) -> DataFrame:
+            return stored(components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(found)))
+
+        sets, nearest = None, True
+        while nearest:
+            # sets that link meet in the lists of every order, so those of the first have all their nodes
+            more = stored(self.cross(entries.where(F.col("dst") < self.parts), details, roots, True))
+            if not more.head(1):
+                break
+            nodes = stored(self.nodes_of(more))
+            entries, details = (stored(x.join(nodes.hint("shuffle_hash"), "node", "left_semi")) for x in (entries, details))
+            sets = sets or stored(self.sets(nodes))
+            found = stored(self.verified(more, sets))
+            nearest = bool(found.head(1))
+            if not nearest:
+                found = stored(self.verified(self.cross(entries, details, roots, False), sets))
+            if nearest or found.head(1):
+                roots = joined_by(found)
+        return roots
+
     def run(self) -> tuple[DataFrame, DataFrame]:
         """(id, whether it is missing, size) of each document; (node, root) of those with links."""
         lists = self.lists()
@@ -574,16 +603,9 @@ class _Join:
         # representatives differ from list to list, so a third of the shared shingles is enough here
         stars = self.counted(lists.where("kind = 1")).where(3 * F.col("times") >= self.needed())
         stars = stored(self.closest(stars).select("a", "b"))
-        links = stored(self.verified(stars).union(equal))
+        links = self.verified(stars, stored(self.sets(self.nodes_of(stars)))).union(equal)
         roots = stored(components(links))
-        entries, details = stored(self.open_entries(lists, roots)), self.details(lists)
-        for nearest in (True, False):
-            more = stored(self.cross(entries, details, roots, nearest))
-            if more.head(1):
-                found = stored(self.verified(more))
-                if found.head(1):
-                    links = links.union(found)
-                    roots = stored(components(links))
+        roots = self.joined(stored(self.open_entries(lists, roots)), self.details(lists), roots)
 
         def notes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:

@@ -35,6 +35,24 @@ def test_a_hot_group_of_near_copies_and_chains(spark):
     assert sorted(map(tuple, J.jaccard_components(df).collect())) == sorted(components(rows))
 
 
+def test_components_that_link_are_joined_before_all_their_pairs_are_listed(spark, monkeypatch):
+    monkeypatch.setattr(J, "CLOSEST", 0)  # nothing is joined by step 1
+    cross, made = J._Join.cross, []
+
+    def counted(self, *args):
+        pairs = J.stored(cross(self, *args))
+        made.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(J._Join, "cross", counted)
+    rng = random.Random(13)
+    seed, other = prose(rng, 150), prose(rng, 150)
+    rows = [(i, near(rng, seed, 1)) for i in range(150)] + [(500 + i, near(rng, other, 3)) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted(map(tuple, J.jaccard_components(df).collect())) == sorted(components(rows))
+    assert sum(made) < 5 * len(rows), made  # the first group alone has 11,175 pairs, all linked
+
+
 def test_representatives(spark, corpus, corpus_frame):
     kept = J.keep_representatives(corpus_frame)
     assert kept.columns == corpus_frame.columns
