@@ -74,7 +74,8 @@ def shingle_sets(column, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     h, at = shingles(word_hashes(data, start, end), bounds, k)
     known, place = np.unique(h, return_inverse=True)
     wide = max(len(known), 1)
-    both = np.unique(np.repeat(np.arange(len(at) - 1), np.diff(at)) * wide + place)
+    both = np.sort(np.repeat(np.arange(len(at) - 1), np.diff(at)) * wide + place)  # np.unique hashes, which takes many times as long
+    both = both[np.diff(both, prepend=-1) > 0]
     return known, both % wide, np.searchsorted(both, np.arange(len(at)) * wide)
 
 
