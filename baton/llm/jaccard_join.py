@@ -19,8 +19,9 @@ Groups of copies make lists of thousands that are all linked, so pairs are not l
    give components;
 2. in lists of the first order that still hold several components, every document is paired with
    its nearest one of another component; these pairs are verified and join components, again and
-   again until none of them links.  A document without such a pair never gets one later, as
-   components only grow, so each round reads the documents of the pairs of the one before;
+   again until none of them links or at most ``FEW`` documents have such a pair.  A document
+   without one never gets one later, as components only grow, so the rounds after the first, and
+   step 3, read the documents of the first round's pairs;
 3. of the documents that are left, all pairs of different components that the lists of every order
    hold, that pass the bounds and share as many prefix shingles as two linked sets must, are verified.
 
@@ -59,6 +60,8 @@ FILTER_BITS = 26
 _RANGES = 64
 #: Representatives that step 1 verifies a member with; steps 2 and 3 find every link beyond these.
 CLOSEST = 3
+#: Documents with open pairs, in all, that step 3 may list all pairs of without more rounds of step 2.
+FEW = 512
 #: 64-bit words of the least parity bitmap; bits, growing with the set between these bounds.
 PARITY_WORDS = 8
 BITMAP_BITS = (64 * PARITY_WORDS, 1 << 15)
@@ -584,13 +587,17 @@ class _Join:
         while nearest:
             # sets that link meet in the lists of every order, so those of the first have all their nodes
             more = stored(self.cross(entries.where(F.col("dst") < self.parts), details, roots, True))
-            if not more.head(1):
-                break
             nodes = stored(self.nodes_of(more))
-            entries, details = (stored(x.join(nodes.hint("shuffle_hash"), "node", "left_semi")) for x in (entries, details))
-            sets = sets or stored(self.sets(nodes))
-            found = stored(self.verified(more, sets))
-            nearest = bool(found.head(1))
+            left = nodes.count()
+            if not left:
+                break
+            if sets is None:
+                entries, details = (stored(x.join(nodes, "node", "left_semi")) for x in (entries, details))
+                sets = stored(self.sets(nodes))
+            nearest = left > FEW
+            if nearest:
+                found = stored(self.verified(more, sets))
+                nearest = bool(found.head(1))
             if not nearest:
                 found = stored(self.verified(self.cross(entries, details, roots, False), sets))
             if nearest or found.head(1):

@@ -37,6 +37,7 @@ def test_a_hot_group_of_near_copies_and_chains(spark):
 
 def test_components_that_link_are_joined_before_all_their_pairs_are_listed(spark, monkeypatch):
     monkeypatch.setattr(J, "CLOSEST", 0)  # nothing is joined by step 1
+    monkeypatch.setattr(J, "FEW", 0, raising=False)
     cross, made = J._Join.cross, []
 
     def counted(self, *args):
